@@ -37,13 +37,17 @@ def running_total(
     order_by: Sequence[Column | str],
     partition_by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
+    stored: bool = False,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` from the first row of the group to this one.
 
     ``order_by`` must order the rows of a group totally (end it with a key).
+    ``stored`` writes ``df`` to the shared folder first; ask for it when ``df``
+    is a join or aggregate, which the size check would otherwise compute again.
     """
     parts = list(partition_by)
     order = [as_column(c) for c in order_by]
+    df = written(df) if stored else df
     top, total = largest_group(df, parts)
     if top <= rows_per_task:
         window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -85,10 +89,11 @@ def numbered(
     order_by: Sequence[Column | str],
     start: int = 1,
     rows_per_task: int = ROWS_PER_TASK,
+    stored: bool = False,
 ) -> DataFrame:
     """Consecutive numbers over the whole frame in ``order_by`` order."""
     ranked = running_total(
-        df, F.lit(1).cast("bigint"), out, order_by=order_by, rows_per_task=rows_per_task
+        df, F.lit(1).cast("bigint"), out, order_by=order_by, rows_per_task=rows_per_task, stored=stored
     )
     return ranked.withColumn(out, (F.col(out) + F.lit(start - 1)).cast("bigint"))
 
@@ -108,7 +113,12 @@ def peer_total(
     """
     peers = df.groupBy(order_by).agg(F.sum(value).alias("_peer"))
     totals = running_total(
-        peers, "_peer", out, order_by=[F.col(order_by).asc_nulls_last()], rows_per_task=rows_per_task
+        peers,
+        "_peer",
+        out,
+        order_by=[F.col(order_by).asc_nulls_last()],
+        rows_per_task=rows_per_task,
+        stored=True,
     ).select(F.col(order_by).alias("_order"), out)
     return df.join(totals, F.col(order_by).eqNullSafe(F.col("_order"))).drop("_order")
 

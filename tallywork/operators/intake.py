@@ -267,7 +267,7 @@ def seeded_rows(
     rows = series.select(F.col(number).cast("bigint").alias(number))
     value = F.col(number)
     for draw, (frame, key) in enumerate(picks):
-        keys = numbered(frame.select(key).distinct(), "_at", order_by=[key], start=0, **sizing)
+        keys = numbered(frame.select(key).distinct(), "_at", order_by=[key], start=0, stored=True, **sizing)
         size = keys.agg(F.count(F.lit(1)).alias("n")).scalar()
         rows = rows.withColumn("_at", seeded_number(value, seed, draw) % size).join(keys, "_at").drop("_at")
     back = (value % F.lit(steps)) * F.lit(step_days)

@@ -164,7 +164,7 @@ def search_history(
         .withColumn("customer_name", full_name(first_name, last_name))
     )
     order = [F.col(rented_at).desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in tie_break]]
-    return numbered(found, "row_num", order_by=order, **sizing)
+    return numbered(found, "row_num", order_by=order, stored=True, **sizing)
 
 
 def rewards(
