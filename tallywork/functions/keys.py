@@ -14,16 +14,19 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def absent(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def absent(
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], asked: DataFrame | None = None
+) -> DataFrame:
     """Rows of ``batch`` with no equal key in ``target`` (a NULL key is never equal).
 
     ``target`` is the large side, so it is first cut down to the keys the batch
     asks about: with a small batch that is a map-side filter and no row of
-    ``target`` outside the batch is shuffled.
+    ``target`` outside the batch is shuffled. ``asked`` may name a cheaper frame
+    that holds the batch's keys, such as the batch before a transformation.
     """
     keys = list(keys)
-    asked = distinct_keys(batch, keys)
-    found = target.select(*keys).join(asked, keys, "left_semi").distinct()
+    wanted = distinct_keys(batch if asked is None else asked, keys)
+    found = target.select(*keys).join(wanted, keys, "left_semi").distinct()
     return batch.join(found, keys, "left_anti")
 
 

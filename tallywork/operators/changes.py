@@ -50,7 +50,7 @@ def insert_ignore(
         .filter("_rn = 1")
         .drop("_rn")
     )
-    new = absent(first, target, keys).unionByName(batch.filter(nothing))
+    new = absent(first, target, keys, asked=batch).unionByName(batch.filter(nothing))
     return Change(target.unionByName(new, allowMissingColumns=True), new)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallywork.functions.columns import instant
 from tallywork.functions.keys import lookup
 from tallywork.functions.running import numbered
-from tallywork.operators.ledger import latest_price, price_as_of, price_on_ingest
+from tallywork.operators.ledger import latest_price, price_as_of, with_product_of
 
 REASON = "reject_reason"
 
@@ -84,16 +84,14 @@ def record_sales(batch: DataFrame, tables: SaleTables, *, sold_at: str | None =
     found = lookup(found, stations, {"station_name": "_station"})
     found = lookup(found, fuels, {"fuel_type": "_fuel"})
     place = ["station_id", "fuel_type_id"]
-    columns = {"keys": place, "effective": "effective_date", "price_id": "pricing_id"}
+    price = {"effective": "effective_date", "columns": ["pricing_id", "price_per_unit"]}
     if sold_at is None:
-        newest = latest_price(tables.pricing, **columns).dropna(subset=place)
+        newest = latest_price(tables.pricing, keys=place, **price).dropna(subset=place)
         renamed = {k: f"_{k}" for k in place}
         priced = lookup(found, newest.withColumnsRenamed(renamed), renamed)
     else:
-        priced = price_as_of(found, tables.pricing, sold_at=sold_at, **columns)
-    totalled = price_on_ingest(
-        priced, tables.pricing, pricing_key="pricing_id", price="price_per_unit", quantity="quantity_sold"
-    )
+        priced = price_as_of(found, tables.pricing, keys=place, sold_at=sold_at, **price)
+    totalled = with_product_of(priced, "price_per_unit", "quantity_sold", "total_amount")
     return totalled.withColumn(
         REASON,
         F.when(F.col("payment_method_id").isNull(), "payment method not found")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import as_column
+from tallywork.functions.keys import lookup
 from tallywork.functions.running import running_total
 
 
@@ -80,15 +81,15 @@ def running_stock(
 
 
 def latest_price(
-    pricing: DataFrame, *, keys: Sequence[str], effective: str, price_id: str
+    pricing: DataFrame, *, keys: Sequence[str], effective: str, columns: Sequence[str]
 ) -> DataFrame:
-    """The newest price row id per key; on equal dates the larger id.
+    """The newest price row per key, as ``columns`` (the row's id first).
 
-    Max of a struct combines on the map side, so a long price history of one key
-    stays one row per task.
+    On equal dates the larger id is taken. Max of a struct combines on the map
+    side, so a long price history of one key stays one row per task.
     """
-    newest = F.max(F.struct(effective, price_id))
-    return pricing.groupBy(*keys).agg(newest[price_id].alias(price_id))
+    newest = F.max(F.struct(effective, *columns)).alias("_newest")
+    return pricing.groupBy(*keys).agg(newest).select(*keys, *[f"_newest.{c}" for c in columns])
 
 
 def price_as_of(
@@ -98,14 +99,15 @@ def price_as_of(
     keys: Sequence[str],
     sold_at: str,
     effective: str,
-    price_id: str,
+    columns: Sequence[str],
 ) -> DataFrame:
     """Each sale with the price row in force on its day (NULL before the first price).
 
     As-of join without pairing a sale with its key's whole history. Price rows
     are dates, so a (key, month) has at most 31 changes after one is kept per
-    day. Every month in which a key has sales learns those changes and the last
-    one before the month, and a sale looks only at its own month.
+    day. Each month between a key's first and last change carries its changes
+    and the last one before it; a sale looks at its own month only, or at the
+    newest price when it is later than the last change.
     """
     keys = list(keys)
 
@@ -113,20 +115,34 @@ def price_as_of(
         return F.trunc(c, "month")
 
     per_day = pricing.groupBy(*keys, F.to_date(effective).alias("_day")).agg(
-        F.max(price_id).alias(price_id)
+        F.max(F.struct(*columns)).alias("_row")
     )
     monthly = per_day.groupBy(*keys, month(F.col("_day")).alias("_month")).agg(
-        F.sort_array(F.collect_list(F.struct("_day", price_id))).alias("_changes")
+        F.sort_array(F.collect_list(F.struct("_day", "_row"))).alias("_changes")
     )
-    dated = sales.withColumn("_on", F.to_date(sold_at)).withColumn("_month", month(F.col("_on")))
-    asked = dated.select(*keys, "_month").distinct()
     earlier = Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    opening = F.last(F.element_at("_changes", -1), ignorenulls=True).over(earlier)
-    calendar = asked.join(monthly, [*keys, "_month"], "full").withColumn("_opening", opening)
+    opening = F.last(F.element_at("_changes", -1)["_row"], ignorenulls=True).over(earlier)
+    months = F.sequence(F.min("_month"), F.max("_month"), F.expr("INTERVAL 1 MONTH"))
+    calendar = (
+        monthly.groupBy(*keys)
+        .agg(months.alias("_months"))
+        .select(*keys, F.explode("_months").alias("_month"))
+        .join(monthly, [*keys, "_month"], "left")
+        .withColumn("_opening", opening)
+    )
+    newest = monthly.groupBy(*keys).agg(
+        F.max("_month").alias("_last_month"), F.max_by("_changes", "_month").alias("_last_changes")
+    ).select(*keys, "_last_month", F.element_at("_last_changes", -1)["_row"].alias("_newest"))
+
+    def unlike(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+        renamed = {n: f"_k_{n}" for n in names}
+        return df.dropna(subset=list(names)).withColumnsRenamed(renamed), renamed
+
+    dated = sales.withColumn("_on", F.to_date(sold_at)).withColumn("_month", month(F.col("_on")))
+    found = lookup(lookup(dated, *unlike(newest, keys)), *unlike(calendar, [*keys, "_month"]))
     in_force = F.filter("_changes", lambda change: change["_day"] <= F.col("_on"))
-    current = F.coalesce(F.try_element_at(in_force, F.lit(-1)), F.col("_opening"))
-    return (
-        dated.join(calendar, [*keys, "_month"], "left")
-        .withColumn(price_id, current[price_id])
-        .drop("_on", "_month", "_changes", "_opening")
+    in_month = F.coalesce(F.try_element_at(in_force, F.lit(-1))["_row"], F.col("_opening"))
+    current = F.when(F.col("_month") > F.col("_last_month"), F.col("_newest")).otherwise(in_month)
+    return found.withColumns({c: current[c] for c in columns}).drop(
+        "_on", "_month", "_changes", "_opening", "_last_month", "_newest"
     )

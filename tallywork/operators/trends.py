@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.columns import amount_text, percent_text, share_of
 from tallywork.functions.running import groups_between, peer_total
+from tallywork.session import written
 
 
 def next_gap(
@@ -24,10 +25,12 @@ def next_gap(
 
     Items in an entity's last year are dropped. ``lead`` runs over the distinct
     years of an entity (equal years cannot be "next"), which are few, and joins
-    back, so no task holds all items of an entity and nothing is paired up.
+    back, so no task holds all items of an entity and nothing is paired up. The
+    distinct rows are written once; the joins behind ``events`` would otherwise
+    run twice.
     """
-    listed = events.select(entity, item, year).distinct()
-    years = events.select(F.col(entity).alias("_entity"), F.col(year).alias("_year")).distinct()
+    listed = written(events.select(entity, item, year).distinct())
+    years = listed.select(F.col(entity).alias("_entity"), F.col(year).alias("_year")).distinct()
     ordered = Window.partitionBy("_entity").orderBy("_year")
     following = years.withColumn(next_year, F.lead("_year").over(ordered)).filter(
         F.col(next_year).isNotNull()

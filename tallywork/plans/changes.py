@@ -14,28 +14,31 @@ from tallywork.plans.query import Query
 from tallywork.sources.sinks import with_month_bucket
 from tallywork.sources.tables import Tables
 
-# Roles: (part, supplier) pairs seen before this day are the table, later lines the batch.
+# Roles: lines shipped before this day are the table, later lines the batch; the
+# natural key is the (part, supplier) pair.
 NEW_YEAR = dt.date(1998, 1, 1)
+_LINE = ["l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate"]
 
 
 def insert_if_absent(t: Tables) -> DataFrame:
-    def pairs(lines: DataFrame) -> DataFrame:
-        return lines.groupBy("l_partkey", "l_suppkey").agg(F.to_date(F.min("l_shipdate")).alias("first_ship"))
-
-    old = pairs(t.lineitem.filter(F.col("l_shipdate") < instant(NEW_YEAR)))
-    new = pairs(t.lineitem.filter(F.col("l_shipdate") >= instant(NEW_YEAR)))
+    lines = t.lineitem.select("l_partkey", "l_suppkey", "l_shipdate")
+    old = lines.filter(F.col("l_shipdate") < instant(NEW_YEAR))
+    new = (
+        lines.filter(F.col("l_shipdate") >= instant(NEW_YEAR))
+        .groupBy("l_partkey", "l_suppkey")
+        .agg(F.min("l_shipdate").alias("l_shipdate"))
+    )
     return changes.insert_if_absent(old, new, ["l_partkey", "l_suppkey"]).table
 
 
 INSERT_IF_ABSENT = """
 WITH old AS (
-  SELECT l_partkey, l_suppkey, min(l_shipdate) AS d FROM lineitem
-  WHERE l_shipdate < TIMESTAMP '1998-01-01' GROUP BY ALL
+  SELECT l_partkey, l_suppkey, l_shipdate FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'
 ), new AS (
-  SELECT l_partkey, l_suppkey, min(l_shipdate) AS d FROM lineitem
-  WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY ALL
+  SELECT l_partkey, l_suppkey, min(l_shipdate) AS l_shipdate FROM lineitem
+  WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY l_partkey, l_suppkey
 )
-SELECT l_partkey, l_suppkey, strftime(d, '%Y-%m-%d') AS first_ship FROM (
+SELECT l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate FROM (
   SELECT * FROM old UNION ALL
   SELECT * FROM new n WHERE NOT EXISTS (
     SELECT 1 FROM old o WHERE o.l_partkey = n.l_partkey AND o.l_suppkey = n.l_suppkey))
@@ -43,18 +46,12 @@ SELECT l_partkey, l_suppkey, strftime(d, '%Y-%m-%d') AS first_ship FROM (
 
 
 def insert_ignore(t: Tables) -> DataFrame:
-    lines = t.lineitem.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
-    target = (
-        lines.filter(F.col("l_shipdate") < instant(NEW_YEAR))
-        .groupBy("l_partkey", "l_suppkey")
-        .agg(F.min("l_orderkey").alias("l_orderkey"), F.min("l_shipdate").alias("l_shipdate"))
-        .withColumn("l_linenumber", F.lit(0))
-    )
+    target = t.lineitem.filter(F.col("l_shipdate") < instant(NEW_YEAR)).select(*_LINE)
     unknown = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)
     batch = (
-        lines.filter(F.col("l_shipdate") >= instant(NEW_YEAR))
+        t.lineitem.filter(F.col("l_shipdate") >= instant(NEW_YEAR))
         .withColumn("l_suppkey", F.when(~unknown, F.col("l_suppkey")))
-        .drop("l_returnflag")
+        .select(*_LINE)
     )
     order = ["l_shipdate", "l_orderkey", "l_linenumber"]
     return changes.insert_ignore(target, batch, ["l_partkey", "l_suppkey"], order).table
@@ -62,8 +59,8 @@ def insert_ignore(t: Tables) -> DataFrame:
 
 INSERT_IGNORE = """
 WITH target AS (
-  SELECT l_partkey, l_suppkey, min(l_orderkey) AS l_orderkey, 0 AS l_linenumber, min(l_shipdate) AS l_shipdate
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01' GROUP BY l_partkey, l_suppkey
+  SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_shipdate
+  FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'
 ), batch AS (
   SELECT l_partkey, CASE WHEN NOT (l_returnflag = 'R' AND l_linenumber = 7) THEN l_suppkey END AS l_suppkey,
          l_orderkey, l_linenumber, l_shipdate
