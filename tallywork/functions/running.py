@@ -108,9 +108,13 @@ def peer_total(
 ) -> DataFrame:
     """Running total where rows with an equal ``order_by`` value share one total.
 
-    Equals ``SUM(value) OVER (ORDER BY order_by RANGE UNBOUNDED PRECEDING)``. The
-    sum per distinct value comes first, so only the distinct values are ordered.
+    Equals ``SUM(value) OVER (ORDER BY order_by RANGE UNBOUNDED PRECEDING)``, and is
+    just that while the frame is of a checked size. Beyond it the sum per distinct
+    value comes first, so only distinct values are ordered, and joins back.
     """
+    if df.count() <= rows_per_task:
+        window = Window.partitionBy().orderBy(F.col(order_by).asc_nulls_last())
+        return df.withColumn(out, F.sum(value).over(window.rangeBetween(Window.unboundedPreceding, 0)))
     peers = df.groupBy(order_by).agg(F.sum(value).alias("_peer"))
     totals = running_total(
         peers,

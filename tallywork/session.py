@@ -30,6 +30,9 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
@@ -40,11 +43,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tallywork-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallywork-")
+    return _local_folders[context.applicationId]
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -52,8 +56,11 @@ def written(df: DataFrame) -> DataFrame:
 
     Used where a plan reads the same rows twice and both reads must agree
     (for example on the partition a row fell into). Parquet keeps the second
-    read column-pruned, and the files outlive any executor.
+    read column-pruned, and the files outlive any executor. All files of an
+    application are under one folder, which can go when the application ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/tallywork-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/tallywork-{application}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
