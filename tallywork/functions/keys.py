@@ -1,4 +1,12 @@
-"""Key-set joins shaped for a large table against a set of keys."""
+"""Joins to key sets and dimensions, shaped so that a hot key can be split.
+
+AQE splits a skewed join partition only where both inputs are plain shuffles. A
+side that was just aggregated (``distinct``, ``groupBy``) is joined in the
+aggregate's own layout, without a shuffle in between, and then nothing is split.
+The joins here compare null-safely: Spark does not take the aggregate's layout
+for that comparison and exchanges the side again, which is cheap, as it is already
+reduced. NULL keys are removed from that side, so no match changes.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +17,30 @@ from pyspark.sql import functions as F
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The key columns without repeats; a key held by a third of the rows is
-    reduced to one row per task before the shuffle."""
-    return df.select(*keys).distinct()
+    """The key columns without repeats and NULLs; a key held by a third of the
+    rows is reduced to one row per task before the shuffle."""
+    return df.select(*keys).dropna().distinct()
+
+
+def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], how: str = "left") -> DataFrame:
+    """Join ``df`` to a frame with unique keys; a NULL key would match a NULL.
+
+    ``on`` maps df column -> dim column; the dim's key columns are dropped.
+    """
+    matched = [F.col(left).eqNullSafe(F.col(right)) for left, right in on.items()]
+    return df.join(dim, matched, how).drop(*on.values())
+
+
+def aside(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its keys renamed so that they cannot be confused, and the mapping
+    :func:`lookup` takes."""
+    renamed = {k: f"_k_{k}" for k in keys}
+    return df.withColumnsRenamed(renamed), renamed
+
+
+def among(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose key is (``left_anti``: is not) one of ``keys``, repeats allowed."""
+    return lookup(df, *aside(distinct_keys(keys, on), on), how)
 
 
 def absent(
@@ -25,27 +54,11 @@ def absent(
     that holds the batch's keys, such as the batch before a transformation.
     """
     keys = list(keys)
-    wanted = distinct_keys(batch if asked is None else asked, keys)
-    found = target.select(*keys).join(wanted, keys, "left_semi").distinct()
-    return batch.join(found, keys, "left_anti")
-
-
-def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Left join to a dimension that is unique in its key; ``on`` maps df column -> dim column.
-
-    The key columns of ``dim`` (not NULL) are dropped afterwards. The comparison
-    is null-safe, which changes no match here but makes Spark exchange an
-    aggregated ``dim`` for the join instead of reusing the aggregate's layout.
-    Both inputs are then plain shuffles, the shape in which AQE splits a hot key
-    of ``df``, rows with a NULL key included.
-    """
-    matched = [F.col(left).eqNullSafe(F.col(right)) for left, right in on.items()]
-    return df.join(dim, matched, "left").drop(*on.values())
+    found = among(target.select(*keys), batch if asked is None else asked, keys)
+    return among(batch, found, keys, "left_anti")
 
 
 def flagged(df: DataFrame, keys: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
     """Add a boolean ``flag``: the row's key occurs in ``keys``. One scan of ``df``."""
-    marked = distinct_keys(keys, list(on)).dropna().withColumn(flag, F.lit(True))
-    renamed = {k: f"_k_{k}" for k in on}
-    joined = lookup(df, marked.withColumnsRenamed(renamed), renamed)
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    marked, renamed = aside(distinct_keys(keys, on).withColumn(flag, F.lit(True)), on)
+    return lookup(df, marked, renamed).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

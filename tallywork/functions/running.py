@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import as_column
+from tallywork.functions.keys import aside, lookup
 from tallywork.session import written
 
 # Rows one task may take through a window before slicing starts.
@@ -67,17 +68,19 @@ def _sliced_total(
     )
     keys = [*parts, "_slice"]
     before = Window.partitionBy(*parts).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # A group has a start in a slice only if an earlier slice holds some of it. That
+    # is so for the first group of a slice at most: one row per slice to broadcast.
     starts = (
         cut.groupBy(*keys)
         .agg(F.sum("_value").alias("_sum"))
         .withColumn("_start", F.sum("_sum").over(before))
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_start")
+        .filter(F.col("_start").isNotNull())
+        .drop("_sum")
     )
-    matched = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     here = F.sum("_value").over(inside)
-    joined = cut.join(starts, matched, "left").drop(*[f"_k_{k}" for k in keys])
-    # No start: first slice of the group, or only NULL values before it.
+    started, renamed = aside(starts, keys)
+    joined = lookup(cut, F.broadcast(started), renamed)
     total = F.when(F.col("_start").isNull(), here).otherwise(F.col("_start") + F.coalesce(here, F.lit(0)))
     return joined.withColumn(out, total).drop("_slice", "_value", "_start")
 
@@ -123,8 +126,8 @@ def peer_total(
         order_by=[F.col(order_by).asc_nulls_last()],
         rows_per_task=rows_per_task,
         stored=True,
-    ).select(F.col(order_by).alias("_order"), out)
-    return df.join(totals, F.col(order_by).eqNullSafe(F.col("_order"))).drop("_order")
+    ).drop("_peer")
+    return lookup(df, *aside(totals, [order_by]), "inner")
 
 
 _FRAMES = {
@@ -165,8 +168,5 @@ def groups_between(
         .orderBy(F.col(order_by).asc_nulls_last())
         .rowsBetween(lower, upper)
     )
-    framed = peers.withColumn(out, _FRAMES[agg](window)).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], out
-    )
-    matched = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return df.join(framed, matched).drop(*[f"_k_{k}" for k in keys])
+    framed = peers.withColumn(out, _FRAMES[agg](window)).select(*keys, out)
+    return lookup(df, *aside(framed, keys), "inner")

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.functions.keys import absent, flagged, lookup
+from tallywork.functions.keys import absent, among, flagged, lookup
 from tallywork.functions.running import numbered
 
 
@@ -139,8 +139,7 @@ def update_column(target: DataFrame, column: str, value: object, key: str, key_v
 def delete_where(target: DataFrame, keys: DataFrame, on: Sequence[str]) -> Change:
     """Remove rows by key: the rows kept, and the rows removed."""
     on = list(on)
-    asked = keys.select(*on)
-    return Change(target.join(asked, on, "left_anti"), target.join(asked, on, "left_semi"))
+    return Change(among(target, keys, on, "left_anti"), among(target, keys, on))
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import instant
-from tallywork.functions.keys import lookup
+from tallywork.functions.keys import aside, lookup
 from tallywork.functions.running import numbered
 from tallywork.operators.ledger import latest_price, price_as_of, with_product_of
 
@@ -87,8 +87,7 @@ def record_sales(batch: DataFrame, tables: SaleTables, *, sold_at: str | None =
     price = {"effective": "effective_date", "columns": ["pricing_id", "price_per_unit"]}
     if sold_at is None:
         newest = latest_price(tables.pricing, keys=place, **price).dropna(subset=place)
-        renamed = {k: f"_{k}" for k in place}
-        priced = lookup(found, newest.withColumnsRenamed(renamed), renamed)
+        priced = lookup(found, *aside(newest, place))
     else:
         priced = price_as_of(found, tables.pricing, keys=place, sold_at=sold_at, **price)
     totalled = with_product_of(priced, "price_per_unit", "quantity_sold", "total_amount")

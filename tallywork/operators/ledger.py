@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import as_column
-from tallywork.functions.keys import lookup
+from tallywork.functions.keys import aside, lookup
 from tallywork.functions.running import running_total
 
 
@@ -114,7 +114,7 @@ def price_as_of(
     def month(c: Column) -> Column:
         return F.trunc(c, "month")
 
-    per_day = pricing.groupBy(*keys, F.to_date(effective).alias("_day")).agg(
+    per_day = pricing.dropna(subset=keys).groupBy(*keys, F.to_date(effective).alias("_day")).agg(
         F.max(F.struct(*columns)).alias("_row")
     )
     monthly = per_day.groupBy(*keys, month(F.col("_day")).alias("_month")).agg(
@@ -134,12 +134,9 @@ def price_as_of(
         F.max("_month").alias("_last_month"), F.max_by("_changes", "_month").alias("_last_changes")
     ).select(*keys, "_last_month", F.element_at("_last_changes", -1)["_row"].alias("_newest"))
 
-    def unlike(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
-        renamed = {n: f"_k_{n}" for n in names}
-        return df.dropna(subset=list(names)).withColumnsRenamed(renamed), renamed
-
     dated = sales.withColumn("_on", F.to_date(sold_at)).withColumn("_month", month(F.col("_on")))
-    found = lookup(lookup(dated, *unlike(newest, keys)), *unlike(calendar, [*keys, "_month"]))
+    found = lookup(dated, *aside(newest, keys))
+    found = lookup(found, *aside(calendar, [*keys, "_month"]))
     in_force = F.filter("_changes", lambda change: change["_day"] <= F.col("_on"))
     in_month = F.coalesce(F.try_element_at(in_force, F.lit(-1))["_row"], F.col("_opening"))
     current = F.when(F.col("_month") > F.col("_last_month"), F.col("_newest")).otherwise(in_month)

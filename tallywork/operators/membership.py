@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions.keys import distinct_keys
+from tallywork.functions.keys import among
 
 
 def active_in_both(
@@ -35,6 +35,4 @@ def exists_in_both(entities: DataFrame, left: DataFrame, right: DataFrame, *, ke
     The facts are reduced to distinct keys first; a semi join alone would
     shuffle every fact row of a key.
     """
-    return entities.join(distinct_keys(left, [key]), key, "left_semi").join(
-        distinct_keys(right, [key]), key, "left_semi"
-    )
+    return among(among(entities, left, [key]), right, [key])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import principal_name
-from tallywork.functions.keys import flagged
+from tallywork.functions.keys import among, flagged
 
 
 def principal_keys(
@@ -22,7 +22,7 @@ def principal_keys(
 
 def row_policy(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     """Only rows whose key is among the allowed keys."""
-    return df.join(allowed.select(key), key, "left_semi")
+    return among(df, allowed, [key])
 
 
 @dataclass(frozen=True)
