@@ -548,13 +548,17 @@ def _amount(number: str, seed: int, draw: int, low: int, high: int) -> str:
 
 
 SEEDED_ROWS = f"""
-WITH customers AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS at FROM customer),
-suppliers AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS at FROM supplier)
+WITH customers AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS c_at FROM customer),
+suppliers AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS s_at FROM supplier),
+sizes AS (SELECT (SELECT count(*) FROM customer) AS n_customers, (SELECT count(*) FROM supplier) AS n_suppliers),
+drawn AS (
+  SELECT o_orderkey, {_draw('o_orderkey', 11, 0)} % n_customers AS c_at,
+         {_draw('o_orderkey', 11, 1)} % n_suppliers AS s_at
+  FROM orders CROSS JOIN sizes
+)
 SELECT o_orderkey, c_custkey, s_suppkey, {_amount('o_orderkey', 11, 2, 500, 5500)} AS quantity_sold,
        strftime(DATE '2001-08-01' - ((o_orderkey % 6) * 18)::INTEGER, '%Y-%m-%d') AS sale_date
-FROM orders
-JOIN customers c ON c.at = {_draw('o_orderkey', 11, 0)} % (SELECT count(*) FROM customer)
-JOIN suppliers s ON s.at = {_draw('o_orderkey', 11, 1)} % (SELECT count(*) FROM supplier)
+FROM drawn JOIN customers USING (c_at) JOIN suppliers USING (s_at)
 """
 
 
