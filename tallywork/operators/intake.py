@@ -276,13 +276,16 @@ def seeded_rows(
     )
 
 
-def full_grid(left: DataFrame, right: DataFrame, blocks: int = 32) -> DataFrame:
+def full_grid(left: DataFrame, right: DataFrame, blocks: int | None = None) -> DataFrame:
     """Every left row with every right row.
 
     The smaller side should be ``right``: it is repeated once per block and meets
     the left rows of that block by an equi-join, so the work spreads over
-    ``blocks`` tasks without a cartesian product and without a size limit.
+    ``blocks`` tasks (default: the session's shuffle partitions) without a
+    cartesian product and without a size limit.
     """
+    if blocks is None:
+        blocks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = left.withColumn("_block", F.pmod(F.xxhash64(*left.columns), F.lit(blocks)).cast("int"))
     repeated = right.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     return placed.join(repeated, "_block").drop("_block")

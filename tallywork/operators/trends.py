@@ -115,7 +115,7 @@ def centered_average(
 ) -> DataFrame:
     """Average of neighbouring rows, with a wider frame on given weekdays.
 
-    Rows count days that exist: a missing day widens the span. ``keep`` filters
+    ``daily`` has one row per day, which is what one task can order. Rows count days that exist: a missing day widens the span. ``keep`` filters
     after the window, so earlier and later days can warm the frame up.
     """
     ordered = Window.partitionBy().orderBy(day)
@@ -139,7 +139,7 @@ def rolling_rows_average(
     out: str = "rolling_3day_avg",
     keep: Column | None = None,
 ) -> DataFrame:
-    """Average of the current and the ``rows - 1`` rows before it."""
+    """Average of the current and the ``rows - 1`` rows before it, over one row per day."""
     window = Window.partitionBy().orderBy(day).rowsBetween(1 - rows, Window.currentRow)
     result = daily.withColumn(out, F.avg(amount).over(window))
     return result if keep is None else result.filter(keep)
@@ -153,7 +153,10 @@ def range_running_total(
     out: str = "cumulative_qty_by_price",
     **sizing: int,
 ) -> DataFrame:
-    """Running quantity by price over raw rows; rows with one price share one total."""
+    """Running quantity by price over raw rows; rows with one price share one total.
+
+    Rows are not sorted: order the result by ``price`` to print it.
+    """
     return peer_total(sales, quantity, out, order_by=price, **sizing)
 
 
