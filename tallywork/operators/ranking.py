@@ -1,4 +1,10 @@
-"""Top-n reports. Ties are kept: ``rank``, never ``row_number``."""
+"""Top-n reports. Ties are kept: ``rank``, never ``row_number``.
+
+Spark trims ``rank() <= n`` in every task before the shuffle (WindowGroupLimit,
+for ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that for
+a larger ``n``), so what reaches a group's task is n rows and their ties from
+each task, not the group.
+"""
 
 from __future__ import annotations
 
