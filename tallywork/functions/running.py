@@ -53,7 +53,10 @@ def running_total(
     if top <= rows_per_task:
         window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(as_column(value)).over(window))
-    return _sliced_total(df, as_column(value), out, parts, order, math.ceil(total / rows_per_task))
+    # At least one slice per shuffle partition, so slicing never narrows the job.
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(math.ceil(total / rows_per_task), width)
+    return _sliced_total(df, as_column(value), out, parts, order, slices)
 
 
 def _sliced_total(
@@ -62,7 +65,7 @@ def _sliced_total(
     # The slice of a row is fixed by writing it: sampling the range bounds again
     # for a second read could cut elsewhere.
     cut = written(
-        df.repartitionByRange(max(slices, 2), *parts, *order)
+        df.repartitionByRange(slices, *parts, *order)
         .withColumn("_slice", F.spark_partition_id())
         .withColumn("_value", value)
     )

@@ -115,8 +115,9 @@ def centered_average(
 ) -> DataFrame:
     """Average of neighbouring rows, with a wider frame on given weekdays.
 
-    ``daily`` has one row per day, which is what one task can order. Rows count days that exist: a missing day widens the span. ``keep`` filters
-    after the window, so earlier and later days can warm the frame up.
+    ``daily`` has one row per day, which is what one task can order. Rows count
+    days that exist: a missing day widens the span. ``keep`` filters after the
+    window, so earlier and later days can warm the frame up.
     """
     ordered = Window.partitionBy().orderBy(day)
 
