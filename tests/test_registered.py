@@ -6,9 +6,10 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from tallywork.plans import registered
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = sorted(queries())
+NAMES = sorted(registered())
 
 
 @pytest.fixture(scope="module")
