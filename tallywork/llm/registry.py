@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywork.llm import compression_bands, exact_dedup
+from tallywork.llm import chat_format, compression_bands, exact_dedup, simhash_dedup, source_mix
 from tallywork.llm.text import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -21,12 +21,28 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mix.mix_sources(table(spark, folder, "documents")).drop("passes")
+
+
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = chat_format.with_probe(table(spark, folder, "conversations"), spark)
+    return chat_format.digests(chat_format.format_chats(turns))
+
+
+def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Run]:
     return {
         "op1_compression_bands": op1_compression_bands,
         "op2_exact_dedup": op2_exact_dedup,
+        "op5_source_mix": op5_source_mix,
+        "op8_chat_format": op8_chat_format,
+        "op9_simhash_dedup": op9_simhash_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.SQL}
+    return {"op2_exact_dedup": exact_dedup.SQL, "op8_chat_format": chat_format.SQL}
