@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywork.llm import chat_format, compression_bands, exact_dedup, simhash_dedup, source_mix
+from tallywork.llm import (
+    chat_format,
+    compression_bands,
+    exact_dedup,
+    prefix_free_dedup,
+    seed_extend_dedup,
+    simhash_dedup,
+    source_mix,
+)
 from tallywork.llm.text import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +33,10 @@ def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix.mix_sources(table(spark, folder, "documents")).drop("passes")
 
 
+def op7_prefix_free_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_free_dedup.remove_repeated_bytes(table(spark, folder, "documents"), with_kept=False)
+
+
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = chat_format.with_probe(table(spark, folder, "conversations"), spark)
     return chat_format.digests(chat_format.format_chats(turns))
@@ -34,13 +46,20 @@ def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_seed_extend_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = seed_extend_dedup.remove_repeated_words(table(spark, folder, "documents"), with_kept=False)
+    return found.drop("repeats")
+
+
 def queries() -> dict[str, Run]:
     return {
         "op1_compression_bands": op1_compression_bands,
         "op2_exact_dedup": op2_exact_dedup,
         "op5_source_mix": op5_source_mix,
+        "op7_prefix_free_dedup": op7_prefix_free_dedup,
         "op8_chat_format": op8_chat_format,
         "op9_simhash_dedup": op9_simhash_dedup,
+        "op10_seed_extend_dedup": op10_seed_extend_dedup,
     }
 
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def small_pieces(
         if not batch.num_rows:
             continue
         lengths = np.asarray(
-            pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+            pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         ).astype(np.int64)
         ends = np.cumsum(lengths)
         at = 0
