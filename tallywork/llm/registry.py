@@ -10,6 +10,7 @@ from tallywork.llm import (
     chat_format,
     compression_bands,
     exact_dedup,
+    noisy_channel,
     prefix_free_dedup,
     seed_extend_dedup,
     simhash_dedup,
@@ -29,6 +30,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_noisy_channel(spark: SparkSession, folder: str) -> DataFrame:
+    return noisy_channel.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("hits")
+
+
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix.mix_sources(table(spark, folder, "documents")).drop("passes")
 
@@ -55,6 +60,7 @@ def queries() -> dict[str, Run]:
     return {
         "op1_compression_bands": op1_compression_bands,
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_noisy_channel": op4_noisy_channel,
         "op5_source_mix": op5_source_mix,
         "op7_prefix_free_dedup": op7_prefix_free_dedup,
         "op8_chat_format": op8_chat_format,
