@@ -11,10 +11,12 @@ from tallywork.llm import (
     compression_bands,
     exact_dedup,
     noisy_channel,
+    piece_transducer,
     prefix_free_dedup,
     seed_extend_dedup,
     simhash_dedup,
     source_mix,
+    warc_index,
 )
 from tallywork.llm.text import table
 
@@ -30,6 +32,11 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    history = warc_index.archive_and_index(table(spark, folder, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_noisy_channel(spark: SparkSession, folder: str) -> DataFrame:
     return noisy_channel.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("hits")
 
@@ -38,6 +45,11 @@ def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix.mix_sources(table(spark, folder, "documents")).drop("passes")
 
 
+def op6_piece_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = piece_transducer.read_vocabulary()
+    return piece_transducer.encode_and_decode(table(spark, folder, "documents"), vocabulary)
+
+
 def op7_prefix_free_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_free_dedup.remove_repeated_bytes(table(spark, folder, "documents"), with_kept=False)
 
@@ -60,8 +72,10 @@ def queries() -> dict[str, Run]:
     return {
         "op1_compression_bands": op1_compression_bands,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_warc_index": op3_warc_index,
         "op4_noisy_channel": op4_noisy_channel,
         "op5_source_mix": op5_source_mix,
+        "op6_piece_transducer": op6_piece_transducer,
         "op7_prefix_free_dedup": op7_prefix_free_dedup,
         "op8_chat_format": op8_chat_format,
         "op9_simhash_dedup": op9_simhash_dedup,
@@ -70,4 +84,8 @@ def queries() -> dict[str, Run]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.SQL, "op8_chat_format": chat_format.SQL}
+    return {
+        "op2_exact_dedup": exact_dedup.SQL,
+        "op3_warc_index": warc_index.SQL,
+        "op8_chat_format": chat_format.SQL,
+    }
