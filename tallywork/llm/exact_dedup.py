@@ -75,6 +75,31 @@ def repeated_positions(signatures: DataFrame, words: int) -> DataFrame:
     )
 
 
+def _tested(docs: DataFrame, id: str, text: str, carried: Column) -> DataFrame:
+    """(_id, _sha, _row, _again): pass two. ``carried`` is what stays with each row."""
+    rows = docs.select(
+        F.col(id).cast("bigint").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), carried.alias("_row")
+    )
+    words = filter_words(rows.count())
+    signed = rows.withColumn("_signature", _signature(F.col("_text")))
+    repeats = repeated_positions(signed.select("_signature"), words)
+    hit = F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask")
+    return (
+        _probes(signed.withColumn("_sha", F.sha2(ascii_lower(F.col("_text")), 256)).drop("_text"), words)
+        .join(F.broadcast(repeats), "_word", "left")
+        .select("_id", "_sha", "_row", F.coalesce(hit, F.lit(False)).alias("_again"))
+    )
+
+
+def _met(tested: DataFrame) -> DataFrame:
+    """The candidates with keep_id and group_size of their texts: the only rows that shuffle."""
+    candidates = tested.filter("_again")
+    groups = candidates.groupBy(F.col("_sha").alias("_group")).agg(
+        F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    )
+    return lookup(candidates, groups, {"_sha": "_group"}, "inner")
+
+
 def exact_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: the row that stays of its group of equal texts.
 
@@ -85,34 +110,29 @@ def exact_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     stays beside another id; a group of null ids only has a null keep_id and stays.
     Other columns are not read. Counting the rows starts a job when the plan is built.
     """
-    rows = docs.select(F.col(id).cast("bigint").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    words = filter_words(rows.count())
-    signed = rows.withColumn("_signature", _signature(F.col("_text")))
-    repeats = repeated_positions(signed.select("_signature"), words)
-    tested = (
-        _probes(signed.withColumn("_sha", F.sha2(ascii_lower(F.col("_text")), 256)).drop("_text"), words)
-        .join(F.broadcast(repeats), "_word", "left")
+    tested = _tested(docs, id, text, F.lit(None).cast("int"))
+    alone = tested.filter("NOT _again").withColumns({"keep_id": F.col("_id"), "group_size": F.lit(1).cast("bigint")})
+    return (
+        _met(tested)
+        .unionByName(alone)
         .select(
-            "_id", "_sha",
-            F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False)).alias("_again"),
+            F.col("_id").alias("doc_id"),
+            "keep_id",
+            "group_size",
+            F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+            F.col("_sha").alias("text_sha256"),
+            F.col("_again").alias("may_repeat"),
         )
-    )
-    candidates = tested.filter("_again")
-    groups = candidates.groupBy(F.col("_sha").alias("_group")).agg(
-        F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
-    )
-    met = lookup(candidates, groups, {"_sha": "_group"}, "inner")
-    alone = tested.filter("NOT _again").withColumns({"keep_id": F.col("_id"), "group_size": F.lit(1).cast("bigint")})
-    return met.unionByName(alone).select(
-        F.col("_id").alias("doc_id"),
-        "keep_id",
-        "group_size",
-        F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
-        F.col("_again").alias("may_repeat"),
     )
 
 
+def without_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns."""
+    tested = _tested(docs, id, text, F.struct(*[docs[f"`{c}`"] for c in docs.columns]))
+    stays = _met(tested).filter(F.col("_id").eqNullSafe(F.col("keep_id")))
+    return stays.select("_row.*").unionByName(tested.filter("NOT _again").select("_row.*"))
+
+
 SQL = """
 WITH t AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

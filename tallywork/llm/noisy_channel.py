@@ -410,6 +410,15 @@ def train(
     return Model(log_p, weights, logistic(design(pairs[:, :2]), pairs[:, 2]))
 
 
+def probabilities(model: Model, scorer: Scorer, texts: Iterable[str | None]) -> tuple[np.ndarray, list[int]]:
+    """Score and number of hits of each text."""
+    evidence = [scorer.evidence(t or "") for t in texts]
+    if model.beta is None:
+        return np.zeros(len(evidence)), [0] * len(evidence)
+    x = design(np.array([e[:2] for e in evidence], float).reshape(-1, 2))
+    return 1 / (1 + np.exp(-np.clip(x @ model.beta, -30, 30))), [e.hits for e in evidence]
+
+
 def score(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text", fit: Fit = Fit()) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, hits.
 
@@ -423,15 +432,10 @@ def score(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "tex
         found = shared.value
         scorer = Scorer(Decoder(found.log_p), found.weights)
         for batch in slices(batches):
-            evidence = [scorer.evidence(t or "") for t in batch.column(2).to_pylist()]
-            if found.beta is None:
-                p = np.zeros(len(evidence))
-            else:
-                x = design(np.array([e[:2] for e in evidence], float).reshape(-1, 2))
-                p = 1 / (1 + np.exp(-np.clip(x @ found.beta, -30, 30)))
+            p, hits = probabilities(found, scorer, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(p), pa.array((p >= fit.threshold).astype(np.int32)),
-                 pa.array([e.hits for e in evidence], pa.int64())],
+                 pa.array(hits, pa.int64())],
                 names=["doc_id", "held_out", "score", "predicted", "hits"],
             )
 
@@ -440,6 +444,21 @@ def score(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "tex
     ).mapInArrow(scored, "doc_id bigint, held_out boolean, score double, predicted int, hits bigint")
 
 
+def without_toxic(docs: DataFrame, model: Model, *, text: str = "text", fit: Fit = Fit()) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = shared.value
+        scorer = Scorer(Decoder(found.log_p), found.weights)
+        for batch in slices(batches):
+            p, _ = probabilities(found, scorer, batch.column(place).to_pylist())
+            yield batch.filter(pa.array(p < fit.threshold))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", label: str = "toxic", fit: Fit = Fit()
 ) -> DataFrame:

@@ -326,13 +326,16 @@ def decode_ids(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 SCHEMA = (
     "doc_id bigint, n_chars bigint, n_pieces bigint, n_byte_pieces bigint, ids_sha256 string, "
-    "decoded_sha256 string, round_trip boolean"
+    "decoded_sha256 string, round_trip boolean, ids array<int>"
 )
 
 
-def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_and_decode(
+    docs: DataFrame, vocabulary: Vocabulary, *, id: str = "doc_id", text: str = "text", with_ids: bool = True
+) -> DataFrame:
     """One row per row of ``docs``: the digests of its ids (as little-endian 32-bit numbers)
-    and of the text decoded from them, and whether that is the text again.
+    and of the text decoded from them, whether that is the text again, and, if asked for,
+    the ids.
 
     Only a text that holds the white-space mark U+2581 itself does not come back: it reads
     as a space, as in the reference library. Null and empty texts have no ids. Rows are
@@ -353,13 +356,15 @@ def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, *, id: str = "doc
                 numbers = np.array(ids, "<i4")
                 rows.append(
                     (key, len(value), len(ids), int(np.isin(numbers, bytes_).sum()),
-                     hashlib.sha256(numbers.tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), back == value)
+                     hashlib.sha256(numbers.tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), back == value,
+                     ids if with_ids else None)
                 )
-            types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.bool_()]
+            types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.bool_(), pa.list_(pa.int32())]
             columns = [list(c) for c in zip(*rows, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                 names=[p.split()[0] for p in SCHEMA.split(", ")],
             )
 
-    return docs.select(F.col(id).cast("bigint"), F.col(text).cast("string")).mapInArrow(done, SCHEMA)
+    out = docs.select(F.col(id).cast("bigint"), F.col(text).cast("string")).mapInArrow(done, SCHEMA)
+    return out if with_ids else out.drop("ids")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tallywork.llm import (
     chat_format,
     compression_bands,
@@ -47,7 +48,7 @@ def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_piece_transducer(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = piece_transducer.read_vocabulary()
-    return piece_transducer.encode_and_decode(table(spark, folder, "documents"), vocabulary)
+    return piece_transducer.encode_and_decode(table(spark, folder, "documents"), vocabulary, with_ids=False)
 
 
 def op7_prefix_free_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,6 +71,7 @@ def op10_seed_extend_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Run]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_compression_bands": op1_compression_bands,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_warc_index": op3_warc_index,

@@ -230,3 +230,15 @@ def near_duplicates(
     return lookup(prints, named, {"fp": "_fp"}, "inner").select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
+    """The rows of ``docs`` whose id is that of their component, with all their columns.
+
+    Rows that repeat the id that stays, and rows without an id, stay as well.
+    """
+    found = near_duplicates(docs, id=id, text=text, shingle=shingle, radius=radius)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, docs[id] == gone["_gone"], "left_anti")
