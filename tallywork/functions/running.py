@@ -1,33 +1,32 @@
 """Ordered totals and numbering that do not need one task per group.
 
-A window with ``ORDER BY`` sends every row of a partition to one task. That is
-right while the largest group is of a checked size. Beyond it the rows are cut
-into range slices of the full sort order (so a single group, a single timestamp
-or the whole table can spread over many tasks), each slice is totalled, and a
-slice's rows start from the total of the slices before it.
+A window with ``ORDER BY`` sends every row of a partition to one task. Here the rows are
+cut into range slices of the full sort order (so a single group, a single timestamp or
+the whole table spreads over many tasks), each slice is totalled, and a slice's rows start
+from the total of the slices before it. There is one plan for every size.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywork.functions.columns import as_column
 from tallywork.functions.keys import aside, lookup
 from tallywork.session import written
 
-# Rows one task may take through a window before slicing starts.
-ROWS_PER_TASK = 4_000_000
 
-
-def largest_group(df: DataFrame, partition_by: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest group, rows in all); counts combine before the shuffle."""
-    counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
-    return int(row["top"] or 0), int(row["total"] or 0)
+def total_type(value: T.DataType) -> T.DataType:
+    """Type of a running total: the widest of its kind, so that it depends on neither the
+    number of rows nor the way they were added up."""
+    if isinstance(value, T.DecimalType):
+        return T.DecimalType(38, value.scale)
+    if isinstance(value, (T.FloatType, T.DoubleType)):
+        return T.DoubleType()
+    return T.LongType()
 
 
 def running_total(
@@ -37,55 +36,40 @@ def running_total(
     *,
     order_by: Sequence[Column | str],
     partition_by: Sequence[str] = (),
-    rows_per_task: int = ROWS_PER_TASK,
-    stored: bool = False,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` from the first row of the group to this one.
 
-    ``order_by`` must order the rows of a group totally (end it with a key).
-    ``stored`` writes ``df`` to the shared folder first; ask for it when ``df``
-    is a join or aggregate, which the size check would otherwise compute again.
+    ``order_by`` must order the rows of a group totally (end it with a key). ``slices``
+    defaults to the session's shuffle partitions; rows of a slice meet in one task.
+    The rows are written once to the shared folder: the slice a row fell into is fixed
+    that way, while sampling the range bounds again for a second read could cut elsewhere.
     """
     parts = list(partition_by)
     order = [as_column(c) for c in order_by]
-    df = written(df) if stored else df
-    top, total = largest_group(df, parts)
-    if top <= rows_per_task:
-        window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(as_column(value)).over(window))
-    # At least one slice per shuffle partition, so slicing never narrows the job.
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(math.ceil(total / rows_per_task), width)
-    return _sliced_total(df, as_column(value), out, parts, order, slices)
-
-
-def _sliced_total(
-    df: DataFrame, value: Column, out: str, parts: list[str], order: list[Column], slices: int
-) -> DataFrame:
-    # The slice of a row is fixed by writing it: sampling the range bounds again
-    # for a second read could cut elsewhere.
+    width = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = written(
-        df.repartitionByRange(slices, *parts, *order)
+        df.withColumn("_value", as_column(value))
+        .repartitionByRange(width, *parts, *order)
         .withColumn("_slice", F.spark_partition_id())
-        .withColumn("_value", value)
     )
+    kind = total_type(cut.schema["_value"].dataType)
     keys = [*parts, "_slice"]
     before = Window.partitionBy(*parts).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # A group has a start in a slice only if an earlier slice holds some of it. That
-    # is so for the first group of a slice at most: one row per slice to broadcast.
+    # A group has a start in a slice only if an earlier slice holds some of it: that is so
+    # for the first group of a slice at most, one row per slice.
     starts = (
         cut.groupBy(*keys)
-        .agg(F.sum("_value").alias("_sum"))
+        .agg(F.sum("_value").cast(kind).alias("_sum"))
         .withColumn("_start", F.sum("_sum").over(before))
         .filter(F.col("_start").isNotNull())
         .drop("_sum")
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     here = F.sum("_value").over(inside)
-    started, renamed = aside(starts, keys)
-    joined = lookup(cut, F.broadcast(started), renamed)
+    joined = lookup(cut, *aside(starts, keys))
     total = F.when(F.col("_start").isNull(), here).otherwise(F.col("_start") + F.coalesce(here, F.lit(0)))
-    return joined.withColumn(out, total).drop("_slice", "_value", "_start")
+    return joined.withColumn(out, total.cast(kind)).drop("_slice", "_value", "_start")
 
 
 def numbered(
@@ -94,13 +78,10 @@ def numbered(
     *,
     order_by: Sequence[Column | str],
     start: int = 1,
-    rows_per_task: int = ROWS_PER_TASK,
-    stored: bool = False,
+    slices: int | None = None,
 ) -> DataFrame:
     """Consecutive numbers over the whole frame in ``order_by`` order."""
-    ranked = running_total(
-        df, F.lit(1).cast("bigint"), out, order_by=order_by, rows_per_task=rows_per_task, stored=stored
-    )
+    ranked = running_total(df, F.lit(1).cast("bigint"), out, order_by=order_by, slices=slices)
     return ranked.withColumn(out, (F.col(out) + F.lit(start - 1)).cast("bigint"))
 
 
@@ -110,32 +91,23 @@ def peer_total(
     out: str,
     *,
     order_by: str,
-    rows_per_task: int = ROWS_PER_TASK,
+    slices: int | None = None,
 ) -> DataFrame:
     """Running total where rows with an equal ``order_by`` value share one total.
 
-    Equals ``SUM(value) OVER (ORDER BY order_by RANGE UNBOUNDED PRECEDING)``, and is
-    just that while the frame is of a checked size. Beyond it the sum per distinct
-    value comes first, so only distinct values are ordered, and joins back.
+    Equals ``SUM(value) OVER (ORDER BY order_by RANGE UNBOUNDED PRECEDING)``. The sum per
+    distinct value comes first, so only distinct values are ordered, and joins back.
     """
-    if df.count() <= rows_per_task:
-        window = Window.partitionBy().orderBy(F.col(order_by).asc_nulls_last())
-        return df.withColumn(out, F.sum(value).over(window.rangeBetween(Window.unboundedPreceding, 0)))
     peers = df.groupBy(order_by).agg(F.sum(value).alias("_peer"))
     totals = running_total(
-        peers,
-        "_peer",
-        out,
-        order_by=[F.col(order_by).asc_nulls_last()],
-        rows_per_task=rows_per_task,
-        stored=True,
+        peers, "_peer", out, order_by=[F.col(order_by).asc_nulls_last()], slices=slices
     ).drop("_peer")
     return lookup(df, *aside(totals, [order_by]), "inner")
 
 
 _FRAMES = {
     "sum": lambda w: F.sum("_sum").over(w),
-    "count": lambda w: F.sum("_n").over(w),
+    "count": lambda w: F.coalesce(F.sum("_n").over(w), F.lit(0)),
     "avg": lambda w: F.sum("_sum").over(w) / F.sum("_n").over(w),
     "min": lambda w: F.min("_min").over(w),
     "max": lambda w: F.max("_max").over(w),

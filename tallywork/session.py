@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,37 +31,47 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-_local_folders: dict[str, str] = {}
+# One JVM: executors and driver share its disk. (local-cluster[...] has several.)
+ONE_MACHINE = re.compile(r"local(\[[^\]]*\])?")
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Local sessions may leave it unset and get a folder of their own; on a
-    cluster a missing setting is an error, because a machine-local folder
-    would be lost with its executor.
+    A local session may leave it unset and gets a folder of its own, removed when Python
+    ends; on a cluster a missing setting is an error, because a machine-local folder would
+    be lost with its executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not ONE_MACHINE.fullmatch(context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallywork-")
-    return _local_folders[context.applicationId]
+        _local_folders[context.applicationId] = tempfile.TemporaryDirectory(prefix="tallywork-")
+    return _local_folders[context.applicationId].name
+
+
+def written_folder(spark: SparkSession) -> str:
+    """Where :func:`written` puts the tables of this application; it may go when it ends."""
+    return f"{shared_folder(spark)}/tallywork-{spark.sparkContext.applicationId}"
 
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
-    Used where a plan reads the same rows twice and both reads must agree
-    (for example on the partition a row fell into). Parquet keeps the second
-    read column-pruned, and the files outlive any executor. All files of an
-    application are under one folder, which can go when the application ends.
+    Used where a plan reads the same rows twice and both reads must agree (for example on
+    the partition a row fell into), and between the stages of a job. Parquet keeps the
+    second read column-pruned, and the files outlive any executor.
     """
-    spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/tallywork-{application}/{uuid.uuid4().hex}"
+    path = f"{written_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_written(spark: SparkSession) -> bool:
+    """Remove all tables :func:`written` made in this application; frames on them end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(written_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
