@@ -16,8 +16,17 @@ from tallywork.functions.keys import among, flagged
 def principal_keys(
     customers: DataFrame, principal: str, *, key: str, first_name: str = "first_name", last_name: str = "last_name"
 ) -> DataFrame:
-    """Keys of the customers a principal stands for (``client_first_last``, lower case)."""
-    return customers.filter(principal_name(first_name, last_name) == F.lit(principal)).select(key)
+    """Key of the customer a principal stands for (``client_first_last``, lower case).
+
+    A name that two customers share stands for neither: the rule fails closed, as a scalar
+    subquery with two rows would, and the principal sees no rows.
+    """
+    named = customers.filter(principal_name(first_name, last_name) == F.lit(principal)).select(key)
+    return (
+        named.agg(F.min(key).alias(key), F.max(key).alias("_other"), F.count(key).alias("_n"))
+        .filter((F.col("_n") > 0) & (F.col(key) == F.col("_other")))
+        .select(key)
+    )
 
 
 def row_policy(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:

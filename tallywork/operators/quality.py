@@ -23,7 +23,15 @@ def is_false(condition: Column) -> Column:
 
 
 def violations(df: DataFrame, condition: Column) -> DataFrame:
-    return df.filter(is_false(condition))
+    """Rows where the condition is false. A filter drops what is unknown by itself, and in
+    this form simple conditions reach the scan."""
+    return df.filter(~condition)
+
+
+def labelled_violations(df: DataFrame, rules: Mapping[str, Column], out: str = "rule") -> DataFrame:
+    """Violations of several rules in one scan, a row for each rule a row breaks."""
+    broken = F.array_compact(F.array(*[F.when(is_false(c), F.lit(name)) for name, c in rules.items()]))
+    return df.withColumn(out, F.explode(broken))
 
 
 # Conditions of the row rules.

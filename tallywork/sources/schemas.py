@@ -19,10 +19,8 @@ from tallywork.operators.quality import (
     Rule,
     Unique,
     above,
-    after,
     at_least,
     date_window,
-    differs,
     exactly_one,
     in_domain,
     max_length,
@@ -193,129 +191,3 @@ def fuel_rules() -> list[Rule]:
         Check("pricing: price above 0", "pricing", above("price_per_unit")),
         Check("loyalty_tiers: known tier", "loyalty_tiers", in_domain("loyalty_tier_description", LOYALTY_TIERS)),
     ]
-
-
-# Mountaineering club.
-CLUB_TABLES = _by_name(
-    Table(
-        "location_region_description",
-        "location_region_id BIGINT, region_description STRING",
-        (("location_region_id",),),
-        ("region_description",),
-        (("region_description", 60),),
-    ),
-    Table(
-        "emergency_contacts",
-        "emergency_contact_id BIGINT, emergency_contact_full_name STRING, emergency_contact_phone_number STRING",
-        (("emergency_contact_id",), ("emergency_contact_phone_number",)),
-        ("emergency_contact_full_name", "emergency_contact_phone_number"),
-        (("emergency_contact_full_name", 60), ("emergency_contact_phone_number", 12)),
-    ),
-    _listing("climb_status_types", "status_id", "status_label", 20),
-    _listing("participation_roles", "role_id", "role_name", 50),
-    _listing("experience_levels", "level_id", "level_name", 15),
-    _listing("equipment_type", "equipment_type_id", "equipment_type_description", 50),
-    _listing("equipment_description", "model_name_id", "model_name", 50),
-    Table(
-        "members",
-        "member_id BIGINT, full_name STRING, date_of_birth DATE, phone_number STRING, email STRING, "
-        "emergency_contact_id BIGINT",
-        (("member_id",), ("phone_number",), ("email",)),
-        ("full_name", "date_of_birth", "phone_number", "email"),
-        (("full_name", 60), ("phone_number", 12), ("email", 30)),
-        (("emergency_contact_id", "emergency_contacts"),),
-    ),
-    Table(
-        "member_experience_history",
-        "history_id BIGINT, member_id BIGINT, level_id BIGINT, achieved_date DATE, certification_ref STRING",
-        (("history_id",),),
-        ("member_id", "level_id", "achieved_date"),
-        (("certification_ref", 50),),
-        (("member_id", "members"), ("level_id", "experience_levels")),
-    ),
-    Table(
-        "mountains",
-        "mountain_id BIGINT, name STRING, evaluation_meters INT, difficulty_rating INT, location_region_id BIGINT",
-        (("mountain_id",), ("name",)),
-        ("name", "evaluation_meters", "difficulty_rating", "location_region_id"),
-        (("name", 60),),
-        (("location_region_id", "location_region_description"),),
-    ),
-    Table(
-        "equipment_inventory",
-        "equipment_id BIGINT, model_name_id BIGINT, serial_number STRING, equipment_type_id BIGINT, "
-        "last_inspection_date DATE",
-        (("equipment_id",), ("serial_number",)),
-        ("model_name_id", "serial_number", "equipment_type_id", "last_inspection_date"),
-        (("serial_number", 30),),
-        (("model_name_id", "equipment_description"), ("equipment_type_id", "equipment_type")),
-    ),
-    Table(
-        "climbs",
-        "climb_id BIGINT, mountain_id BIGINT, scheduled_start DATE, scheduled_end DATE",
-        (("climb_id",),),
-        ("mountain_id", "scheduled_start", "scheduled_end"),
-        parents=(("mountain_id", "mountains"),),
-    ),
-    Table(
-        "climb_status_log",
-        "log_id BIGINT, climb_id BIGINT, status_id BIGINT, changed_at TIMESTAMP",
-        (("log_id",),),
-        ("climb_id", "status_id", "changed_at"),
-        parents=(("climb_id", "climbs"), ("status_id", "climb_status_types")),
-    ),
-    Table(
-        "equipment_assignments",
-        "assignment_id BIGINT, equipment_id BIGINT, climb_id BIGINT, member_id BIGINT, "
-        "checkout_date DATE, return_date DATE",
-        (("assignment_id",),),
-        ("equipment_id", "climb_id", "member_id", "checkout_date"),
-        parents=(("equipment_id", "equipment_inventory"), ("climb_id", "climbs"), ("member_id", "members")),
-    ),
-    Table(
-        "climb_participants",
-        "participation_id BIGINT, climb_id BIGINT, member_id BIGINT, role_id BIGINT, "
-        "joined_at TIMESTAMP, left_at TIMESTAMP",
-        (("participation_id",),),
-        ("climb_id", "member_id", "role_id", "joined_at"),
-        parents=(("climb_id", "climbs"), ("member_id", "members"), ("role_id", "participation_roles")),
-    ),
-    Table(
-        "safety_mentorships",
-        "mentorship_id BIGINT, mentor_id BIGINT, mentee_id BIGINT, start_date DATE, end_date DATE",
-        (("mentorship_id",),),
-        ("start_date", "end_date"),
-        parents=(("mentor_id", "members"), ("mentee_id", "members")),
-    ),
-    Table(
-        "member_gear_competency",
-        "member_id BIGINT, equipment_type_id BIGINT, is_certified BOOLEAN",
-        (("member_id", "equipment_type_id"),),
-        ("is_certified",),
-        parents=(("member_id", "members"), ("equipment_type_id", "equipment_type")),
-    ),
-)
-
-CLUB_START = dt.date(2000, 1, 1)
-
-
-def club_rules() -> list[Rule]:
-    """Every constraint of the club."""
-    dated = (
-        ("members", "date_of_birth"),
-        ("member_experience_history", "achieved_date"),
-        ("equipment_inventory", "last_inspection_date"),
-        ("climbs", "scheduled_start"),
-        ("climbs", "scheduled_end"),
-        ("climb_status_log", "changed_at"),
-        ("equipment_assignments", "checkout_date"),
-        ("equipment_assignments", "return_date"),
-        ("safety_mentorships", "start_date"),
-        ("safety_mentorships", "end_date"),
-    )
-    return [
-        *structural_rules(CLUB_TABLES),
-        *[Check(f"{t}: {c} after start", t, after(c, CLUB_START)) for t, c in dated],
-        Check("mountains: height above 0", "mountains", above("evaluation_meters")),
-        Check("safety_mentorships: not self", "safety_mentorships", differs("mentee_id", "mentor_id")),
-    ]
