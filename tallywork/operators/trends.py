@@ -7,9 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.functions.columns import amount_text, percent_text, share_of
+from tallywork.functions.columns import amount_text, as_column, percent_text, share_of
 from tallywork.functions.running import groups_between, peer_total
-from tallywork.session import written
 
 
 def next_gap(
@@ -20,23 +19,27 @@ def next_gap(
     year: str,
     next_year: str = "next_release_year",
     gap: str = "gap_size",
+    years: DataFrame | None = None,
 ) -> DataFrame:
     """For each distinct (entity, item, year): the entity's next later year and the gap.
 
-    Items in an entity's last year are dropped. ``lead`` runs over the distinct
-    years of an entity (equal years cannot be "next"), which are few, and joins
-    back, so no task holds all items of an entity and nothing is paired up. The
-    distinct rows are written once; the joins behind ``events`` would otherwise
-    run twice.
+    Items in an entity's last year are dropped. ``lead`` runs over the distinct years of an
+    entity (equal years cannot be "next"), which are few, and joins back, so no task holds
+    all items of an entity and nothing is paired up. ``years`` may give the rows (entity,
+    year) from a cheaper frame than ``events``, whose joins would otherwise run twice; it
+    must have no year of an entity that ``events`` lacks.
     """
-    listed = written(events.select(entity, item, year).distinct())
-    years = listed.select(F.col(entity).alias("_entity"), F.col(year).alias("_year")).distinct()
+    known = (events if years is None else years).select(F.col(entity).alias("_entity"), F.col(year).alias("_year"))
     ordered = Window.partitionBy("_entity").orderBy("_year")
-    following = years.withColumn(next_year, F.lead("_year").over(ordered)).filter(
-        F.col(next_year).isNotNull()
+    following = (
+        known.distinct()
+        .withColumn(next_year, F.lead("_year").over(ordered))
+        .filter(F.col(next_year).isNotNull())
     )
     return (
-        listed.join(following, (F.col(entity) == F.col("_entity")) & (F.col(year) == F.col("_year")))
+        events.select(entity, item, year)
+        .distinct()
+        .join(following, (F.col(entity) == F.col("_entity")) & (F.col(year) == F.col("_year")))
         .drop("_entity", "_year")
         .withColumn(gap, F.col(next_year) - F.col(year))
         .orderBy(F.col(gap).desc(), F.col(item).desc_nulls_first())
@@ -83,8 +86,14 @@ def share_report_text(report: DataFrame, amount: str = "amount_sold") -> DataFra
 
 
 def daily_totals(sales: DataFrame, *, day: str, amount: str, out: str = "sales") -> DataFrame:
-    """One row per day that has sales. The windows below run on these few rows."""
-    return sales.groupBy(day).agg(F.sum(amount).alias(out))
+    """One row per day that has sales, whatever the time of day. The windows below run on
+    these few rows."""
+    return sales.groupBy(F.to_date(day).alias(day)).agg(F.sum(amount).alias(out))
+
+
+def iso_year(day: Column | str) -> Column:
+    """The year an ISO week belongs to: week 1 of 1997 begins in December 1996."""
+    return F.extract(F.lit("YEAROFWEEK"), as_column(day))
 
 
 def cumulative_in_period(
@@ -152,13 +161,13 @@ def range_running_total(
     price: str,
     quantity: str,
     out: str = "cumulative_qty_by_price",
-    **sizing: int,
+    slices: int | None = None,
 ) -> DataFrame:
     """Running quantity by price over raw rows; rows with one price share one total.
 
     Rows are not sorted: order the result by ``price`` to print it.
     """
-    return peer_total(sales, quantity, out, order_by=price, **sizing)
+    return peer_total(sales, quantity, out, order_by=price, slices=slices)
 
 
 def groups_frame_total(

@@ -18,8 +18,10 @@ def next_gap(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"))
     orders = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("order_year"))
     events = lines.join(orders, "o_orderkey").join(t.part.select("p_partkey", "p_name"), "p_partkey")
+    # Every line has a part, so the orders that have lines know the years without the parts.
+    years = orders.join(lines, "o_orderkey", "left_semi")
     return trends.next_gap(
-        events, entity="o_custkey", item="p_name", year="order_year", next_year="next_order_year"
+        events, entity="o_custkey", item="p_name", year="order_year", next_year="next_order_year", years=years
     )
 
 
@@ -69,12 +71,25 @@ FROM compared WHERE y >= 1997
 """
 
 
+def share_and_prior_text(t: Tables) -> DataFrame:
+    return trends.share_report_text(share_and_prior(t))
+
+
+SHARE_AND_PRIOR_TEXT = f"""
+SELECT r_name, order_year, o_orderpriority,
+       lpad(format('{{:,}}', (floor(amount_sold + 0.5))::BIGINT), 14, ' ') || '$' AS amount_sold,
+       by_channels::DECIMAL(9,2)::VARCHAR || '%' AS by_channels,
+       previous_period::DECIMAL(9,2)::VARCHAR || '%' AS previous_period, delta::DECIMAL(9,2)::VARCHAR || '%' AS delta
+FROM ({SHARE_AND_PRIOR})
+"""
+
+
 def daily_orders(t: Tables, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     orders = t.orders if start is None else t.orders.filter(within("o_orderdate", start, end))
     daily = trends.daily_totals(orders, day="o_orderdate", amount="o_totalprice")
     return daily.select(
-        F.to_date("o_orderdate").alias("day"),
-        F.year("o_orderdate").alias("order_year"),
+        F.col("o_orderdate").alias("day"),
+        trends.iso_year("o_orderdate").alias("order_year"),
         F.weekofyear("o_orderdate").alias("week"),
         F.date_format("o_orderdate", "EEEE").alias("day_name"),
         "sales",
@@ -83,7 +98,7 @@ def daily_orders(t: Tables, start: dt.date | None = None, end: dt.date | None =
 
 _DAILY = """
 WITH daily AS (
-  SELECT o_orderdate::DATE AS day, year(o_orderdate) AS order_year, week(o_orderdate) AS week,
+  SELECT o_orderdate::DATE AS day, isoyear(o_orderdate) AS order_year, week(o_orderdate) AS week,
          dayname(o_orderdate) AS day_name, sum(o_totalprice::DECIMAL(18,2)) AS sales,
          sum(round(o_totalprice * 100)::HUGEINT) AS cents
   FROM orders{where} GROUP BY ALL
@@ -193,6 +208,7 @@ FROM daily
 QUERIES = {
     "r09_next_gap": Query(next_gap, NEXT_GAP),
     "r10_share_and_prior": Query(share_and_prior, SHARE_AND_PRIOR),
+    "r10_share_text": Query(share_and_prior_text, SHARE_AND_PRIOR_TEXT),
     "r11_cumulative_in_week": Query(cumulative_in_week, CUMULATIVE_IN_WEEK),
     "r12_centered_average": Query(centered_average, CENTERED_AVERAGE),
     "r13_rolling_rows_average": Query(rolling_rows_average, ROLLING_ROWS_AVERAGE),

@@ -194,3 +194,45 @@ def test_texts_and_periods(frame):
     ).first()
     assert tuple(got) == ("2026 Q1", dt.date(2026, 2, 28), "client_mary_smith", "Mary Smith", None, "Elm St ")
     assert columns.quarter_range(1999, 4) == (dt.datetime(1999, 10, 1), dt.datetime(2000, 1, 1))
+
+
+def test_daily_reports_with_times_of_day_and_across_new_year(spark, tmp_path):
+    """The daily queries on orders that carry a time, beside their SQL."""
+    import check
+    from pyspark.sql import functions as F
+
+    from tallywork.plans import trends as bound
+
+    source = "/root/testdata/sf0.001"
+    for name in check.TABLES:
+        df = spark.read.parquet(f"{source}/{name}.parquet")
+        if name == "orders":
+            df = df.withColumn("o_orderdate", F.expr("o_orderdate + make_interval(0, 0, 0, 0, int(o_orderkey % 24), int(o_orderkey % 60), 0)"))
+        df.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = __import__("duckdb").connect()
+    for name in check.TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    for name in ("r11_cumulative_in_week", "r12_centered_average", "r13_rolling_rows_average", "r15_groups_frame"):
+        query = bound.QUERIES[name]
+        assert check.compare(query.run(spark, str(tmp_path)), con, query.sql).startswith("ok"), name
+    weeks = bound.QUERIES["r11_cumulative_in_week"].run(spark, str(tmp_path)).groupBy("order_year", "week")
+    widest = weeks.agg(F.datediff(F.max("day"), F.min("day")).alias("d")).agg(F.max("d")).first()[0]
+    assert widest <= 6
+
+
+def test_top_n_is_bounded(frame):
+    import pytest
+
+    from tallywork.operators import ranking
+
+    df = frame([("a", 1, 2)], "g string, m int, v int")
+    for n in (0, 1001):
+        with pytest.raises(ValueError, match="windowGroupLimitThreshold"):
+            ranking.top_n_per_group_with_share(df, group="g", member="m", amount="v", n=n)
+
+
+def test_joined_text_takes_any_separator(frame):
+    from tallywork.operators.catalog import joined_text
+
+    df = frame([(1, "b"), (1, "a"), (1, None), (2, None)], "k int, t string")
+    assert sorted(map(tuple, joined_text(df, ["k"], "t", "o", separator="' \\").collect())) == [(1, "a' \\b"), (2, None)]
