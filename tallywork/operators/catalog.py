@@ -143,5 +143,6 @@ def joined_text(
     """Texts of a group in one string, in text order; NULL texts are skipped and
     a group with none gives NULL. The result is one cell per group, so a group's
     text must fit in one value; ``keys`` should be as fine as the list is meant."""
-    ordered = F.expr(f"listagg(`{text}`, '{separator}') WITHIN GROUP (ORDER BY `{text}`)")
-    return df.groupBy(*keys).agg(ordered.alias(out))
+    listed = df.groupBy(*keys).agg(F.sort_array(F.collect_list(text)).alias(out))
+    joined = F.array_join(out, separator)
+    return listed.withColumn(out, F.when(F.size(out) > 0, joined))

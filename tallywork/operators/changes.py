@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.keys import absent, among, flagged, lookup
 from tallywork.functions.running import numbered
+from tallywork.session import written
 
 
 class Change(NamedTuple):
@@ -93,17 +94,19 @@ def assign_ids(
     batch: DataFrame,
     id_column: str,
     order_by: Sequence[Column | str] | None = None,
-    **sizing: int,
+    slices: int | None = None,
 ) -> DataFrame:
     """Give batch rows ids after the largest id of the target.
 
-    With ``order_by`` (a total order) ids are consecutive. Without it they are
-    unique with gaps, as a sequence allows, and need no shuffle.
+    With ``order_by`` (a total order) ids are consecutive. Without it they are unique with
+    gaps, as a sequence allows, and need no shuffle; the batch is then written once with
+    its ids, because a recomputed task could give its rows other ones.
     """
     last = target.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("last")).scalar()
     if order_by is None:
-        return batch.withColumn(id_column, last + F.monotonically_increasing_id() + F.lit(1))
-    ids = numbered(batch, id_column, order_by=order_by, **sizing)
+        placed = written(batch.withColumn(id_column, F.monotonically_increasing_id()))
+        return placed.withColumn(id_column, last + F.col(id_column) + F.lit(1))
+    ids = numbered(batch, id_column, order_by=order_by, slices=slices)
     return ids.withColumn(id_column, F.col(id_column) + last)
 
 

@@ -139,18 +139,20 @@ def add_items(
     rows = lookup(rows, known, {"_plain": "_language"})
     taken = items.select(F.upper(title).alias("_title"))
     asked = batch.select(F.upper(title).alias("_title")).distinct()
-    existing = (
-        taken.join(asked, "_title", "left_semi")
-        .distinct()
-        .select(F.col("_title").alias("_taken"), F.lit(True).alias("_exists"))
+    existing = taken.join(asked, "_title", "left_semi").select(
+        "_title", F.lit(True).alias("_exists"), F.lit(None).cast(rows.schema[arrival].dataType).alias("_first")
     )
-    earliest = (
-        rows.filter(F.col("language_id").isNotNull())
-        .groupBy(F.col("_title").alias("_offered"))
-        .agg(F.min(arrival).alias("_first"))
+    offered = rows.filter(F.col("language_id").isNotNull()).select(
+        "_title", F.lit(False).alias("_exists"), F.col(arrival).alias("_first")
     )
-    judged = lookup(lookup(rows, existing, {"_title": "_taken"}), earliest, {"_title": "_offered"})
-    duplicate = F.col("_exists").isNotNull() | (F.col(arrival) > F.col("_first"))
+    # One row per title and one join with it: two joins in a row on a hot title could not be split.
+    titles = (
+        existing.unionByName(offered)
+        .groupBy(F.col("_title").alias("_known"))
+        .agg(F.max("_exists").alias("_exists"), F.min("_first").alias("_first"))
+    )
+    judged = lookup(rows, titles, {"_title": "_known"})
+    duplicate = F.coalesce(F.col("_exists"), F.lit(False)) | F.coalesce(F.col(arrival) > F.col("_first"), F.lit(False))
     return (
         judged.withColumn(
             REASON,
@@ -222,16 +224,24 @@ LEHMER_MULTIPLIER = 48271
 LEHMER_MODULUS = 2147483647
 
 
+def _lehmer(state: Column, seed: int, draw: int) -> Column:
+    for _ in range(3):
+        state = (state * F.lit(LEHMER_MULTIPLIER) + F.lit(seed + draw)) % F.lit(LEHMER_MODULUS)
+    return state
+
+
 def seeded_number(series: Column, seed: int, draw: int = 0) -> Column:
-    """Pseudo-random integer in [0, modulus) from a row's own number.
+    """Pseudo-random integer of 62 bits from a row's own number.
 
-    Unlike ``rand(seed)`` it does not depend on the partition a row is in, so a
-    retried task makes the same rows.
+    Unlike ``rand(seed)`` it does not depend on the partition a row is in, so a retried
+    task makes the same rows. Two draws of 31 bits are put together, the second from the
+    part of the number above the modulus, so that numbers and keys may exceed 2**31.
     """
-    step = (series.cast("bigint") + F.lit(seed + 7919 * draw + 1)) % F.lit(LEHMER_MODULUS)
-    for _ in range(3):
-        step = (step * F.lit(LEHMER_MULTIPLIER) + F.lit(seed + draw)) % F.lit(LEHMER_MODULUS)
-    return step
+    number = series.cast("bigint")
+    high = _lehmer(F.pmod(number + F.lit(seed + 7919 * draw + 1), F.lit(LEHMER_MODULUS)), seed, draw)
+    above = F.floor(number / F.lit(LEHMER_MODULUS)).cast("bigint")
+    low = _lehmer(F.pmod(high + above + F.lit(1), F.lit(LEHMER_MODULUS)), seed + 1, draw)
+    return high * F.lit(1 << 31) + low
 
 
 def seeded_amount(series: Column, seed: int, draw: int, low: str, high: str) -> Column:
@@ -253,7 +263,7 @@ def seeded_rows(
     step_days: int = 18,
     steps: int = 6,
     seed: int = 1,
-    **sizing: int,
+    slices: int | None = None,
 ) -> DataFrame:
     """Synthetic facts: for each number of ``series`` one pick of every key list, an
     amount in a range and a date some steps before ``start``.
@@ -264,7 +274,7 @@ def seeded_rows(
     rows = series.select(F.col(number).cast("bigint").alias(number))
     value = F.col(number)
     for draw, (frame, key) in enumerate(picks):
-        keys = numbered(frame.select(key).distinct(), "_at", order_by=[key], start=0, stored=True, **sizing)
+        keys = numbered(frame.select(key).distinct(), "_at", order_by=[key], start=0, slices=slices)
         size = keys.agg(F.count(F.lit(1)).alias("n")).scalar()
         rows = rows.withColumn("_at", seeded_number(value, seed, draw) % size).join(keys, "_at").drop("_at")
     back = (value % F.lit(steps)) * F.lit(step_days)
@@ -276,16 +286,11 @@ def seeded_rows(
     )
 
 
-def full_grid(left: DataFrame, right: DataFrame, blocks: int | None = None) -> DataFrame:
-    """Every left row with every right row.
+def pairs_in_use(facts: DataFrame, pair: Sequence[str]) -> DataFrame:
+    """The pairs (station and fuel, say) that occur in ``facts``, once each, with whatever
+    columns ``pair`` names.
 
-    The smaller side should be ``right``: it is repeated once per block and meets
-    the left rows of that block by an equi-join, so the work spreads over
-    ``blocks`` tasks (default: the session's shuffle partitions) without a
-    cartesian product and without a size limit.
+    The whole grid of two lists has a row for every pair, most of which no fact ever uses;
+    it is not built. Repeats combine in every task before the shuffle.
     """
-    if blocks is None:
-        blocks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = left.withColumn("_block", F.pmod(F.xxhash64(*left.columns), F.lit(blocks)).cast("int"))
-    repeated = right.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return placed.join(repeated, "_block").drop("_block")
+    return facts.select(*pair).distinct()

@@ -69,15 +69,15 @@ def running_stock(
     change: Column | str,
     order_by: Sequence[Column | str],
     out: str = "remaining_stock",
-    **sizing: int,
+    slices: int | None = None,
 ) -> DataFrame:
     """Stock after each change of a tank, starting from 0.
 
-    ``order_by`` ends with the log id. A tank whose log exceeds the row limit of
-    one task is cut into time slices (see :mod:`tallywork.functions.running`).
+    ``order_by`` ends with the log id. The log is cut into slices of its sort order, so a
+    tank with very many changes spreads over tasks (:mod:`tallywork.functions.running`).
     """
     filled = F.coalesce(as_column(change), F.lit(0))
-    return running_total(ledger, filled, out, partition_by=tank, order_by=order_by, **sizing)
+    return running_total(ledger, filled, out, partition_by=tank, order_by=order_by, slices=slices)
 
 
 def latest_price(
@@ -103,11 +103,11 @@ def price_as_of(
 ) -> DataFrame:
     """Each sale with the price row in force on its day (NULL before the first price).
 
-    As-of join without pairing a sale with its key's whole history. Price rows
-    are dates, so a (key, month) has at most 31 changes after one is kept per
-    day. Each month between a key's first and last change carries its changes
-    and the last one before it; a sale looks at its own month only, or at the
-    newest price when it is later than the last change.
+    As-of join without pairing a sale with its key's whole history. Price rows are dates,
+    so a (key, month) has at most 31 changes after one is kept per day. A month with
+    changes carries them and the last one before it; it also stands for the months until
+    the next with changes, where the price does not change. A sale looks at its own month
+    only, or at the newest price when it is later than the last change.
     """
     keys = list(keys)
 
@@ -117,29 +117,32 @@ def price_as_of(
     per_day = pricing.dropna(subset=keys).groupBy(*keys, F.to_date(effective).alias("_day")).agg(
         F.max(F.struct(*columns)).alias("_row")
     )
-    monthly = per_day.groupBy(*keys, month(F.col("_day")).alias("_month")).agg(
-        F.sort_array(F.collect_list(F.struct("_day", "_row"))).alias("_changes")
+    in_order = Window.partitionBy(*keys).orderBy("_from")
+    monthly = (
+        per_day.groupBy(*keys, month(F.col("_day")).alias("_from"))
+        .agg(F.sort_array(F.collect_list(F.struct("_day", "_row"))).alias("_changes"))
+        .withColumn("_final", F.element_at("_changes", -1)["_row"])
+        .withColumns({"_opening": F.lag("_final").over(in_order), "_until": F.lead("_from").over(in_order)})
     )
-    earlier = Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    opening = F.last(F.element_at("_changes", -1)["_row"], ignorenulls=True).over(earlier)
-    months = F.sequence(F.min("_month"), F.max("_month"), F.expr("INTERVAL 1 MONTH"))
-    calendar = (
-        monthly.groupBy(*keys)
-        .agg(months.alias("_months"))
-        .select(*keys, F.explode("_months").alias("_month"))
-        .join(monthly, [*keys, "_month"], "left")
-        .withColumn("_opening", opening)
+    one = F.expr("INTERVAL 1 MONTH")
+    here = F.coalesce(F.add_months("_until", -1), F.col("_from"))
+    covered = monthly.select(
+        *keys, F.explode(F.sequence("_from", here, one)).alias("_month"), "_from", "_changes", "_opening", "_final"
+    )
+    newest = monthly.filter(F.col("_until").isNull()).select(
+        *keys, F.col("_from").alias("_last_month"), F.col("_final").alias("_newest")
     )
-    newest = monthly.groupBy(*keys).agg(
-        F.max("_month").alias("_last_month"), F.max_by("_changes", "_month").alias("_last_changes")
-    ).select(*keys, "_last_month", F.element_at("_last_changes", -1)["_row"].alias("_newest"))
 
     dated = sales.withColumn("_on", F.to_date(sold_at)).withColumn("_month", month(F.col("_on")))
     found = lookup(dated, *aside(newest, keys))
-    found = lookup(found, *aside(calendar, [*keys, "_month"]))
+    found = lookup(found, *aside(covered, [*keys, "_month"]))
     in_force = F.filter("_changes", lambda change: change["_day"] <= F.col("_on"))
     in_month = F.coalesce(F.try_element_at(in_force, F.lit(-1))["_row"], F.col("_opening"))
-    current = F.when(F.col("_month") > F.col("_last_month"), F.col("_newest")).otherwise(in_month)
+    current = (
+        F.when(F.col("_month") > F.col("_last_month"), F.col("_newest"))
+        .when(F.col("_month") > F.col("_from"), F.col("_final"))
+        .otherwise(in_month)
+    )
     return found.withColumns({c: current[c] for c in columns}).drop(
-        "_on", "_month", "_changes", "_opening", "_last_month", "_newest"
+        "_on", "_month", "_from", "_changes", "_opening", "_final", "_last_month", "_newest"
     )

@@ -1,8 +1,8 @@
 """Top-n reports. Ties are kept: ``rank``, never ``row_number``.
 
 Spark trims ``rank() <= n`` in every task before the shuffle (WindowGroupLimit,
-for ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that for
-a larger ``n``), so what reaches a group's task is n rows and their ties from
+for ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``; a larger ``n`` is
+refused until that is raised), so what reaches a group's task is n rows and their ties from
 each task, not the group.
 """
 
@@ -15,6 +15,18 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.columns import share_of
 
+# Up to here Spark trims ranked rows in every task before the shuffle (the default of
+# spark.sql.optimizer.windowGroupLimitThreshold).
+LARGEST_N = 1000
+
+
+def _checked(df: DataFrame, n: int) -> int:
+    """``n``, if rows are trimmed to it before the shuffle; beyond, a whole group would go to one task."""
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", str(LARGEST_N)))
+    if not 0 < n <= limit:
+        raise ValueError(f"n must be from 1 to {limit} (spark.sql.optimizer.windowGroupLimitThreshold), not {n}")
+    return n
+
 
 def top_n_per_group_with_share(
     sales: DataFrame,
@@ -32,6 +44,7 @@ def top_n_per_group_with_share(
     reuses their shuffle) and joins only the few ranked rows. A window total
     would send all members of a group to one task.
     """
+    n = _checked(sales, n)
     sums = sales.groupBy(group, member).agg(F.sum(amount).alias(total))
     order = Window.partitionBy(group).orderBy(F.col(total).desc_nulls_last())
     best = sums.withColumn("_rank", F.rank().over(order)).filter(F.col("_rank") <= n).drop("_rank")
@@ -56,6 +69,7 @@ def consistent_top_n(
     out: str = "amount_sold",
 ) -> DataFrame:
     """Members ranked in the top ``n`` of their group in every one of ``periods``, with the sum."""
+    n = _checked(sales, n)
     sums = (
         sales.filter(F.col(period).isin(list(periods)))
         .groupBy(period, group, member)

@@ -149,14 +149,19 @@ def search_history(
     tie_break: Sequence[str],
     first_name: str = "first_name",
     last_name: str = "last_name",
-    **sizing: int,
+    languages: DataFrame | None = None,
+    language_key: str = "language_id",
+    slices: int | None = None,
 ) -> DataFrame:
     """Rentals of items whose title matches, newest first, numbered from 1.
 
     The match is case-insensitive with ``%`` and ``_`` as wildcards. ``tie_break``
-    orders rentals of the same moment.
+    orders rentals of the same moment. With ``languages`` the item's language joins in by
+    ``language_key``; items without one are then left out.
     """
     matching = items.filter(F.col(title).ilike(pattern))
+    if languages is not None:
+        matching = matching.join(languages, language_key)
     found = (
         copies.join(matching, item_key)
         .join(rentals, copy_key)
@@ -164,7 +169,7 @@ def search_history(
         .withColumn("customer_name", full_name(first_name, last_name))
     )
     order = [F.col(rented_at).desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in tie_break]]
-    return numbered(found, "row_num", order_by=order, stored=True, **sizing)
+    return numbered(found, "row_num", order_by=order, slices=slices)
 
 
 def rewards(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from tallywork.functions.columns import instant
 from tallywork.operators import changes, intake, ledger
 from tallywork.operators.intake import SaleTables
 from tallywork.plans.query import Query
-from tallywork.sources.sinks import with_month_bucket
+from tallywork.session import written_folder
+from tallywork.sources.sinks import with_month_bucket, write_partitioned
 from tallywork.sources.tables import Tables
 
 # Roles: lines shipped before this day are the table, later lines the batch; the
@@ -153,6 +155,18 @@ FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01'
 """
 
 
+def _update_column(t: Tables) -> changes.Change:
+    customers = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
+    return changes.update_column(customers, "c_acctbal", "1234.5", "c_custkey", 7)
+
+
+UPDATE_COLUMN = """
+SELECT c_custkey, c_mktsegment,
+       (CASE WHEN c_custkey = 7 THEN 1234.50 ELSE c_acctbal::DECIMAL(18,2) END)::DOUBLE AS c_acctbal
+FROM customer
+"""
+
+
 def _delete(t: Tables) -> changes.Change:
     orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     return changes.delete_where(orders, _overdrawn(t), ["o_custkey"])
@@ -362,7 +376,7 @@ WITH prices AS (
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey
   JOIN nation ON n_nationkey = s_nationkey JOIN part ON p_partkey = l_partkey
   WHERE o_orderstatus = 'F' AND (p_type <> 'PROMO' OR n_regionkey <> 2)
-  GROUP BY n_nationkey, p_type, o_orderdate
+  GROUP BY n_nationkey, p_type, d, pricing_id
 ), newest AS (
   SELECT n_nationkey, p_type, max(d) AS d FROM prices GROUP BY n_nationkey, p_type
 ), latest AS (
@@ -534,13 +548,18 @@ def seeded_rows(t: Tables) -> DataFrame:
     )
 
 
-def _draw(number: str, seed: int, draw: int) -> str:
-    step = f"(({number} + {seed + 7919 * draw + 1}) % 2147483647)"
+def _lehmer(step: str, seed: int, draw: int) -> str:
     for _ in range(3):
         step = f"(({step} * 48271 + {seed + draw}) % 2147483647)"
     return step
 
 
+def _draw(number: str, seed: int, draw: int) -> str:
+    high = _lehmer(f"(({number} + {seed + 7919 * draw + 1}) % 2147483647)", seed, draw)
+    low = _lehmer(f"(({high} + {number} // 2147483647 + 1) % 2147483647)", seed + 1, draw)
+    return f"({high} * 2147483648 + {low})"
+
+
 def _amount(number: str, seed: int, draw: int, low: int, high: int) -> str:
     """SQL for an amount between two numbers of cents, rounded half up."""
     unit = f"({_draw(number, seed, draw)} % 100001)"
@@ -562,12 +581,14 @@ FROM drawn JOIN customers USING (c_at) JOIN suppliers USING (s_at)
 """
 
 
-def full_grid(t: Tables) -> DataFrame:
-    brands = (
-        t.part.select("p_brand", F.regexp_extract("p_brand", r"\d+", 0).cast("bigint").alias("brand_no"))
-        .distinct()
+def priced_pairs(t: Tables) -> DataFrame:
+    brands = t.part.select(
+        F.col("p_partkey").alias("l_partkey"),
+        "p_brand",
+        F.regexp_extract("p_brand", r"\d+", 0).cast("bigint").alias("brand_no"),
     )
-    grid = intake.full_grid(t.supplier.select("s_suppkey"), brands)
+    lines = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), "l_partkey")
+    grid = intake.pairs_in_use(lines.join(brands, "l_partkey"), ["s_suppkey", "p_brand", "brand_no"])
     number = F.col("s_suppkey") * 100 + F.col("brand_no")
     return grid.withColumns(
         {
@@ -577,10 +598,11 @@ def full_grid(t: Tables) -> DataFrame:
     )
 
 
-FULL_GRID = f"""
+PRICED_PAIRS = f"""
 SELECT s_suppkey, p_brand, brand_no, {_amount('(s_suppkey * 100 + brand_no)', 7, 0, 250, 400)} AS price_per_unit,
        '2001-01-01' AS effective_date
-FROM supplier CROSS JOIN (SELECT DISTINCT p_brand, p_brand[7:]::BIGINT AS brand_no FROM part)
+FROM (SELECT DISTINCT l_suppkey AS s_suppkey, p_brand, p_brand[7:]::BIGINT AS brand_no
+      FROM lineitem JOIN part ON p_partkey = l_partkey)
 """
 
 # Months that have a partition of their own; the rest go to the default one.
@@ -588,8 +610,11 @@ MONTHS = tuple(f"{year}-{month:02d}" for year in range(1996, 2001) for month in
 
 
 def partitioned_sink(t: Tables) -> DataFrame:
+    """Written by month and read back, the default bucket included."""
     orders = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
-    return with_month_bucket(orders, "o_orderdate", MONTHS)
+    path = f"{written_folder(t.spark)}/{uuid.uuid4().hex}"
+    write_partitioned(with_month_bucket(orders, "o_orderdate", MONTHS), path)
+    return t.spark.read.parquet(path)
 
 
 PARTITIONED_SINK = """
@@ -607,6 +632,7 @@ QUERIES = {
     "c04_assign_ids": Query(assign_ids, ASSIGN_IDS),
     "c05_update_where": Query(lambda t: _update(t).table, _UPDATED),
     "c05_changed_rows": Query(lambda t: _update(t).rows, _UPDATED + "WHERE hit"),
+    "c05_update_column": Query(lambda t: _update_column(t).table, UPDATE_COLUMN),
     "c06_delete_where": Query(lambda t: _delete(t).table, _DELETED.format("NOT IN")),
     "c06_removed_rows": Query(lambda t: _delete(t).rows, _DELETED.format("IN")),
     "c07_price_on_ingest": Query(price_on_ingest, PRICE_ON_INGEST),
@@ -622,6 +648,6 @@ QUERIES = {
     "c15_rental_batch": Query(rental_batch, RENTAL_BATCH),
     "c16_match_pairs": Query(match_pairs, MATCH_PAIRS),
     "c17_seeded_rows": Query(seeded_rows, SEEDED_ROWS),
-    "c18_full_grid": Query(full_grid, FULL_GRID),
+    "c18_full_grid": Query(priced_pairs, PRICED_PAIRS),
     "c19_partitioned_sink": Query(partitioned_sink, PARTITIONED_SINK),
 }

@@ -8,7 +8,6 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions.columns import instant
 from tallywork.operators import rental
 from tallywork.plans.query import Query
 from tallywork.sources.tables import Tables
@@ -78,7 +77,7 @@ WHERE rental_count = (SELECT max(rental_count) FROM counts b WHERE b.n_name = a.
 def search_history(t: Tables) -> DataFrame:
     names = F.split("c_name", "#")
     return rental.search_history(
-        t.part.select("p_partkey", "p_name", "p_brand"),
+        t.part.select("p_partkey", "p_name", "p_brand", F.col("p_size").alias("language_id")),
         t.lineitem.select(
             F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "l_linenumber"
         ),
@@ -93,18 +92,20 @@ def search_history(t: Tables) -> DataFrame:
         customer_key="o_custkey",
         rented_at="o_orderdate",
         tie_break=["o_orderkey", "p_partkey", "l_linenumber"],
+        # Roles: a nation is a language, by its key; sizes beyond the nations have none.
+        languages=t.nation.select(F.col("n_nationkey").alias("language_id"), F.col("n_name").alias("language")),
     ).select(
-        "row_num", "p_name", "p_brand", "customer_name", "o_orderdate", "o_orderkey", "p_partkey", "l_linenumber"
+        "row_num", "p_name", "p_brand", "language", "customer_name", "o_orderdate", "o_orderkey", "p_partkey", "l_linenumber"
     )
 
 
 SEARCH_HISTORY = """
 SELECT row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey, p_partkey, l_linenumber) AS row_num,
-       p_name, p_brand, replace(c_name, '#', ' ') AS customer_name,
+       p_name, p_brand, n_name AS language, replace(c_name, '#', ' ') AS customer_name,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderkey, p_partkey,
        l_linenumber::BIGINT AS l_linenumber
 FROM part JOIN lineitem ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey
-JOIN customer ON c_custkey = o_custkey
+JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = p_size
 WHERE p_name ILIKE '%WIDGET%'
 """
 
@@ -182,7 +183,6 @@ FROM customer LEFT JOIN fees f ON f.o_custkey = c_custkey LEFT JOIN paid p ON p.
 """
 
 # Roles: a (part, supplier) pair is a copy, an order line its rental; lines flagged N are still out.
-STOCK_DAY = dt.date(1999, 1, 1)
 
 
 def _copies_and_rentals(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -195,7 +195,7 @@ def _copies_and_rentals(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("l_returnflag") != "N", F.col("l_shipdate")).alias("return_date"),
     )
     copies = t.lineitem.select("l_partkey", "l_suppkey").distinct()
-    return copies, rentals.filter(F.col("l_shipdate") < instant(STOCK_DAY))
+    return copies, rentals
 
 
 _STATUS = {
@@ -222,7 +222,7 @@ WITH newest AS (
   SELECT l_partkey, l_suppkey, l_returnflag = 'N' AS is_out,
          row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_shipdate DESC, l_orderkey DESC,
                             l_linenumber DESC, (l_returnflag = 'N') DESC) AS rn
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01'
+  FROM lineitem
 ), stock AS (
   SELECT l_partkey, l_suppkey, coalesce(is_out, FALSE) AS is_out
   FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)

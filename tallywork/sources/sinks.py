@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.session import written
 
 DEFAULT_BUCKET = "default"
 
@@ -39,7 +39,23 @@ def append(df: DataFrame, path: str) -> None:
 def replace(df: DataFrame, path: str) -> None:
     """Replace a table by a rewrite of itself.
 
-    Spark cannot overwrite files it is reading, so the new rows are first
-    written to the shared folder.
+    Spark cannot overwrite files it is reading, so the new rows go to a folder beside the
+    table, and two renames switch them. Until the first rename the old table is untouched;
+    if the second fails the old one is renamed back. The old files go last.
     """
-    written(df).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    df.write.parquet(fresh)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = files.exists(hadoop.Path(path))
+    if had and not files.rename(hadoop.Path(path), hadoop.Path(old)):
+        raise OSError(f"{path} could not be moved; the new rows are in {fresh}")
+    if not files.rename(hadoop.Path(fresh), hadoop.Path(path)):
+        if had:
+            files.rename(hadoop.Path(old), hadoop.Path(path))
+        raise OSError(f"{path} could not be replaced and is as before; the new rows are in {fresh}")
+    if had:
+        files.delete(hadoop.Path(old), True)

@@ -94,8 +94,8 @@ def test_price_and_generated_column(frame):
     assert got.schema["total_amount"].dataType.simpleString() == "decimal(15,2)"
 
 
-@pytest.mark.parametrize("limit", [3, 1000])
-def test_ledger_and_running_stock(frame, limit):
+@pytest.mark.parametrize("slices", [1, 4])
+def test_ledger_and_running_stock(frame, slices):
     deliveries = frame([(1, i, D(100), i) for i in range(6)], "tank int, id int, q decimal(12,2), at int")
     sales = frame([(1, i, D(i), i) for i in range(6)] + [(2, 9, D(4), 0)], "tank int, id int, q decimal(12,2), at int")
     log = ledger.ledger_from_sources(
@@ -103,7 +103,7 @@ def test_ledger_and_running_stock(frame, limit):
     )
     assert log.filter(F.col("sale_id").isNull() == F.col("delivery_id").isNull()).count() == 0
     order = ["at", F.col("sale_id").isNotNull(), F.coalesce("sale_id", "delivery_id")]
-    got = ledger.running_stock(log, tank=["tank"], change="change_amount", order_by=order, rows_per_task=limit)
+    got = ledger.running_stock(log, tank=["tank"], change="change_amount", order_by=order, slices=slices)
     stock, want = {}, []
     for r in sorted(log.collect(), key=lambda r: (r.at, r.sale_id is not None)):
         stock[r.tank] = stock.get(r.tank, D(0)) + r.change_amount
@@ -129,3 +129,25 @@ def test_partitioned_sink_and_replace(spark, frame, tmp_path):
     table = spark.read.parquet(plain)
     sinks.replace(changes.delete_where(table, frame([(1,)], "k int"), ["k"]).table, plain)
     assert rows(spark.read.parquet(plain), "k") == [(2,), (3,), (4,)]
+
+
+def test_a_failed_replace_leaves_the_table(spark, frame, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "t")
+    frame([(1,), (2,)], "k int").write.parquet(path)
+    bad = spark.read.parquet(path).withColumn("k", F.raise_error("broken").cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace(bad, path)
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    sinks.replace(spark.read.parquet(path).filter("k = 2"), path)
+    assert rows(spark.read.parquet(path)) == [(2,)]
+    assert not list(tmp_path.glob("t.old-*"))
+
+
+def test_ids_without_order_are_fixed_once(spark, frame):
+    batch = spark.range(100).repartition(7).select("id")
+    got = changes.assign_ids(frame([(41,)], "k bigint"), batch, "k")
+    first = rows(got)
+    assert first == rows(got) and len({r[1] for r in first}) == 100 and min(r[1] for r in first) == 42

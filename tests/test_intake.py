@@ -155,7 +155,19 @@ def test_seeded_rows_do_not_depend_on_partitions(spark, frame):
     assert min(quantities) >= 5 and max(quantities) <= 55 and len(set(quantities)) > 500
 
 
-def test_full_grid(spark):
-    left = spark.range(70).select(F.col("id").alias("a"))
-    right = spark.range(5).select(F.col("id").alias("b"))
-    assert rows(intake.full_grid(left, right)) == rows(left.crossJoin(right))
+def test_pairs_in_use(frame):
+    facts = frame([(1, "a", 5), (1, "a", 6), (2, "b", 7), (1, "b", 8)], "s int, f string, q int")
+    assert rows(intake.pairs_in_use(facts, ["s", "f"])) == [(1, "a"), (1, "b"), (2, "b")]
+
+
+def test_draws_reach_beyond_31_bits(spark):
+    """Large numbers and large key lists: draws differ, and fill the whole range."""
+    modulus = intake.LEHMER_MODULUS
+    numbers = [3, 3 + modulus, 3 + 2 * modulus, 2**40, 2**40 + modulus]
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    drawn = [r[0] for r in df.select(intake.seeded_number(F.col("n"), 11)).collect()]
+    assert len(set(drawn)) == len(numbers)
+    many = [r[0] for r in spark.range(4000).select(intake.seeded_number(F.col("id"), 11)).collect()]
+    assert len(set(many)) == 4000 and min(many) >= 0
+    quarters = [sum(q * 2**60 <= x < (q + 1) * 2**60 for x in many) for q in range(4)]
+    assert all(900 < q < 1100 for q in quarters)

@@ -42,15 +42,10 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# Ordered over the whole frame: one row per day, or rows counted before.
-ONE_TASK_WINDOWS = {
-    "r12_centered_average",
-    "r13_rolling_rows_average",
-    "r14_range_running_total",
-    "f04_search_history",
-    "c04_assign_ids",
-    "c17_seeded_rows",
-}
+# Ordered over the whole frame: one row per day.
+ONE_TASK_WINDOWS = {"r12_centered_average", "r13_rolling_rows_average"}
+# Running totals over the whole frame order one row per slice in one task.
+SLICE_TOTALS = {"r14_range_running_total", "f04_search_history", "c04_assign_ids", "c17_seeded_rows"}
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -59,7 +54,10 @@ def test_plan_shape(spark, large_tables, name):
     plan = plan_of(queries()[name](spark, FOLDER))
     assert not re.search("NestedLoop|CartesianProduct", plan)
     in_one_task = re.search(r"Window \[.*\n.*Sort \[.*\n.*Exchange SinglePartition", plan)
-    assert bool(in_one_task) == (name in ONE_TASK_WINDOWS)
+    assert bool(in_one_task) == (name in ONE_TASK_WINDOWS | SLICE_TOTALS)
+    if name in SLICE_TOTALS:
+        # What meets in one task has been summed by slice before.
+        assert re.search(r"Exchange SinglePartition.*\n.*HashAggregate\(keys=\[_slice", plan)
 
 
 @pytest.mark.parametrize(
@@ -72,6 +70,7 @@ def test_plan_shape(spark, large_tables, name):
         ("r17_quarter_crosstab", "o_orderdate"),
         ("f01_current_quarter_revenue", "l_shipdate"),
         ("c01_insert_if_absent", "l_shipdate"),
+        ("q01_date_window", "o_orderdate"),
     ],
 )
 def test_date_filters_reach_the_scan(spark, name, column):
@@ -88,3 +87,14 @@ def test_scans_read_only_needed_columns(spark):
 def test_top_n_is_trimmed_before_the_shuffle(spark):
     for name in ("r16_topn_per_group_ties", "r06_latest_row_antiself", "c02_insert_ignore"):
         assert plan_of(queries()[name](spark, FOLDER)).count("WindowGroupLimit") >= 2
+
+
+def test_rules_of_a_table_share_a_scan(spark):
+    plan = plan_of(queries()["q06_required_and_length"](spark, FOLDER))
+    assert plan.count("Scan parquet") == 1
+    assert "Not(EqualTo" in plan_of(queries()["q07_domain"](spark, FOLDER)) or "Not(In" in plan_of(queries()["q07_domain"](spark, FOLDER))
+
+
+def test_a_hot_title_is_joined_once(spark, large_tables):
+    plan = plan_of(queries()["c13_add_items"](spark, FOLDER))
+    assert len(re.findall(r"SortMergeJoin \[_title", plan)) <= 2

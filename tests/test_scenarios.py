@@ -65,7 +65,7 @@ def test_fuel_network(spark):
     )
 
     # A price for every station and fuel, then deliveries and sales.
-    grid = intake.full_grid(t["fuel_station"], t["fuel_types"]).withColumns(
+    grid = t["fuel_station"].crossJoin(t["fuel_types"]).withColumns(
         {"price_per_unit": intake.seeded_amount(F.col("station_id") * 10 + F.col("fuel_type_id"), 3, 0, "2.50", "4.00"),
          "effective_date": F.lit("2026-01-01").cast("date")}
     )
