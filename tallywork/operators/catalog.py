@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywork.operators.ranking import best_with_attributes
+
 
 def filtered_catalog(
     items: DataFrame,
@@ -44,16 +46,15 @@ def top_by_count(
 ) -> DataFrame:
     """Entities with the most bridge rows to items whose ``after`` column exceeds a value.
 
-    Items only filter the bridge (semi join); the count per entity comes before
-    the entity attributes are joined. Equal counts are ordered by key.
+    Items only filter the bridge (semi join); the count per entity, and the choice of the
+    first n, come before the entity attributes are joined. Equal counts are ordered by key.
     """
     column, value = after
     recent = items.filter(F.col(column) > F.lit(value)).select(item_key)
     counts = bridge.join(recent, item_key, "left_semi").groupBy(entity_key).agg(
         F.count(F.lit(1)).alias(out)
     )
-    ranked = counts.join(entities, entity_key).orderBy(F.col(out).desc(), F.col(entity_key))
-    return ranked if n is None else ranked.limit(n)
+    return best_with_attributes(counts, entities, entity_key, [F.col(out).desc(), F.col(entity_key)], n)
 
 
 def conditional_counts(
@@ -106,9 +107,8 @@ def popular_with_band(
     label = F.lit(otherwise)
     for value, text in bands.items():
         label = F.when(F.col(rating) == F.lit(value), F.lit(text)).otherwise(label)
-    ranked = per_item.join(items, item_key).withColumn(band, label)
-    ranked = ranked.orderBy(F.col(count).desc(), F.col(item_key))
-    return ranked if n is None else ranked.limit(n)
+    order = [F.col(count).desc(), F.col(item_key)]
+    return best_with_attributes(per_item, items.withColumn(band, label), item_key, order, n)
 
 
 def inactivity(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import share_of
@@ -28,6 +28,21 @@ def _checked(df: DataFrame, n: int) -> int:
     return n
 
 
+def best_with_attributes(
+    measured: DataFrame, entities: DataFrame, key: str, order_by: Sequence[Column], n: int | None
+) -> DataFrame:
+    """``measured`` with the attributes of its entities (unique by ``key``), ordered; with
+    ``n`` the first n only.
+
+    Which rows are the first n is settled on measures and keys; only they get attributes.
+    Rows without an entity are dropped before they are counted.
+    """
+    if n is None:
+        return measured.join(entities, key).orderBy(*order_by)
+    best = measured.join(entities.select(key), key, "left_semi").orderBy(*order_by).limit(n)
+    return best.join(entities, key).orderBy(*order_by)
+
+
 def top_n_per_group_with_share(
     sales: DataFrame,
     *,

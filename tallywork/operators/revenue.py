@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import RATIO_OPERAND, full_address, quarter_label
+from tallywork.operators.ranking import best_with_attributes
 
 
 def revenue_by_location(
@@ -82,12 +83,8 @@ def top_with_last_location(
     located = per_staff.join(rentals.select(rental_key, copy_key), rental_key).join(
         copies.select(copy_key, F.col(store_key).alias("last_assigned_store")), copy_key
     )
-    ranked = (
-        located.join(staff, staff_key)
-        .drop(rental_key, copy_key)
-        .orderBy(F.col("total_revenue").desc_nulls_first(), F.col(staff_key))
-    )
-    return ranked if n is None else ranked.limit(n)
+    order = [F.col("total_revenue").desc_nulls_first(), F.col(staff_key)]
+    return best_with_attributes(located.drop(rental_key, copy_key), staff, staff_key, order, n)
 
 
 def latest_row(
