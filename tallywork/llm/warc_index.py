@@ -104,10 +104,12 @@ def records(
     return joined.select(F.concat(head, block).alias("record"))
 
 
-def write_archives(records: DataFrame, folder: str) -> None:
-    """Write records as gzip archives of at most RECORDS_PER_ARCHIVE records."""
+def write_archives(records: DataFrame, folder: str, rows: int) -> None:
+    """Write ``rows`` records as gzip archives of at most RECORDS_PER_ARCHIVE records; many
+    small partitions share an archive."""
     (
-        records.write.option("lineSep", END)
+        records.coalesce(max(1, -(-rows // RECORDS_PER_ARCHIVE)))
+        .write.option("lineSep", END)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE)
         .text(folder)
@@ -294,7 +296,7 @@ def archive_and_index(
     """
     spark = pages.sparkSession
     place = folder or f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
-    write_archives(records(pages, id=id, url=url, html=html, captured=captured), place)
+    write_archives(records(pages, id=id, url=url, html=html, captured=captured), place, pages.count())
     return merged_history(written(read_runs(spark, place)))
 
 

@@ -71,7 +71,7 @@ def test_archives_on_disk(spark, tmp_path, monkeypatch):
     """Plain WARC files: offsets point at records, lengths and digests hold."""
     monkeypatch.setattr(warc_index, "RECORDS_PER_ARCHIVE", 20)
     folder = str(tmp_path / "archives")
-    write_archives(records(spark.createDataFrame(data(), SCHEMA).repartition(2)), folder)
+    write_archives(records(spark.createDataFrame(data(), SCHEMA).repartition(2)), folder, rows=len(data()))
     files = {p.name: gzip.decompress(p.read_bytes()) for p in (tmp_path / "archives").glob("*.gz")}
     assert all(len(list(parsed(raw))) <= 20 for raw in files.values())
     runs = read_runs(spark, folder).collect()
