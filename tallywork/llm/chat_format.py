@@ -87,8 +87,8 @@ def format_chats(
 
     Turns go by number; equal numbers by role, then text; a null number comes first. A
     null role or text is empty. Rows with a null conversation id form one conversation.
-    Repeated rows are turns of their own. Other columns are not read. Escaping is done per
-    row before the shuffle; the formatted string of a conversation is one cell by nature.
+    Repeated rows are turns of their own. Other columns are not read. Each text is
+    shuffled once, as it is; the formatted string of a conversation is one cell by nature.
     """
     t = template
     row = turns.select(
@@ -97,14 +97,9 @@ def format_chats(
         F.coalesce(F.col(role), F.lit("")).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("raw"),
     )
-    body = escaped(F.col("raw"), t.escapes)
-    head = F.concat(
-        F.lit(t.turn_open), escaped(F.col("role"), [*t.escapes, *t.role_escapes]), F.lit(t.role_end)
+    grouped = (
+        row.groupBy("_conv").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "raw"))).alias("turns"))
     )
-    # Escaping keeps no order, so the raw text comes first in the sort key only where
-    # turn and role tie; its hash would not order, the text itself does.
-    packed = row.select("_conv", F.struct("turn", "role", "raw", head.alias("head"), body.alias("body")).alias("t"))
-    grouped = packed.groupBy("_conv").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     machine = _machine(t)
     state = F.aggregate(
         F.transform("turns", lambda x: x["role"]),
@@ -116,9 +111,12 @@ def format_chats(
         def segment(value: Column, loss: Column) -> Column:
             return F.struct(value.alias("text"), loss.alias("loss"))
 
+        head = F.concat(
+            F.lit(t.turn_open), escaped(x["role"], [*t.escapes, *t.role_escapes]), F.lit(t.role_end)
+        )
         return F.array(
-            segment(x["head"], F.lit(False)),
-            segment(x["body"], x["role"].isin(list(t.loss_roles))),
+            segment(head, F.lit(False)),
+            segment(escaped(x["raw"], t.escapes), x["role"].isin(list(t.loss_roles))),
             segment(F.lit(t.turn_close), F.lit(False)),
         )
 
