@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.llm import exact_dedup, noisy_channel, piece_transducer, simhash_dedup, source_mix
-from tallywork.llm.text import table
+from tallywork.llm.text import importable, table
 from tallywork.session import written
 
 # The classifier, the seeded blocks and the encoder are beyond SQL; tests compare the rows
@@ -34,18 +34,21 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Fingerprints are over shingles of three words and link at two bits, as in op9.
     """
+    importable(spark)
     return simhash_dedup.without_near_duplicates(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights: a row for each time a document is taken, its
     text cut to the blocks taken."""
+    importable(spark)
     mixed = source_mix.mixed_documents(docs, source_mix.mix_sources(docs))
     return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with the digests of the round trip."""
+    importable(spark)
     return piece_transducer.encode_and_decode(docs, piece_transducer.read_vocabulary())
 
 

@@ -6,8 +6,10 @@ A word is a run of characters other than the ASCII white space bytes 0x09-0x0D a
 
 from __future__ import annotations
 
+import os
 import string
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,13 +17,29 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tallywork
+
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_SPACES = b" \t\n\x0b\x0c\r"
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Workers start in a folder of their own. On one machine the driver's path serves them;
+    on a cluster the package is installed, or sent with ``--py-files``, as any other.
+    """
+    home = str(Path(tallywork.__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
