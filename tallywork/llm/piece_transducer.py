@@ -229,19 +229,28 @@ class Transducer:
         """The path of finite weight where neighbours are restricted. There is exactly one,
         so the search goes depth first, longest pieces first, and never enters a state
         (position and last piece) twice."""
+        pairs, follows, leaving, size = self.pairs, self.follows, self.leaving, len(text)
         path: list[str] = []
         ends, dead = [0], set()
-        open_ = [iter(self.leaving(text, 0)[::-1])]
-        while ends[-1] < len(text):
-            for end, piece in open_[-1]:
-                if (end, piece) not in dead and self.follows(path[-1] if path else self.START, piece):
+        last, at = self.START, 0
+        open_ = [leaving(text, 0)]
+        while at < size:
+            arcs = open_[-1]
+            while arcs:
+                end, piece = arcs.pop()
+                known = pairs.get((last, piece))
+                if known is None:
+                    known = follows(last, piece)
+                if known and (not dead or (end, piece) not in dead):
                     path.append(piece)
                     ends.append(end)
-                    open_.append(iter(self.leaving(text, end)[::-1]))
+                    open_.append(leaving(text, end))
+                    last, at = piece, end
                     break
             else:
                 open_.pop()
                 dead.add((ends.pop(), path.pop()))
+                last, at = path[-1] if path else self.START, ends[-1]
         return path
 
     def written(self, piece: str) -> tuple[int, ...]:
