@@ -358,8 +358,9 @@ def _range_rows(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             # Phrases of one trigger together; a few thousand at a time bound the sorted copy.
             order = np.argsort(key, kind="stable")
             turn = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
-            bounds = turn[np.searchsorted(turn, np.arange(0, len(order), 4096))] if len(turn) > 1 else turn
-            bounds = np.unique(np.concatenate([bounds[bounds < len(order)], [len(order)]]))
+            # A step past the start of the last trigger finds none; the end bounds that trigger.
+            step = np.searchsorted(turn, np.arange(0, len(order), 4096))
+            bounds = np.unique(np.concatenate([turn[step[step < len(turn)]], [len(order)]]))
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
                 some = order[low:high]
                 found.append(suffix_repeats([texts[i] for i in some], ids[some], at[some], rule.length))

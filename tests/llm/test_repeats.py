@@ -5,8 +5,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from tallywork.llm import repeats
 from tallywork.llm.anchors import BYTE_VALUES, pieces, spans
 from tallywork.llm.prefix_free_dedup import RULE as BYTES
 from tallywork.llm.prefix_free_dedup import remove_repeated_bytes
@@ -123,3 +125,18 @@ def test_suffix_repeats():
     texts = [b"abcabcab", b"xxabcab"]
     ids, at = suffix_repeats(texts, np.array([4, 2]), np.array([10, 0]), 3)
     assert sorted(zip(ids.tolist(), at.tolist(), strict=True)) == [(4, 10), (4, 11), (4, 12), (4, 13), (4, 14), (4, 15)]
+
+
+@pytest.mark.parametrize("last", [2, 1500])
+def test_last_trigger_across_a_step(last):
+    """The phrases of the last trigger straddle a multiple of 4096."""
+    n = 4097
+    key = np.minimum(np.arange(n), n - last)
+    texts = [f"{k:0100d}".encode() for k in key]
+    batch = repeats._batch(
+        {"key": key, "check": np.zeros(n, int), "id": np.arange(n), "at": np.zeros(n, int), "kind": np.full(n, repeats.AS_TEXT),
+         "weight": np.ones(n, int), "text": pa.array(texts, pa.binary())}, repeats._WINDOW_ARROW,
+    )
+    (out,) = repeats._range_rows(BYTES)(iter([batch]))
+    assert out.column("id").to_pylist() == list(range(n - last + 1, n))
+    assert set(zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True)) == {(0, 100)}
