@@ -1,7 +1,8 @@
 """From raw documents to token ids: toxicity, exact and near duplicates, mix, encoding.
 
 Each stage takes what its predecessor kept, written as Parquet and read again, and all but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``. A stage that joins its choice back does so by a
+key of each row, so rows that repeat an id or have none are documents of their own.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.llm import exact_dedup, noisy_channel, piece_transducer, simhash_dedup, source_mix
+from tallywork.llm.row_keys import KEY, with_row_keys
 from tallywork.llm.text import importable, table
 from tallywork.session import written
 
@@ -25,8 +27,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
-    return exact_dedup.without_duplicates(docs)
+    """Of equal texts the document with the largest id, one row of it."""
+    return exact_dedup.without_duplicates(with_row_keys(docs), id=KEY).drop(KEY)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +37,15 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Fingerprints are over shingles of three words and link at two bits, as in op9.
     """
     importable(spark)
-    return simhash_dedup.without_near_duplicates(docs)
+    return simhash_dedup.without_near_duplicates(with_row_keys(docs, nulls_last=True), id=KEY).drop(KEY)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights: a row for each time a document is taken, its
     text cut to the blocks taken."""
     importable(spark)
-    mixed = source_mix.mixed_documents(docs, source_mix.mix_sources(docs))
+    rows = with_row_keys(docs)
+    mixed = source_mix.mixed_documents(rows, source_mix.mix_sources(rows, id=KEY), id=KEY).drop(KEY)
     return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

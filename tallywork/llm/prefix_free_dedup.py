@@ -21,13 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.llm.repeats import Rule, covered, repeated_ranges
+from tallywork.llm.row_keys import KEY, with_row_keys
 from tallywork.llm.text import slices
 
 # Strings of 100 bytes; triggers are minima over 32 bytes.
 RULE = Rule(words=False, k=32, length=100, keep_first=True, suffix_sort=True)
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
-# Stands for a null id in the joins; a null sorts before all other ids.
-NO_ID = -(1 << 63)
 
 
 def remove_repeated_bytes(
@@ -39,14 +38,14 @@ def remove_repeated_bytes(
 
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and,
     if asked for, ``kept``: the bytes left, not always whole UTF-8 characters. A null text
-    is empty; texts shorter than ``rule.length`` lose nothing. Ids should be unique: rows that
-    repeat an id (or have none, which counts as the smallest id) are taken as one place, so
-    that equal rows lose the same bytes. Other columns are not read. Equality of phrases is
-    judged by two 64-bit hashes. Building the plan runs the parse.
+    is empty; texts shorter than ``rule.length`` lose nothing. Rows that repeat an id or have
+    none (which counts as the smallest id) are places of their own: of equal rows one keeps
+    its text. Which of two rows with one id is earlier follows from a hash of id and text.
+    Other columns are not read. Equality of phrases is judged by two 64-bit hashes. Building the plan runs the parse.
     """
-    texts = docs.select(
-        F.coalesce(F.col(id).cast("bigint"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
+    texts = with_row_keys(
+        docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    ).select(F.col(KEY).alias("id"), "text", "doc_id")
     ranges = repeated_ranges(texts, rule)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +57,7 @@ def remove_repeated_bytes(
                 cuts = [0, *(x for run in runs for x in run), len(raw)]
                 left = b"".join(raw[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)) if runs else raw
                 rows.append(
-                    (None if key == NO_ID else key, len(raw), len(raw) - len(left), len(runs),
+                    (key, len(raw), len(raw) - len(left), len(runs),
                      hashlib.sha256(left).hexdigest(), left if with_kept else None)
                 )
             columns = [list(c) for c in zip(*rows, strict=True)]
@@ -67,6 +66,6 @@ def remove_repeated_bytes(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[p.split()[0] for p in SCHEMA.split(", ")]
             )
 
-    joined = texts.join(ranges, F.col("id") == F.col("_id"), "left").select("id", "text", "ranges")
+    joined = texts.join(ranges, F.col("id") == F.col("_id"), "left").select("doc_id", "text", "ranges")
     out = joined.mapInArrow(kept, SCHEMA)
     return out if with_kept else out.drop("kept")

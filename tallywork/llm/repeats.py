@@ -297,7 +297,7 @@ def _window_rows(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_pieces(batches, 1):
-            lists = batch.column(2)
+            lists = batch.column("found")
             row = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
             items = lists.flatten()
             field = {n: items.field(n).to_numpy(zero_copy_only=False) for n in ("a", "b", "kind", "weight", "key")}
@@ -376,10 +376,11 @@ def repeated_ranges(texts: DataFrame, rule: Rule) -> DataFrame:
     """(id, ranges): for each id with repeats, the ranges [a, b) of its symbols that
     repeated windows cover, as array<struct<a, b>>; they may overlap.
 
-    ``texts`` has the columns id (bigint, no nulls) and text. Ids should be unique.
+    ``texts`` has the columns id (bigint, unique, no nulls), text and what else a later join by
+    id needs: with the same columns Spark deals the texts out once for both.
     """
     width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = texts.mapInArrow(_span_rows(rule, width), SPAN_SCHEMA).repartitionById(width, F.col("bucket"))
+    dealt = texts.select("id", "text").mapInArrow(_span_rows(rule, width), SPAN_SCHEMA).repartitionById(width, F.col("bucket"))
     found = written(dealt.mapInArrow(_found_rows(rule), FOUND_SCHEMA))
     open_ = (
         found.filter(F.col("kind") != REMOVED)
@@ -388,7 +389,7 @@ def repeated_ranges(texts: DataFrame, rule: Rule) -> DataFrame:
     )
     compared = (
         texts.join(open_.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"))
-        .select("id", "text", "found")
+        .select(*texts.columns, "found")
         .mapInArrow(_window_rows(rule), WINDOW_SCHEMA)
         .repartition(width, "key")
         .mapInArrow(_range_rows(rule), "id bigint, a int, b int")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.llm.repeats import Rule, covered, repeated_ranges
+from tallywork.llm.row_keys import KEY, with_row_keys
 from tallywork.llm.text import slices
 
 # Runs of 35 words; seeds are minima over 12 words.
@@ -28,8 +29,6 @@ SCHEMA = (
     "repeats array<struct<first:bigint,last:bigint>>, kept string"
 )
 _REPEATS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-# Stands for a null id in the joins.
-NO_ID = -(1 << 63)
 
 
 def remove_repeated_words(
@@ -41,14 +40,13 @@ def remove_repeated_words(
 
     Returns doc_id, n_words, n_removed, kept_sha256 (of the words left, joined by one
     space), ``repeats`` (the maximal repeats as first and last word) and, if asked for,
-    ``kept``. A null text has no words. Ids should be unique; rows that repeat an id (or
-    have none) count as places of their own, so equal rows lose what they share, and any
-    range found in one is removed from all of them. Other columns are not read. Equality is
-    judged by two 64-bit hashes. Building the plan runs the join on seeds.
+    ``kept``. A null text has no words. Rows that repeat an id or have none are places of
+    their own, so equal rows lose what they share, and each row loses only its own
+    repeats. Other columns are not read. Equality is judged by two 64-bit hashes. Building the plan runs the join on seeds.
     """
-    texts = docs.select(
-        F.coalesce(F.col(id).cast("bigint"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
+    texts = with_row_keys(
+        docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    ).select(F.col(KEY).alias("id"), "text", "doc_id")
     ranges = repeated_ranges(texts, rule)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +59,7 @@ def remove_repeated_words(
                 left = list(chain.from_iterable(words[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))) if runs else words
                 joined = b" ".join(left)
                 rows.append(
-                    (None if key == NO_ID else key, len(words), len(words) - len(left), hashlib.sha256(joined).hexdigest(),
+                    (key, len(words), len(words) - len(left), hashlib.sha256(joined).hexdigest(),
                      [{"first": a, "last": b - 1} for a, b in runs], joined.decode() if with_kept else None)
                 )
             columns = [list(c) for c in zip(*rows, strict=True)]
@@ -71,6 +69,6 @@ def remove_repeated_words(
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "repeats", "kept"],
             )
 
-    joined = texts.join(ranges, F.col("id") == F.col("_id"), "left").select("id", "text", "ranges")
+    joined = texts.join(ranges, F.col("id") == F.col("_id"), "left").select("doc_id", "text", "ranges")
     out = joined.mapInArrow(kept, SCHEMA)
     return out if with_kept else out.drop("kept")

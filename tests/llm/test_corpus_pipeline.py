@@ -51,3 +51,22 @@ def test_no_documents(spark):
     docs = table(spark, SMALL, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SMALL).count() == 0
+
+
+def test_rows_without_an_id_of_their_own(spark):
+    """Of equal rows one stays; other rows with their id, or with none, lose nothing by it."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(70))
+    data = [(None, text(0)), (None, text(1)), (None, text(1)), (5, text(2)), (5, text(2)), (5, text(3)), (6, text(4))]
+    docs = table(spark, SMALL, "documents")
+    made = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    made = made.select(*[made[f.name].cast(f.dataType) for f in docs.schema]).repartition(3)
+    want = sorted({(i or -1, t) for i, t in data})
+    for stage in (corpus_pipeline.exact, corpus_pipeline.near):
+        made = stage(spark, made, SMALL)
+        assert sorted((r.doc_id or -1, r.text) for r in made.collect()) == want
+    # One source of 5 blocks of 70 words: 1.5 times, to a block, no document more than twice.
+    taken = {}
+    for r in corpus_pipeline.mix(spark, made, SMALL).collect():
+        taken.setdefault((r.doc_id or -1, r.text.split()[0].split("x")[0]), []).append(len(r.text.split()))
+    assert sum(map(sum, taken.values())) == 8 * 70
+    assert {k[0] for k in taken} == {-1, 5, 6} and len(taken) == len(want) and all(max(v) <= 70 and len(v) <= 2 for v in taken.values())

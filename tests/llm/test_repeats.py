@@ -140,3 +140,20 @@ def test_last_trigger_across_a_step(last):
     (out,) = repeats._range_rows(BYTES)(iter([batch]))
     assert out.column("id").to_pylist() == list(range(n - last + 1, n))
     assert set(zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True)) == {(0, 100)}
+
+
+def test_rows_without_an_id_of_their_own(spark):
+    """Null ids and repeated ids: each row loses only what repeats in it, and one copy stays."""
+    rng = random.Random(3)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared, copied, clean = prose(50), prose(60), [prose(90) for _ in range(4)]
+    data = [(None, shared), (None, clean[0]), (None, shared + " " + clean[1]), (5, clean[2]), (5, copied), (5, copied), (6, clean[3])]
+    df = spark.createDataFrame([(i, t, "") for i, t in data], SCHEMA).repartition(3)
+    got = remove_repeated_bytes(df).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((i is None, i or 0) for i, _ in data)
+    left = Counter(r.kept for r in got)
+    assert all(left[c.encode()] == 1 for c in (copied, clean[0], clean[2], clean[3])) and left[b""] >= 1
+    assert sum(len(k) * n for k, n in left.items()) == sum(len(t) for _, t in data) - len(copied) - len(shared)
+    got = Counter((r.doc_id, r.kept) for r in remove_repeated_words(df).collect())
+    want = [(None, ""), (None, clean[0]), (None, clean[1]), (5, clean[2]), (5, ""), (5, ""), (6, clean[3])]
+    assert got == Counter(want)
