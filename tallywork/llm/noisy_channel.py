@@ -12,7 +12,8 @@ documents scores the restored text.
   ``fit_rows`` labelled documents, keeps ``max_features`` features, and is calibrated on
   scores from the half of the sample that its weights did not see.
 * Only tokens that look disguised have more than one reading; the others restore to
-  themselves and skip the search. Restored tokens are remembered by each worker.
+  themselves and skip the search. Tokens and spaced letters of any length are searched, in
+  time linear in their length. Restored tokens are remembered by each worker.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from os.path import commonprefix
 from typing import NamedTuple
 
 import numpy as np
@@ -45,11 +47,16 @@ LOOKALIKE_COST, DROP_COST, SQUEEZE_COST, JOIN_COST, SPLIT_COST = 1.0, 1.0, 0.5,
 
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…¡¿–—"
 LETTERS = re.compile(r"[^\W\d_]+")
-DISGUISED = re.compile(r"[^\W_].*[\d@$!|+(¢€£*]|[\d@$!|+(¢€£*].*[^\W\d_]|([^\W\d_])\1\1|^(?:[^\W\d_][._\-~]){2,}[^\W\d_]$")
-SPACED = re.compile(r"(?<!\S)(?:[^\W_] ){2,}[^\W_](?!\S)")
+LOOKS = r"\d@$!|+(¢€£*"
+LETTER, SIGN, LOOK = re.compile(r"[^\W\d_]"), re.compile(r"[^\W_]"), re.compile(f"[{LOOKS}]")
+TRIPLE = re.compile(r"([^\W\d_])\1\1")
+PARTED = re.compile(r"(?:[^\W\d_][._\-~]){2,}+[^\W\d_]")
+SPACED = re.compile(rf"(?<!\S)(?:(?:[^\W_]|[{LOOKS}])\s++){{2,}}(?:[^\W_]|[{LOOKS}])(?!\S)")
 SEPARATORS = "._-~'"
-CACHE = 200_000
-MAX_TOKEN = 64
+# Words of a worker's memory, and the length of a token that is too long to be kept in it.
+CACHE, LONG = 200_000, 64
+# The search writes out what all its paths share after so many stretches.
+SETTLED = 64
 
 
 class Fit(NamedTuple):
@@ -131,9 +138,9 @@ class Decoder:
     def __init__(self, log_p: np.ndarray):
         self.log_p = log_p
 
-    def readings(self, token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
+    def readings(self, token: str, spaced: bool = False) -> Iterator[list[tuple[str, float]]]:
         """The lattice: for each stretch of the token its readings and their costs."""
-        out, at = [], 0
+        at = 0
         while at < len(token):
             char, end = token[at], at + 1
             while end < len(token) and token[end] == char:
@@ -148,18 +155,21 @@ class Decoder:
                 options.append(("", run * DROP_COST + LOOKALIKE_COST))
             else:
                 options = [("", JOIN_COST if char in SEPARATORS else DROP_COST)]
-            if spaced and out:
+            if spaced and at:
                 options += [(" " + text, cost + SPLIT_COST) for text, cost in options if text]
-            out.append(options)
+            yield options
             at = end
-        return out
 
     def restored(self, token: str, spaced: bool = False) -> str:
-        """The most likely reading; a state is the last three symbols."""
+        """The most likely reading; a state is the last three symbols.
+
+        Time is linear in the token's length: what all paths begin with is settled and cut off.
+        """
         log_p, table = self.log_p, fold()
         keep = SYMBOLS ** (ORDER - 1)
         paths: dict[int, tuple[float, str]] = {0: (0.0, "")}
-        for options in self.readings(token, spaced):
+        settled = []
+        for number, options in enumerate(self.readings(token, spaced), 1):
             after: dict[int, tuple[float, str]] = {}
             for state, (score, text) in paths.items():
                 for part, cost in options:
@@ -176,7 +186,33 @@ class Decoder:
                     if s not in after or value > after[s][0]:
                         after[s] = (value, text + part)
             paths = after
-        return max(paths.items(), key=lambda p: p[1][0] + float(log_p[p[0] * SYMBOLS]))[1][1] if paths else ""
+            if number % SETTLED == 0:
+                shared = commonprefix([text for _, text in paths.values()])
+                settled.append(shared)
+                paths = {s: (value, text[len(shared) :]) for s, (value, text) in paths.items()}
+        best = max(paths.items(), key=lambda p: p[1][0] + float(log_p[p[0] * SYMBOLS]))
+        return "".join([*settled, best[1][1]])
+
+
+def disguised(token: str) -> bool:
+    """Whether a token looks disguised: a sign before a look-alike or a look-alike before a
+    letter, a letter three times in a row, or letters parted one by one."""
+    sign, look = SIGN.search(token), LOOK.search(token)
+    if sign and look:
+        last_look = len(token) - LOOK.search(token[::-1]).start() - 1
+        if sign.start() < last_look:
+            return True
+        letter = LETTER.search(token[::-1])
+        if letter and look.start() < len(token) - letter.start() - 1:
+            return True
+    return bool(TRIPLE.search(token) or PARTED.fullmatch(token))
+
+
+def spaced_runs(lower: str) -> Iterator[str]:
+    """Letters, digits and look-alikes that stand alone between white space, three or more in
+    a row, without the white space."""
+    for match in SPACED.finditer(lower):
+        yield "".join(match.group().split())
 
 
 def token_words(token: str, decoder: Decoder) -> list[str]:
@@ -191,7 +227,7 @@ def token_words(token: str, decoder: Decoder) -> list[str]:
         if after[:1] in ("$", "@") and after[1:2] != after[:1]:
             core = core + after[0]
     words = LETTERS.findall(core)
-    if words and len(core) <= MAX_TOKEN and DISGUISED.search(core):
+    if words and disguised(core):
         read = decoder.restored(core)
         if read not in words:
             words.append(read)
@@ -208,10 +244,8 @@ def document_words(text: str, words_of: Callable[[str], list[str]], decoder: Dec
     lower = text.lower()
     for token in set(lower.split()):
         yield words_of(token)
-    for match in SPACED.finditer(lower):
-        letters = match.group().replace(" ", "")
-        for at in range(0, len(letters), MAX_TOKEN):
-            yield decoder.restored(letters[at : at + MAX_TOKEN], spaced=True).split()
+    for letters in spaced_runs(lower):
+        yield decoder.restored(letters, spaced=True).split()
 
 
 def remembered(make: Callable[[str], object]) -> Callable[[str], object]:
@@ -219,6 +253,8 @@ def remembered(make: Callable[[str], object]) -> Callable[[str], object]:
     held: dict[str, object] = {}
 
     def get(token: str):
+        if len(token) > LONG:
+            return make(token)
         found = held.get(token)
         if found is None:
             if len(held) >= CACHE:
@@ -249,11 +285,9 @@ class Scorer:
     def evidence(self, text: str) -> Evidence:
         lower = text.lower()
         found = [w for w in map(self.token, set(lower.split())) if w]
-        for match in SPACED.finditer(lower):
-            letters = match.group().replace(" ", "")
-            for at in range(0, len(letters), MAX_TOKEN):
-                if w := self.weight(self.decoder.restored(letters[at : at + MAX_TOKEN], spaced=True).split()):
-                    found.append(w)
+        for letters in spaced_runs(lower):
+            if w := self.weight(self.decoder.restored(letters, spaced=True).split()):
+                found.append(w)
         return Evidence(max(found, default=0.0), min(sum(found), 100.0), len(found))
 
 

@@ -113,3 +113,33 @@ def test_edge_rows(spark, frame, model):
     assert channel.toxicity(df.limit(0), nothing).count() == 0
     one_kind = spark.createDataFrame([(2, 0), (3, 0), (2, None)], "doc_id bigint, toxic int")
     assert {r.predicted for r in channel.toxicity(df, one_kind, fit=Fit(fit_rows=1)).collect()} == {0}
+
+
+LONG_RUN = "t h e r i v e r s t o n e " * 7
+
+
+@pytest.mark.parametrize("text", ["st" + "u" * 70 + "pid", "m.o.r.o.n." * 12 + "m.o.r.o.n", "i d ! o t", "m  o\tr \n o n", LONG_RUN + "w o r t h l e s s " + LONG_RUN, "x" * 61 + " s t u p 1 d"])
+def test_disguises_of_any_length_and_spacing(model, text):
+    assert Scorer(Decoder(model.log_p), model.weights).evidence(f"you {text}").largest > 0
+
+
+def test_long_tokens_cost_no_more_than_their_length(model):
+    """Settled prefixes leave the best reading; what looks disguised is found without backtracking."""
+    decoder = Decoder(model.log_p)
+    for token in ("m0r0nst@@r" * 40, "1d10tl1ght" * 40):
+        one = decoder.restored(token)
+        channel.SETTLED, held = 1 << 30, channel.SETTLED
+        try:
+            assert decoder.restored(token) == one
+        finally:
+            channel.SETTLED = held
+    assert len(decoder.restored("m0r0n" * 20_000)) >= 80_000
+    assert not channel.disguised("ab" * 500_000) and token_words("ab" * 500_000, decoder) == ["ab" * 500_000]
+
+
+def test_disguised_tokens(model):
+    rng = random.Random(8)
+    old = channel.re.compile(r"[^\W_].*[\d@$!|+(¢€£*]|[\d@$!|+(¢€£*].*[^\W\d_]|([^\W\d_])\1\1|^(?:[^\W\d_][._\-~]){2,}[^\W\d_]$")
+    for _ in range(5000):
+        token = "".join(rng.choice("abé1$._") for _ in range(rng.randrange(1, 8)))
+        assert channel.disguised(token) == bool(old.search(token)), token
