@@ -325,8 +325,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit, id: str, text:
     """(text, y, fold): at most ``fit.fit_rows`` labelled documents that are not held out.
 
     The ids are chosen by hash and broadcast (the bound is the parameter), so the texts are
-    filtered where they are read. Copies open alike: of documents with equal first 100
-    characters one is taken, or the words of a copied text would pass for evidence.
+    filtered where they are read. Of copies of a whole text (in any case) the one with the
+    smallest id is taken, or the words of a copied text would pass for evidence. Texts that
+    only open alike, in their first 100 characters, are all taken and share a fold.
     """
     ids = (
         labels.filter(F.col(label).isin(0, 1) & ~held_out(id))
@@ -338,10 +339,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit, id: str, text:
     picked = docs.select(F.col(id).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return (
         picked.join(F.broadcast(ids), F.col("_doc") == F.col("_id"))
-        .withColumn("opening", F.xxhash64(F.lower(F.substring("text", 1, 100))))
-        .groupBy("opening")
+        .groupBy(F.sha2(F.lower("text"), 256).alias("copy"))
         .agg(F.min_by(F.struct("text", "y"), "_doc").alias("d"))
-        .select("d.text", "d.y", F.pmod("opening", F.lit(2)).cast("int").alias("fold"))
+        .select("d.text", "d.y", F.pmod(F.xxhash64(F.lower(F.substring("d.text", 1, 100))), F.lit(2)).cast("int").alias("fold"))
     )
 
 

@@ -143,3 +143,16 @@ def test_disguised_tokens(model):
     for _ in range(5000):
         token = "".join(rng.choice("abé1$._") for _ in range(rng.randrange(1, 8)))
         assert channel.disguised(token) == bool(old.search(token)), token
+
+
+def test_texts_that_open_alike_are_all_learned_from(spark):
+    """A header of 100 characters in common costs no labelled row; copies of whole texts do."""
+    docs, labels = corpus(300)
+    header = "the river stone walks under light " * 3
+    docs = [(i, header + text, s) for i, text, s in docs] + [(i + 1000, (header + text).upper(), s) for i, text, s in docs]
+    labels += [(i + 1000, y) for i, y in labels]
+    df, labelled = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    sample = channel.labelled_sample(df, labelled, Fit(), "doc_id", "text", "toxic").collect()
+    seen = {i for i, _ in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(sample) == len({i % 1000 for i in seen}) and len({r.fold for r in sample}) == 1
+    assert sum(r.y for r in sample) == sum(y for i, y in labels[:300] if i in seen or i + 1000 in seen)
