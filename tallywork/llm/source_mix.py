@@ -65,6 +65,20 @@ def sainte_lague(votes: np.ndarray, seats: int) -> np.ndarray:
     return given
 
 
+def capped_seats(votes: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarray:
+    """Seats by highest quotients, none above its cap; what a cap cuts off goes to the next
+    highest quotients of the others, as long as any is below its cap."""
+    votes, caps = np.asarray(votes, float), np.asarray(caps, np.int64)
+    out, open_ = np.zeros(len(votes), np.int64), np.ones(len(votes), bool)
+    while True:
+        given = sainte_lague(np.where(open_, votes, 0.0), seats - int(out.sum()))
+        over = open_ & (given > caps)
+        if not over.any():
+            return out + given
+        out[over] = caps[over]
+        open_ &= ~over
+
+
 def targets(sizes: np.ndarray, weights: np.ndarray, total: float, most: int) -> np.ndarray:
     """Shares of ``total`` by weight, none above ``most`` times its size; what is cut off
     is shared again by weight until none is above."""
@@ -89,7 +103,7 @@ def _source_plan(mix: Mix):
         pdf["target"] = targets(sizes, weights, mix.total * sizes.sum(), mix.most)
         # Blocks are a little longer or shorter than block_words; votes count them as they are.
         votes = pdf["target"] * pdf["blocks"] / np.maximum(sizes, 1)
-        pdf["quota"] = sainte_lague(votes.to_numpy(), int(round(votes.sum())))
+        pdf["quota"] = capped_seats(votes.to_numpy(), int(round(votes.sum())), mix.most * pdf["blocks"].to_numpy())
         return pdf[["source", "source_size", "target", "quota"]]
 
     return plan
@@ -156,7 +170,7 @@ def mix_sources(
     ``size`` counts the words of the text (null: 0). ``passes`` holds for the first,
     second, ... time a document is taken the word ranges [start, end, start, end, ...];
     ``taken`` is their length. No document is taken more than ``mix.most`` times its size,
-    because a shard's quota never exceeds that many times its blocks. A source without
+    because neither a source's nor a shard's quota exceeds that many times its blocks. A source without
     words has target 0. Ids should be unique; rows with equal ids lie in one shard and
     are ordered by size. Other columns are not read. Runs with the same rows and
     parameters agree, however the rows are partitioned.

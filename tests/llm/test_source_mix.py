@@ -1,8 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tallywork.llm import source_mix
 from tallywork.llm.source_mix import Mix, mix_sources, mixed_documents, sainte_lague, targets
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -76,3 +78,25 @@ def test_empty_and_repeated(frame):
     df = frame([(1, "a b c", "en", "s", 0)] * 3 + [(None, "d", "en", None, 0)], DOCS + ", taken int".replace(", taken int", ""))
     got = sorted((r.doc_id is None, r.size, r.source_size) for r in mix_sources(df).collect())
     assert got == [(False, 3, 9)] * 3 + [(True, 1, 1)]
+
+
+def test_no_source_is_above_its_cap():
+    """Rounding gives the capped first source no block beyond twice its own."""
+    size = np.array([54179, 14323, 18935, 9127, 18610, 49851])
+    layout = pd.DataFrame({"source": list("abcdef"), "source_size": size, "blocks": np.round(size / 64).astype(int)})
+    plan = source_mix._source_plan(Mix())(layout)
+    quota, blocks = plan["quota"].to_numpy(), layout["blocks"].to_numpy()
+    assert quota[0] == 2 * blocks[0] == 1694 and (quota <= 2 * blocks).all()
+    assert quota.sum() == round((plan["target"] * blocks / size).sum())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 20)), min_size=1, max_size=7), st.integers(0, 80))
+def test_highest_quotients_below_caps(sources, seats):
+    votes, caps = (np.array(x) for x in zip(*sources, strict=True))
+    want = [0] * len(votes)
+    for _ in range(seats):
+        free = [i for i in range(len(votes)) if votes[i] and want[i] < caps[i]]
+        if free:
+            want[max(free, key=lambda i: (votes[i] / (2 * want[i] + 1), -i))] += 1
+    assert source_mix.capped_seats(votes, seats, caps).tolist() == want
