@@ -1,9 +1,9 @@
-"""Substring deduplication of words: seed and extend.
+"""Substring deduplication of words: seeds, then all windows around them.
 
 Seeds are winnowed anchors: the smallest hash of 12 consecutive words in every window of 35.
-Documents join on their seeds. A seed extends both ways as far as the words agree; all 35
-words that can be split around it are tried at once, the longest common stretch first (the
-whole span of a seed, one comparison), then, only where spans differ, each of its windows.
+Documents join on their seeds. No match is extended word by word: of all runs of 35 words
+around a seed the whole span is compared first, by its hash, and only where spans differ
+each of its windows, by hash as well. Any run of 35 words has a seed, so none is missed.
 Windows found twice or more add up to the maximal repeats of 35 words and longer, and
 every word in one goes, in all its places.
 """
