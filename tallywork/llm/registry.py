@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tallywork.llm import (
+    best_fit_packing,
     chat_format,
     compression_bands,
     exact_dedup,
     noisy_channel,
+    phrase_mining,
     piece_transducer,
     prefix_free_dedup,
     seed_extend_dedup,
     simhash_dedup,
+    simplex_clustering,
     source_mix,
     warc_index,
 )
@@ -69,6 +72,18 @@ def op10_seed_extend_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("repeats")
 
 
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit_packing.pack_documents(table(spark, folder, "documents"), with_ids=False)
+
+
+def op12_simplex_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return simplex_clustering.cluster_vectors(table(spark, folder, "embeddings")).drop("compared")
+
+
+def op13_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_mining.mine_phrases(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Run]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -82,6 +97,9 @@ def queries() -> dict[str, Run]:
         "op8_chat_format": op8_chat_format,
         "op9_simhash_dedup": op9_simhash_dedup,
         "op10_seed_extend_dedup": op10_seed_extend_dedup,
+        "op11_best_fit_packing": op11_best_fit_packing,
+        "op12_simplex_clustering": op12_simplex_clustering,
+        "op13_phrase_mining": op13_phrase_mining,
     }
 
 
@@ -90,4 +108,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_exact_dedup": exact_dedup.SQL,
         "op3_warc_index": warc_index.SQL,
         "op8_chat_format": chat_format.SQL,
+        "op12_simplex_clustering": simplex_clustering.SQL,
+        "op13_phrase_mining": phrase_mining.SQL,
     }
