@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.llm.text import slices, small_pieces
+from tallywork.session import written
 
 ORDER, SYMBOLS = 4, 28
 CELLS = SYMBOLS**ORDER
@@ -326,8 +327,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit, id: str, text:
 
     The ids are chosen by hash and broadcast (the bound is the parameter), so the texts are
     filtered where they are read. Of copies of a whole text (in any case) the one with the
-    smallest id is taken, or the words of a copied text would pass for evidence. Texts that
-    only open alike, in their first 100 characters, are all taken and share a fold.
+    smallest id is taken, or the words of a copied text would pass for evidence. The fold is
+    a bit of the whole text's digest, whatever texts have in common.
     """
     ids = (
         labels.filter(F.col(label).isin(0, 1) & ~held_out(id))
@@ -341,7 +342,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit, id: str, text:
         picked.join(F.broadcast(ids), F.col("_doc") == F.col("_id"))
         .groupBy(F.sha2(F.lower("text"), 256).alias("copy"))
         .agg(F.min_by(F.struct("text", "y"), "_doc").alias("d"))
-        .select("d.text", "d.y", F.pmod(F.xxhash64(F.lower(F.substring("d.text", 1, 100))), F.lit(2)).cast("int").alias("fold"))
+        .select("d.text", "d.y", F.pmod(F.xxhash64("copy"), F.lit(2)).cast("int").alias("fold"))
     )
 
 
@@ -373,6 +374,21 @@ def feature_counts(sample: DataFrame, log_p) -> DataFrame:
     )
 
 
+def strongest_features(counted: DataFrame, everyone: list[int], fit: Fit) -> DataFrame:
+    """At most ``max_features`` rows of :func:`feature_counts`: those most associated with label 1,
+    by the same statistic as :func:`log_odds`."""
+    n0, n1 = F.col("n00") + F.col("n10"), F.col("n01") + F.col("n11")
+    all0, all1 = everyone[0] + everyone[2], everyone[1] + everyone[3]
+    n, total = n0 + n1, all0 + all1
+
+    def part(n, expected):
+        return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+
+    g2 = part(n1, n * all1 / total) + part(n0, n * all0 / total) + part(all1 - n1, (total - n) * all1 / total) + part(all0 - n0, (total - n) * all0 / total)
+    likelier = (F.col("feature") != "") & (n1 >= fit.min_documents) & (n1 * all0 > n0 * all1)
+    return counted.filter(likelier).orderBy(g2.desc(), "feature").limit(fit.max_features)
+
+
 def log_odds(n0: np.ndarray, n1: np.ndarray, all0: int, all1: int, fit: Fit) -> np.ndarray:
     """Weight of each feature: log of how much likelier it is in label 1, or 0 where it is
     rare, not likelier, or not associated beyond chance."""
@@ -403,19 +419,14 @@ def train(
     log_p = log_probabilities(grams["gram"].to_numpy(np.int64), grams["n"].to_numpy(float))
     shared = context.broadcast(log_p)
     sample = labelled_sample(docs, labels, fit, id, text, label)
-    counted = feature_counts(sample, shared)
-    strongest = (
-        counted.filter((F.col("n01") + F.col("n11") >= fit.min_documents) | (F.col("feature") == ""))
-        .orderBy((F.col("feature") == "").desc(), ((F.col("n01") + F.col("n11")) / (F.col("n00") + F.col("n10") + 1)).desc(), "feature")
-        .limit(fit.max_features + 1)
-        .toPandas()
-    )
-    if not len(strongest) or strongest["feature"][0] != "":
-        # Fewer than min_documents of label 1, or none at all.
+    counted = written(feature_counts(sample, shared))
+    labelled = counted.filter(F.col("feature") == "").first()
+    if labelled is None:
         return Model(log_p, {}, None)
-    names = strongest["feature"].to_numpy()[1:]
+    everyone = list(labelled[1:])
+    strongest = strongest_features(counted, everyone, fit).toPandas()
+    names = strongest["feature"].to_numpy()
     counts = strongest[["n00", "n01", "n10", "n11"]].to_numpy(float)
-    everyone, counts = counts[0], counts[1:]
 
     def table(folds: tuple[int, ...]) -> dict[str, float]:
         zero, one = (sum(counts[:, 2 * f + y] for f in folds) for y in (0, 1))
@@ -425,7 +436,9 @@ def train(
         weights = log_odds(zero, one, all0, all1, fit)
         return {n: float(w) for n, w in zip(names, weights, strict=True) if w}
 
-    crossed = context.broadcast((table((1,)), table((0,))))
+    weights = table((0, 1))
+    # A fold whose other half has too little to learn from is scored by all weights.
+    crossed = context.broadcast(tuple(table((1 - f,)) or weights for f in (0, 1)))
 
     def unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorers = [Scorer(Decoder(shared.value), w) for w in crossed.value]
@@ -438,7 +451,6 @@ def train(
 
     scores = sample.select("text", "y", "fold").mapInArrow(unseen, "largest double, total double, y double")
     pairs = scores.toPandas().to_numpy(float)
-    weights = table((0, 1))
     if not weights:
         return Model(log_p, {}, np.array([math.log((pairs[:, 2].sum() + 0.5) / (len(pairs) - pairs[:, 2].sum() + 0.5)), 0.0, 0.0]))
     return Model(log_p, weights, logistic(design(pairs[:, :2]), pairs[:, 2]))

@@ -154,5 +154,45 @@ def test_texts_that_open_alike_are_all_learned_from(spark):
     df, labelled = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id bigint, toxic int")
     sample = channel.labelled_sample(df, labelled, Fit(), "doc_id", "text", "toxic").collect()
     seen = {i for i, _ in labels if zlib.crc32(str(i).encode()) % 4 != 2}
-    assert len(sample) == len({i % 1000 for i in seen}) and len({r.fold for r in sample}) == 1
+    assert len(sample) == len({i % 1000 for i in seen}) and {r.fold for r in sample} == {0, 1}
     assert sum(r.y for r in sample) == sum(y for i, y in labels[:300] if i in seen or i + 1000 in seen)
+
+
+def caught(spark, docs, labels, fit=Fit()):
+    """Held-out toxic rows caught, and clean ones flagged."""
+    df, truth = spark.createDataFrame(docs, DOCS), dict(labels)
+    out = channel.toxicity(df, spark.createDataFrame(labels, "doc_id bigint, toxic int"), fit=fit).filter("held_out").collect()
+    return tuple(sum(r.predicted for r in out if truth[r.doc_id] == y) for y in (1, 0))
+
+
+def test_a_common_header_changes_no_verdict(spark):
+    """Texts that all open with the same 100 characters and more are scored as without them."""
+    docs, labels = corpus()
+    header = "the river stone walks under light seven green morning " * 3
+    plain = caught(spark, docs, labels)
+    assert plain[0] > 20 and caught(spark, [(i, header + t, s) for i, t, s in docs], labels) == plain
+
+
+def test_a_fold_without_a_label_is_scored_by_all_weights(spark):
+    """All labelled texts of one kind in one fold: the scores still tell the labels apart."""
+    import hashlib
+
+    docs, labels = corpus(1500)
+    truth, fold_of = dict(labels), {}
+    copies = spark.createDataFrame([(hashlib.sha256(t.lower().encode()).hexdigest(), i) for i, t, _ in docs], "c string, i bigint")
+    for r in copies.selectExpr("i", "pmod(xxhash64(c), 2) AS f").collect():
+        fold_of[r.i] = r.f
+    kept = [d for d in docs if truth[d[0]] == 0 or fold_of[d[0]] == 0]
+    found = caught(spark, kept, [(i, y) for i, y in labels if y == 0 or fold_of[i] == 0])
+    held = [d for d in kept if truth[d[0]] and zlib.crc32(str(d[0]).encode()) % 4 == 2]
+    assert found[0] >= 0.9 * len(held) > 10 and found[1] <= 20
+
+
+def test_features_are_chosen_by_association(spark):
+    """A rare word of toxic texts alone does not push out one that is frequent in them."""
+    counted = spark.createDataFrame(
+        [("", 500, 50, 500, 50), ("sure", 5, 40, 5, 40), ("rare", 0, 2, 0, 2), ("weak", 0, 3, 1, 1), ("clean", 90, 3, 90, 3)],
+        "feature string, n00 long, n01 long, n10 long, n11 long",
+    )
+    best = [r.feature for r in channel.strongest_features(counted, [500, 50, 500, 50], Fit(max_features=2)).collect()]
+    assert best == ["sure", "rare"]
