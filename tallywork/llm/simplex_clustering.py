@@ -121,14 +121,15 @@ def nearest(x: np.ndarray, apexes: np.ndarray, centroids: np.ndarray, their: np.
     # unit of distance for all but enormous components.
     room = 1e-7 * (1 + upper.max(axis=1, initial=0.0))
     possible = ~(lower > (upper.min(axis=1) + room)[:, None])
-    rows, numbers = np.nonzero(possible)
-    exact = squared(x[rows], centroids[numbers])
-    # Pairs are in order of row, then number; a stable sort keeps the smaller number first.
-    order = np.lexsort((numbers, exact, rows)) if exact.dtype != object else np.array(
-        sorted(range(len(rows)), key=lambda i: (rows[i], exact[i], numbers[i])), np.int64
-    )
-    first = order[np.searchsorted(rows[order], np.arange(len(x)))]
-    return numbers[first].astype(np.int32), exact[first], possible.sum(axis=1, dtype=np.int32)
+    best = np.zeros(len(x), np.int32)
+    least = np.full(len(x), LARGEST) if _narrow(x, centroids) else np.full(len(x), float("inf"), object)
+    for number, centroid in enumerate(centroids):
+        rows = np.flatnonzero(possible[:, number])
+        exact = squared(x[rows], centroid[None, :])
+        # Only a smaller distance takes a row over, so of equal ones the smaller number stays.
+        nearer = (exact < least[rows]).astype(bool)
+        least[rows[nearer]], best[rows[nearer]] = exact[nearer], number
+    return best, least, possible.sum(axis=1, dtype=np.int32)
 
 
 def _matrix(column: pa.Array, size: int, kind: type) -> np.ndarray:
