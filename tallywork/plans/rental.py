@@ -77,7 +77,7 @@ WHERE rental_count = (SELECT max(rental_count) FROM counts b WHERE b.n_name = a.
 def search_history(t: Tables) -> DataFrame:
     names = F.split("c_name", "#")
     return rental.search_history(
-        t.part.select("p_partkey", "p_name", "p_brand", F.col("p_size").alias("language_id")),
+        t.part.select("p_partkey", "p_name", "p_brand", (F.col("p_size") % F.lit(25)).alias("language_id")),
         t.lineitem.select(
             F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "l_linenumber"
         ),
@@ -92,7 +92,7 @@ def search_history(t: Tables) -> DataFrame:
         customer_key="o_custkey",
         rented_at="o_orderdate",
         tie_break=["o_orderkey", "p_partkey", "l_linenumber"],
-        # Roles: a nation is a language, by its key; sizes beyond the nations have none.
+        # Roles: a nation is a language; a part has that of its size, counted round the 25 nations.
         languages=t.nation.select(F.col("n_nationkey").alias("language_id"), F.col("n_name").alias("language")),
     ).select(
         "row_num", "p_name", "p_brand", "language", "customer_name", "o_orderdate", "o_orderkey", "p_partkey", "l_linenumber"
@@ -105,7 +105,7 @@ SELECT row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey, p_partkey, l_li
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderkey, p_partkey,
        l_linenumber::BIGINT AS l_linenumber
 FROM part JOIN lineitem ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey
-JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = p_size
+JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = p_size % 25
 WHERE p_name ILIKE '%WIDGET%'
 """
 
