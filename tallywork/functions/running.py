@@ -1,4 +1,4 @@
-"""Ordered totals and numbering that do not need one task per group.
+"""Ordered totals, last values, ranks, frames and numbering without one task per group.
 
 A window with ``ORDER BY`` sends every row of a partition to one task. Here the rows are
 cut into range slices of the full sort order (so a single group, a single timestamp or
@@ -8,9 +8,9 @@ from the total of the slices before it. There is one plan for every size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,12 @@ def total_type(value: T.DataType) -> T.DataType:
     return T.LongType()
 
 
+def _cut(df: DataFrame, parts: list[str], order: list[Column], slices: int | None) -> DataFrame:
+    """``df`` in range slices of its sort order, numbered ``_slice`` and written once."""
+    width = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.repartitionByRange(width, *parts, *order).withColumn("_slice", F.spark_partition_id()))
+
+
 def running_total(
     df: DataFrame,
     value: Column | str,
@@ -47,12 +53,7 @@ def running_total(
     """
     parts = list(partition_by)
     order = [as_column(c) for c in order_by]
-    width = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = written(
-        df.withColumn("_value", as_column(value))
-        .repartitionByRange(width, *parts, *order)
-        .withColumn("_slice", F.spark_partition_id())
-    )
+    cut = _cut(df.withColumn("_value", as_column(value)), parts, order, slices)
     kind = total_type(cut.schema["_value"].dataType)
     keys = [*parts, "_slice"]
     before = Window.partitionBy(*parts).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -72,6 +73,104 @@ def running_total(
     return joined.withColumn(out, total.cast(kind)).drop("_slice", "_value", "_start")
 
 
+def running_last(
+    df: DataFrame,
+    value: Column | str,
+    out: str,
+    *,
+    order_by: Sequence[Column | str],
+    partition_by: Sequence[str] = (),
+    slices: int | None = None,
+) -> DataFrame:
+    """Add ``out``: the last ``value`` that is not null from the first row of the group to this one.
+
+    An ordered carry: every slice finds its own last values, and what a slice ends with is
+    carried to the slices after it (the last of two lasts is associative, so the carry needs
+    one row per slice and group). ``order_by`` must order the rows of a group totally, up to
+    rows with equal values. Rows are written once, as in :func:`running_total`.
+    """
+    parts = list(partition_by)
+    order = [as_column(c) for c in order_by]
+    cut = _cut(df.withColumn("_value", as_column(value)), parts, order, slices)
+    keys = [*parts, "_slice"]
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = (
+        cut.withColumns({"_end": F.last("_value", ignorenulls=True).over(whole), "_first": F.row_number().over(inside)})
+        .filter("_first = 1")
+        .select(*keys, "_end")
+    )
+    before = Window.partitionBy(*parts).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ends.withColumn("_start", F.last("_end", ignorenulls=True).over(before))
+        .filter(F.col("_start").isNotNull())
+        .drop("_end")
+    )
+    here = F.last("_value", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    joined = lookup(cut.withColumn("_here", here), *aside(starts, keys))
+    return joined.withColumn(out, F.coalesce("_here", "_start")).drop("_slice", "_value", "_here", "_start")
+
+
+def rank_up_to(
+    df: DataFrame,
+    n: int,
+    *,
+    order_by: str,
+    partition_by: Sequence[str] = (),
+    slices: int | None = None,
+) -> DataFrame:
+    """Rows whose ``rank()`` by descending ``order_by`` (nulls last) is at most ``n``, for any ``n``.
+
+    The rank is one more than the number of rows with a greater value: a running total of
+    the counts per distinct value. So neither a large group nor a value that a third of the
+    rows share meets in one task.
+    """
+    keys = [*partition_by, order_by]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    upto = running_total(
+        counts, "_n", "_upto", order_by=[F.col(order_by).desc_nulls_last()], partition_by=partition_by, slices=slices
+    )
+    best = upto.filter(F.col("_upto") - F.col("_n") < n).select(*keys)
+    return lookup(df, *aside(best, keys), "left_semi")
+
+
+# Rows a block of :func:`over_frames` has of its own.
+BLOCK_ROWS = 1 << 16
+
+
+def over_frames(
+    df: DataFrame,
+    columns: Mapping[str, Callable[[WindowSpec], Column]],
+    *,
+    order_by: Sequence[Column | str],
+    lower: int,
+    upper: int,
+    partition_by: Sequence[str] = (),
+    block_rows: int = BLOCK_ROWS,
+    slices: int | None = None,
+) -> DataFrame:
+    """Add window columns whose ROWS frames lie within ``lower`` .. ``upper`` (negative: preceding).
+
+    Rows are numbered in their full order and dealt to blocks of ``block_rows``; each block
+    also gets the edge rows of its neighbours that its frames reach (a halo), which are dropped
+    again. ``columns`` maps a name to a function of the ordered window. ``order_by`` must order
+    the rows of a group totally.
+    """
+    parts = list(partition_by)
+    placed = numbered(df, "_at", order_by=[*[F.col(p) for p in parts], *order_by], start=0, slices=slices)
+    size = F.lit(block_rows)
+
+    def block(at: Column) -> Column:
+        return F.floor(F.greatest(at, F.lit(0)) / size).cast("bigint")
+
+    home = block(F.col("_at"))
+    reached = F.sequence(block(F.col("_at") - F.lit(max(upper, 0))), block(F.col("_at") - F.lit(min(lower, 0))))
+    dealt = placed.withColumn("_block", F.explode(reached))
+    window = Window.partitionBy(*parts, "_block").orderBy("_at")
+    framed = dealt.withColumns({name: make(window) for name, make in columns.items()})
+    return framed.filter(F.col("_block") == home).drop("_block", "_at")
+
+
 def numbered(
     df: DataFrame,
     out: str,

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import as_column
-from tallywork.functions.keys import aside, lookup
-from tallywork.functions.running import running_total
+from tallywork.functions.running import running_last, running_total
 
 
 def price_on_ingest(
@@ -103,46 +102,22 @@ def price_as_of(
 ) -> DataFrame:
     """Each sale with the price row in force on its day (NULL before the first price).
 
-    As-of join without pairing a sale with its key's whole history. Price rows are dates,
-    so a (key, month) has at most 31 changes after one is kept per day. A month with
-    changes carries them and the last one before it; it also stands for the months until
-    the next with changes, where the price does not change. A sale looks at its own month
-    only, or at the newest price when it is later than the last change.
+    An as-of join as one ordered carry: prices and sales of a key are put in one order by day,
+    a day's prices (the largest ``columns`` last) before its sales, and every sale takes the
+    last price before it. A key with a third of the sales, or one day of it, spreads over tasks
+    (:func:`tallywork.functions.running.running_last`). A sale without a key or a day has no price.
     """
-    keys = list(keys)
-
-    def month(c: Column) -> Column:
-        return F.trunc(c, "month")
-
-    per_day = pricing.dropna(subset=keys).groupBy(*keys, F.to_date(effective).alias("_day")).agg(
-        F.max(F.struct(*columns)).alias("_row")
-    )
-    in_order = Window.partitionBy(*keys).orderBy("_from")
-    monthly = (
-        per_day.groupBy(*keys, month(F.col("_day")).alias("_from"))
-        .agg(F.sort_array(F.collect_list(F.struct("_day", "_row"))).alias("_changes"))
-        .withColumn("_final", F.element_at("_changes", -1)["_row"])
-        .withColumns({"_opening": F.lag("_final").over(in_order), "_until": F.lead("_from").over(in_order)})
-    )
-    one = F.expr("INTERVAL 1 MONTH")
-    here = F.coalesce(F.add_months("_until", -1), F.col("_from"))
-    covered = monthly.select(
-        *keys, F.explode(F.sequence("_from", here, one)).alias("_month"), "_from", "_changes", "_opening", "_final"
-    )
-    newest = monthly.filter(F.col("_until").isNull()).select(
-        *keys, F.col("_from").alias("_last_month"), F.col("_final").alias("_newest")
-    )
-
-    dated = sales.withColumn("_on", F.to_date(sold_at)).withColumn("_month", month(F.col("_on")))
-    found = lookup(dated, *aside(newest, keys))
-    found = lookup(found, *aside(covered, [*keys, "_month"]))
-    in_force = F.filter("_changes", lambda change: change["_day"] <= F.col("_on"))
-    in_month = F.coalesce(F.try_element_at(in_force, F.lit(-1))["_row"], F.col("_opening"))
-    current = (
-        F.when(F.col("_month") > F.col("_last_month"), F.col("_newest"))
-        .when(F.col("_month") > F.col("_from"), F.col("_final"))
-        .otherwise(in_month)
-    )
-    return found.withColumns({c: current[c] for c in columns}).drop(
-        "_on", "_month", "_from", "_changes", "_opening", "_final", "_last_month", "_newest"
+    keys, rows = list(keys), [f"`{c}`" for c in sales.columns]
+    columns = list(columns)
+    price = pricing.dropna(subset=[*keys, effective]).select(
+        *keys, F.to_date(effective).alias("_day"), F.struct(*columns).alias("_price")
     )
+    sale = sales.select(*keys, F.to_date(sold_at).alias("_day"), F.struct(*rows).alias("_sale"))
+    # The hash parts the sales of one day, so that slices can cut between them.
+    order = [
+        F.col("_day").asc_nulls_first(), F.col("_sale").isNotNull(), F.col("_price").asc_nulls_last(), F.xxhash64(*[f"_sale.{c}" for c in rows])
+    ]
+    together = price.unionByName(sale, allowMissingColumns=True)
+    carried = running_last(together, "_price", "_in_force", order_by=order, partition_by=keys)
+    sold = carried.filter(F.col("_sale").isNotNull())
+    return sold.select("_sale.*", *[F.col(f"_in_force.{c}").alias(c) for c in columns])

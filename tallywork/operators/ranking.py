@@ -1,9 +1,9 @@
 """Top-n reports. Ties are kept: ``rank``, never ``row_number``.
 
-Spark trims ``rank() <= n`` in every task before the shuffle (WindowGroupLimit,
-for ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``; a larger ``n`` is
-refused until that is raised), so what reaches a group's task is n rows and their ties from
-each task, not the group.
+Spark trims ``rank() <= n`` in every task before the shuffle (WindowGroupLimit) for ``n`` up to
+``spark.sql.optimizer.windowGroupLimitThreshold``, so what reaches a group's task is n rows and
+their ties from each task, not the group. A larger ``n`` is ranked in slices
+(:func:`tallywork.functions.running.rank_up_to`).
 """
 
 from __future__ import annotations
@@ -14,18 +14,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import share_of
+from tallywork.functions.running import rank_up_to
 
 # Up to here Spark trims ranked rows in every task before the shuffle (the default of
 # spark.sql.optimizer.windowGroupLimitThreshold).
 LARGEST_N = 1000
 
 
-def _checked(df: DataFrame, n: int) -> int:
-    """``n``, if rows are trimmed to it before the shuffle; beyond, a whole group would go to one task."""
+def _best(df: DataFrame, n: int, groups: Sequence[str], measure: str, slices: int | None) -> DataFrame:
+    """Rows of rank up to ``n`` by descending ``measure`` in their group, ties kept."""
+    if n < 1:
+        raise ValueError(f"n must be at least 1, not {n}")
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", str(LARGEST_N)))
-    if not 0 < n <= limit:
-        raise ValueError(f"n must be from 1 to {limit} (spark.sql.optimizer.windowGroupLimitThreshold), not {n}")
-    return n
+    if n > limit:
+        return rank_up_to(df, n, order_by=measure, partition_by=groups, slices=slices)
+    order = Window.partitionBy(*groups).orderBy(F.col(measure).desc_nulls_last())
+    return df.withColumn("_rank", F.rank().over(order)).filter(F.col("_rank") <= n).drop("_rank")
 
 
 def best_with_attributes(
@@ -52,6 +56,7 @@ def top_n_per_group_with_share(
     n: int = 5,
     total: str = "total_sales",
     share: str = "sales_percentage",
+    slices: int | None = None,
 ) -> DataFrame:
     """The ``n`` best members per group, ties kept, with their share of the whole group.
 
@@ -59,10 +64,8 @@ def top_n_per_group_with_share(
     reuses their shuffle) and joins only the few ranked rows. A window total
     would send all members of a group to one task.
     """
-    n = _checked(sales, n)
     sums = sales.groupBy(group, member).agg(F.sum(amount).alias(total))
-    order = Window.partitionBy(group).orderBy(F.col(total).desc_nulls_last())
-    best = sums.withColumn("_rank", F.rank().over(order)).filter(F.col("_rank") <= n).drop("_rank")
+    best = _best(sums, n, [group], total, slices)
     totals = sums.groupBy(group).agg(F.sum(total).alias("_whole"))
     return (
         best.join(totals, group)
@@ -82,16 +85,15 @@ def consistent_top_n(
     periods: Sequence[object],
     n: int = 300,
     out: str = "amount_sold",
+    slices: int | None = None,
 ) -> DataFrame:
     """Members ranked in the top ``n`` of their group in every one of ``periods``, with the sum."""
-    n = _checked(sales, n)
     sums = (
         sales.filter(F.col(period).isin(list(periods)))
         .groupBy(period, group, member)
         .agg(F.sum(amount).alias("_sum"))
     )
-    order = Window.partitionBy(period, group).orderBy(F.col("_sum").desc_nulls_last())
-    best = sums.withColumn("_rank", F.rank().over(order)).filter(F.col("_rank") <= n)
+    best = _best(sums, n, [period, group], "_sum", slices)
     # One row per period here, so counting rows counts periods.
     return (
         best.groupBy(group, member)

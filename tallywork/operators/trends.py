@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import amount_text, as_column, percent_text, share_of
-from tallywork.functions.running import groups_between, peer_total
+from tallywork.functions.running import groups_between, over_frames, peer_total
 
 
 def next_gap(
@@ -121,22 +121,29 @@ def centered_average(
     default: tuple[int, int] = CENTERED,
     by_weekday: Mapping[str, tuple[int, int]] = CENTERED_BY_WEEKDAY,
     keep: Column | None = None,
+    **blocks: int,
 ) -> DataFrame:
     """Average of neighbouring rows, with a wider frame on given weekdays.
 
-    ``daily`` has one row per day, which is what one task can order. Rows count
+    ``daily`` has one row per ``day``, however many there are: rows are framed in blocks
+    (``blocks``: see :func:`tallywork.functions.running.over_frames`). Rows count
     days that exist: a missing day widens the span. ``keep`` filters after the
     window, so earlier and later days can warm the frame up.
     """
-    ordered = Window.partitionBy().orderBy(day)
 
-    def average(frame: tuple[int, int]) -> Column:
-        return F.round(F.avg(amount).over(ordered.rowsBetween(*frame)), 2)
+    def average(ordered: WindowSpec) -> Column:
+        def over(frame: tuple[int, int]) -> Column:
+            return F.round(F.avg(amount).over(ordered.rowsBetween(*frame)), 2)
 
-    chosen = average(default)
-    for name, frame in by_weekday.items():
-        chosen = F.when(weekday == F.lit(name), average(frame)).otherwise(chosen)
-    result = daily.withColumn(out, chosen)
+        chosen = over(default)
+        for name, frame in by_weekday.items():
+            chosen = F.when(weekday == F.lit(name), over(frame)).otherwise(chosen)
+        return chosen
+
+    frames = [default, *by_weekday.values()]
+    result = over_frames(
+        daily, {out: average}, order_by=[day], lower=min(f[0] for f in frames), upper=max(f[1] for f in frames), **blocks
+    )
     return result if keep is None else result.filter(keep)
 
 
@@ -148,10 +155,15 @@ def rolling_rows_average(
     rows: int = 3,
     out: str = "rolling_3day_avg",
     keep: Column | None = None,
+    **blocks: int,
 ) -> DataFrame:
-    """Average of the current and the ``rows - 1`` rows before it, over one row per day."""
-    window = Window.partitionBy().orderBy(day).rowsBetween(1 - rows, Window.currentRow)
-    result = daily.withColumn(out, F.avg(amount).over(window))
+    """Average of the current and the ``rows - 1`` rows before it, over one row per day, framed
+    in blocks as in :func:`centered_average`."""
+
+    def average(ordered: WindowSpec) -> Column:
+        return F.avg(amount).over(ordered.rowsBetween(1 - rows, Window.currentRow))
+
+    result = over_frames(daily, {out: average}, order_by=[day], lower=1 - rows, upper=0, **blocks)
     return result if keep is None else result.filter(keep)
 
 

@@ -95,6 +95,21 @@ def test_price_as_of_equals_brute_force(spark):
     assert got.count() == 600
 
 
+def test_price_as_of_of_one_hot_day(spark):
+    """Most sales on one day of one key, prices that change on that day, sales without a day or key."""
+    on = lambda d: dt.date(2020, 1, d)
+    prices = [(1, 7, on(1)), (2, 7, on(9)), (3, 7, on(9)), (4, 7, on(10)), (5, None, on(1)), (6, 8, None)]
+    sales = [(i, 7, on(9)) for i in range(400)] + [(900, 7, on(8)), (901, 7, None), (902, None, on(9)), (903, 8, on(9)), (904, 7, on(30))]
+    got = ledger.price_as_of(
+        spark.createDataFrame(sales, "n int, k int, d date").repartition(7),
+        spark.createDataFrame(prices, "p int, k int, e date"),
+        keys=["k"], sold_at="d", effective="e", columns=["p"],
+    )
+    assert got.columns == ["n", "k", "d", "p"]
+    want = {i: 3 for i in range(400)} | {900: 1, 901: None, 902: None, 903: None, 904: 4}
+    assert {r.n: r.p for r in got.collect()} == want
+
+
 def test_add_items_equals_one_by_one(spark):
     rng = random.Random(9)
     titles, languages = ["Night", "NIGHT", "day", "Dawn", "dusk"], ["english ", "French", "Elvish", None]

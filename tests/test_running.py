@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallywork.functions.running import groups_between, numbered, peer_total, running_total
+from tallywork.functions.running import groups_between, numbered, over_frames, peer_total, rank_up_to, running_last, running_total
 
 D = Decimal
 
@@ -104,3 +104,42 @@ def test_the_type_does_not_depend_on_size(spark, rows_, kind, total):
     for got in (running_total(df, "v", "t", order_by=["id"]), peer_total(df, "v", "t", order_by="id")):
         assert got.schema["t"].dataType.simpleString() == total
         assert got.agg(F.max("t")).first()[0] == rows_
+
+
+@pytest.mark.parametrize("slices", [1, 7, 200, None])
+def test_running_last(ledger, slices):
+    """Carried over slices that hold no value of their own."""
+    sparse = ledger.withColumn("change", F.when(F.col("id") % 37 == 0, F.col("change")))
+    order = ["ts", "id"]
+    got = running_last(sparse, "change", "total", partition_by=["tank"], order_by=order, slices=slices)
+    assert got.columns == [*ledger.columns, "total"]
+    w = Window.partitionBy("tank").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    assert rows(got) == rows(sparse.withColumn("total", F.last("change", ignorenulls=True).over(w)))
+
+
+@pytest.mark.parametrize("n", [1, 40, 333, 5000])
+def test_rank_up_to(ledger, n):
+    """Ties are kept, nulls come last, whatever the slices; a third of a group ties."""
+    tied = ledger.withColumn("v", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise((F.col("change") % 50).cast("int")))
+    got = rank_up_to(tied, n, order_by="v", partition_by=["tank"], slices=9)
+    w = Window.partitionBy("tank").orderBy(F.col("v").desc_nulls_last())
+    assert rows(got) == rows(tied.withColumn("r", F.rank().over(w)).filter(F.col("r") <= n).drop("r"))
+
+
+@pytest.mark.parametrize("block_rows", [1, 2, 5, 1000])
+@pytest.mark.parametrize("frame_", [(-2, 1), (-1, 3), (0, 0), (-4, -2), (2, 4)])
+def test_frames_in_blocks(ledger, block_rows, frame_):
+    few = ledger.filter("id < 300")
+    order = ["ts", "id"]
+    lower, upper = frame_
+    made = {"s": lambda w: F.sum("change").over(w.rowsBetween(lower, upper)), "n": lambda w: F.count(F.lit(1)).over(w.rowsBetween(lower, upper))}
+    got = over_frames(few, made, order_by=order, partition_by=["tank"], lower=lower, upper=upper, block_rows=block_rows, slices=3)
+    plain_window = Window.partitionBy("tank").orderBy(*order)
+    assert rows(got) == rows(few.withColumns({name: make(plain_window) for name, make in made.items()}))
+
+
+def test_frames_of_nothing(frame):
+    none = frame([], "a int, v int")
+    made = {"s": lambda w: F.sum("v").over(w.rowsBetween(-1, 1))}
+    assert over_frames(none, made, order_by=["a"], lower=-1, upper=1).collect() == []
+    assert running_last(none, "v", "l", order_by=["a"]).collect() == [] and rank_up_to(none, 5, order_by="v").collect() == []
