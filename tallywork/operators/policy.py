@@ -14,14 +14,15 @@ from tallywork.functions.keys import among, flagged
 
 
 def principal_keys(
-    customers: DataFrame, principal: str, *, key: str, first_name: str = "first_name", last_name: str = "last_name"
+    customers: DataFrame, principal: str | Column, *, key: str, first_name: str = "first_name", last_name: str = "last_name"
 ) -> DataFrame:
     """Key of the customer a principal stands for (``client_first_last``, lower case).
 
     A name that two customers share stands for neither: the rule fails closed, as a scalar
     subquery with two rows would, and the principal sees no rows.
     """
-    named = customers.filter(principal_name(first_name, last_name) == F.lit(principal)).select(key)
+    who = principal if isinstance(principal, Column) else F.lit(principal)
+    named = customers.filter(principal_name(first_name, last_name) == who).select(key)
     return (
         named.agg(F.min(key).alias(key), F.max(key).alias("_other"), F.count(key).alias("_n"))
         .filter((F.col("_n") > 0) & (F.col(key) == F.col("_other")))
@@ -34,6 +35,16 @@ def row_policy(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     return among(df, allowed, [key])
 
 
+def policy_view(df: DataFrame, customers: DataFrame, name: str, *, key: str, **names: str) -> None:
+    """A temporary view ``name`` of the rows of ``df`` that belong to whoever asks.
+
+    The session's user (``current_user()``) is the principal. It is looked up by every query
+    on the view, not when the view is made, so one definition serves all users.
+    """
+    own = principal_keys(customers, F.current_user(), key=key, **names)
+    row_policy(df, own, key).createOrReplaceTempView(name)
+
+
 @dataclass(frozen=True)
 class Policy:
     """A permissive policy: rows matching ``predicate``, or with a key in ``keys``."""

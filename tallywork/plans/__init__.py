@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from tallywork.plans import changes, checks, rental, reports, trends
+from tallywork.plans import changes, checks, rental, reports, sql_reports, trends
 from tallywork.plans.query import Query
 
 
 def registered() -> dict[str, Query]:
     """All queries by name, in name order."""
     found: dict[str, Query] = {}
-    for module in (reports, trends, rental, changes, checks):
+    for module in (reports, trends, rental, changes, checks, sql_reports):
         for name, query in module.QUERIES.items():
             if name in found:
                 raise ValueError(f"two queries are named {name}")
