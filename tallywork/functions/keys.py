@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,3 +62,41 @@ def flagged(df: DataFrame, keys: DataFrame, on: Sequence[str], flag: str) -> Dat
     """Add a boolean ``flag``: the row's key occurs in ``keys``. One scan of ``df``."""
     marked, renamed = aside(distinct_keys(keys, on).withColumn(flag, F.lit(True)), on)
     return lookup(df, marked, renamed).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+# A filter's size: 64-bit words, sixteen bits a key, at most 16 MB of (word, bits) pairs.
+KEYS_PER_WORD = 4
+MAX_WORDS = 1 << 20
+BITS_PER_KEY = 3
+
+
+def _word_and_mask(keys: Sequence[Column], words: int) -> tuple[Column, Column]:
+    """Which word of the filter a key belongs to, and its bits in it."""
+    mixed = F.xxhash64(*keys)
+    bits = [F.shiftrightunsigned(mixed, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(BITS_PER_KEY)]
+    mask = F.lit(0).cast("bigint")
+    for bit in bits:
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
+    return F.pmod(F.shiftrightunsigned(mixed, 6 * BITS_PER_KEY), F.lit(words)), mask
+
+
+def sifted(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows whose key may be one of ``keys``, and rows whose key is not.
+
+    For a ``df`` far larger than ``keys`` when ``keys`` are too many to broadcast: a blocked Bloom
+    filter of them, sized from their number and never above MAX_WORDS words, is broadcast
+    instead, so that only rows of the first frame need a shuffle. A filter that is full lets more
+    rows into the first frame, never a matching one into the second. Counting the keys starts a
+    job when the plan is built; both frames scan ``df``.
+    """
+    typed = distinct_keys(keys, on).select(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in on])
+    words = 1 << 10
+    count = typed.count()
+    while words < min(count / KEYS_PER_WORD, MAX_WORDS):
+        words *= 2
+    word, mask = _word_and_mask([F.col(k) for k in on], words)
+    bits = typed.select(word.alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_bits"))
+    tested = df.withColumns({"_word": word, "_mask": mask}).join(F.broadcast(bits), "_word", "left")
+    may = F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return tested.filter(may).select(*columns), tested.filter(~may).select(*columns)

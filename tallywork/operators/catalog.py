@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywork.functions.running import running_total
 from tallywork.operators.ranking import best_with_attributes
 
 
@@ -142,7 +143,31 @@ def joined_text(
 ) -> DataFrame:
     """Texts of a group in one string, in text order; NULL texts are skipped and
     a group with none gives NULL. The result is one cell per group, so a group's
-    text must fit in one value; ``keys`` should be as fine as the list is meant."""
+    text must fit in one value; ``keys`` should be as fine as the list is meant, or see
+    :func:`joined_text_parts`."""
     listed = df.groupBy(*keys).agg(F.sort_array(F.collect_list(text)).alias(out))
     joined = F.array_join(out, separator)
     return listed.withColumn(out, F.when(F.size(out) > 0, joined))
+
+
+def joined_text_parts(
+    df: DataFrame,
+    keys: Sequence[str],
+    text: str,
+    out: str,
+    separator: str = ", ",
+    *,
+    part: str = "part",
+    part_rows: int = 10_000,
+    slices: int | None = None,
+) -> DataFrame:
+    """:func:`joined_text` in parts of ``part_rows`` texts, numbered from 0 in text order.
+
+    Parts put together with the separator are the whole text. Texts are numbered in slices
+    of their order, so a key with any share of the rows is many parts from many tasks.
+    Groups without a text have no part.
+    """
+    named = df.select(*keys, text).filter(F.col(text).isNotNull())
+    placed = running_total(named, F.lit(1).cast("bigint"), "_at", order_by=[text], partition_by=keys, slices=slices)
+    number = F.floor((F.col("_at") - 1) / F.lit(part_rows)).cast("bigint")
+    return joined_text(placed.withColumn(part, number), [*keys, part], text, out, separator)

@@ -3,6 +3,10 @@
 Parquet tables take no UPDATE, DELETE or MERGE, so an operator returns the
 DataFrame to be written. Writing over a path that is being read is the sink's
 business (:mod:`tallywork.sources.sinks`).
+
+``sift`` is for a target far larger than a batch that is itself too large to broadcast: only
+target rows that pass a Bloom filter of the batch's keys are shuffled
+(:func:`tallywork.functions.keys.sifted`). The outcome is the same.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.functions.keys import absent, among, flagged, lookup
+from tallywork.functions.keys import absent, among, flagged, lookup, sifted
 from tallywork.functions.running import numbered
 from tallywork.session import written
 
@@ -25,9 +29,10 @@ class Change(NamedTuple):
     rows: DataFrame
 
 
-def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Change:
+def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, sift: bool = False) -> Change:
     """Append batch rows whose natural key the target does not have."""
-    new = absent(batch, target, keys)
+    held = sifted(target.select(*keys), batch, keys)[0] if sift else target
+    new = absent(batch, held, keys)
     return Change(target.unionByName(new, allowMissingColumns=True), new)
 
 
@@ -125,8 +130,13 @@ def update_where(
     predicate: Column | None = None,
     keys: DataFrame | None = None,
     on: Sequence[str] = (),
+    sift: bool = False,
 ) -> Change:
     """Set columns where ``predicate`` is true, or where the row's key is in ``keys``, or both."""
+    if sift and keys is not None:
+        possible, others = sifted(target, keys, on)
+        changed = update_where(possible, values, predicate=predicate, keys=keys, on=on)
+        return Change(changed.table.unionByName(others), changed.rows)
     hit = F.lit(True) if predicate is None else F.coalesce(predicate, F.lit(False))
     marked = target if keys is None else flagged(target, keys, on, "_listed")
     marked = marked.withColumn("_hit", hit if keys is None else hit & F.col("_listed"))
@@ -139,9 +149,13 @@ def update_column(target: DataFrame, column: str, value: object, key: str, key_v
     return update_where(target, {column: value}, predicate=F.col(key) == F.lit(key_value))
 
 
-def delete_where(target: DataFrame, keys: DataFrame, on: Sequence[str]) -> Change:
+def delete_where(target: DataFrame, keys: DataFrame, on: Sequence[str], *, sift: bool = False) -> Change:
     """Remove rows by key: the rows kept, and the rows removed."""
     on = list(on)
+    if sift:
+        possible, others = sifted(target, keys, on)
+        changed = delete_where(possible, keys, on)
+        return Change(changed.table.unionByName(others), changed.rows)
     return Change(among(target, keys, on, "left_anti"), among(target, keys, on))
 
 

@@ -11,10 +11,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import instant
+from tallywork.functions.keys import flagged
+from tallywork.sources.sinks import write_batch
+from tallywork.sources.tables import inline_rows
 
 
 def is_false(condition: Column) -> Column:
@@ -135,34 +138,72 @@ def broken_rows(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
     return missing_parents(df, rule.key, tables[rule.parent], rule.parent_key)
 
 
-def summary(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per rule: its name, table and number of violations.
+def _counts(rules: Sequence[Check]) -> list[Column]:
+    return [F.count(F.when(is_false(r.condition), F.lit(1))).alias(r.name) for r in rules]
+
 
-    All row checks of a table are counted in one pass over it. Uniqueness counts
-    colliding keys, a foreign key counts orphaned rows.
+def _one_pass(df: DataFrame, table: str, rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The counts of the rules of a table, at most one of them Unique, from one scan of it.
+
+    Foreign keys are marked by a join with the distinct parent keys. With a Unique rule the
+    rows are first summed by its key, in their tasks before the shuffle, so row checks and
+    colliding keys come out of the same groups.
     """
-    parts: list[DataFrame] = []
-    checks: dict[str, list[Check]] = {}
-    for rule in rules:
+    broken: dict[str, Column] = {}
+    unique = None
+    for number, rule in enumerate(rules):
         if isinstance(rule, Check):
-            checks.setdefault(rule.table, []).append(rule)
+            broken[rule.name] = is_false(rule.condition)
+        elif isinstance(rule, ForeignKey):
+            has = f"_has_{number}"
+            parents = tables[rule.parent].select(F.col(rule.parent_key).alias(rule.key))
+            df = flagged(df, parents, [rule.key], has)
+            broken[rule.name] = F.col(rule.key).isNotNull() & ~F.col(has)
         else:
-            counted = broken_rows(rule, tables).agg(F.count(F.lit(1)).alias("violations"))
-            parts.append(
-                counted.select(
-                    F.lit(rule.name).alias("rule"), F.lit(rule.table).alias("table_name"), "violations"
-                )
-            )
-    for table, rules_of_table in checks.items():
-        counts = F.array(
-            *[
-                F.struct(
-                    F.lit(r.name).alias("rule"),
-                    F.lit(table).alias("table_name"),
-                    F.count(F.when(is_false(r.condition), F.lit(1))).alias("violations"),
-                )
-                for r in rules_of_table
-            ]
-        )
-        parts.append(tables[table].agg(counts.alias("_counts")).select(F.inline("_counts")))
-    return reduce(DataFrame.unionByName, parts)
+            unique = rule
+    totals = {name: F.count(F.when(c, F.lit(1))) for name, c in broken.items()}
+    if unique is not None:
+        keys = [F.col(k).alias(f"_key_{i}") for i, k in enumerate(unique.keys)]
+        grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(name) for name, c in totals.items()])
+        whole = reduce(Column.__and__, [F.col(f"_key_{i}").isNotNull() for i in range(len(keys))])
+        totals = {name: F.coalesce(F.sum(F.col(f"`{name}`")), F.lit(0)) for name in broken}
+        totals[unique.name] = F.count(F.when(whole & (F.col("_n") > 1), F.lit(1)))
+        df = grouped
+    counts = [
+        F.struct(F.lit(name).alias("rule"), F.lit(table).alias("table_name"), c.alias("violations")) for name, c in totals.items()
+    ]
+    return df.agg(F.array(*counts).alias("_counts")).select(F.inline("_counts"))
+
+
+def summary(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per rule: its name, table and number of violations. Rule names differ.
+
+    All rules of a table are counted in one scan of it (a second Unique rule takes another).
+    Uniqueness counts colliding keys, a foreign key counts orphaned rows.
+    """
+    passes: dict[tuple[str, int], list[Rule]] = {}
+    for rule in rules:
+        number = 0
+        if isinstance(rule, Unique):
+            while any(isinstance(r, Unique) for r in passes.get((rule.table, number), [])):
+                number += 1
+        passes.setdefault((rule.table, number), []).append(rule)
+    return reduce(
+        DataFrame.unionByName, [_one_pass(tables[table], table, found, tables) for (table, _), found in passes.items()]
+    )
+
+
+def write_checked(df: DataFrame, path: str, batch: str | int, table: str, checks: Sequence[Check]) -> DataFrame:
+    """Write ``df`` as a batch (:func:`tallywork.sources.sinks.write_batch`) and count the
+    violations of its row checks on the way: (rule, table_name, violations), no second scan.
+
+    A batch that was committed before is not written; its rows are then counted where they lie.
+    """
+    observed = Observation()
+    if write_batch(df.observe(observed, *_counts(checks)), path, batch):
+        counts = observed.get
+    else:
+        there = df.sparkSession.read.schema(df.schema).parquet(f"{path.rstrip('/')}/batch={batch}")
+        counts = there.agg(*_counts(checks)).first().asDict()
+    rows = [(check.name, table, counts[check.name]) for check in checks]
+    return inline_rows(df.sparkSession, rows, "rule string, table_name string, violations bigint")

@@ -13,7 +13,7 @@ from tallywork.operators import changes, intake, ledger
 from tallywork.operators.intake import SaleTables
 from tallywork.plans.query import Query
 from tallywork.session import written_folder
-from tallywork.sources.sinks import with_month_bucket, write_partitioned
+from tallywork.sources.sinks import read_batches, with_month_bucket, write_batch, write_partitioned
 from tallywork.sources.tables import Tables
 
 # Roles: lines shipped before this day are the table, later lines the batch; the
@@ -22,7 +22,7 @@ NEW_YEAR = dt.date(1998, 1, 1)
 _LINE = ["l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate"]
 
 
-def insert_if_absent(t: Tables) -> DataFrame:
+def _insert_if_absent(t: Tables, sift: bool = False) -> changes.Change:
     lines = t.lineitem.select("l_partkey", "l_suppkey", "l_shipdate")
     old = lines.filter(F.col("l_shipdate") < instant(NEW_YEAR))
     new = (
@@ -30,7 +30,7 @@ def insert_if_absent(t: Tables) -> DataFrame:
         .groupBy("l_partkey", "l_suppkey")
         .agg(F.min("l_shipdate").alias("l_shipdate"))
     )
-    return changes.insert_if_absent(old, new, ["l_partkey", "l_suppkey"]).table
+    return changes.insert_if_absent(old, new, ["l_partkey", "l_suppkey"], sift=sift)
 
 
 INSERT_IF_ABSENT = """
@@ -135,7 +135,7 @@ def _overdrawn(t: Tables) -> DataFrame:
     return t.customer.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
 
 
-def _update(t: Tables) -> changes.Change:
+def _update(t: Tables, sift: bool = False) -> changes.Change:
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     return changes.update_where(
         orders,
@@ -143,6 +143,7 @@ def _update(t: Tables) -> changes.Change:
         predicate=F.col("o_orderdate") >= instant(NEW_YEAR),
         keys=_overdrawn(t),
         on=["o_custkey"],
+        sift=sift,
     )
 
 
@@ -167,9 +168,9 @@ FROM customer
 """
 
 
-def _delete(t: Tables) -> changes.Change:
+def _delete(t: Tables, sift: bool = False) -> changes.Change:
     orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return changes.delete_where(orders, _overdrawn(t), ["o_custkey"])
+    return changes.delete_where(orders, _overdrawn(t), ["o_custkey"], sift=sift)
 
 
 _DELETED = """
@@ -625,15 +626,34 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
 FROM orders
 """
 
+
+
+def batch_appended_twice(t: Tables) -> DataFrame:
+    """Old rows as one batch, absent ones as another, that one twice, as after a lost driver."""
+    change = _insert_if_absent(t)
+    old = t.lineitem.select("l_partkey", "l_suppkey", "l_shipdate").filter(F.col("l_shipdate") < instant(NEW_YEAR))
+    path = f"{written_folder(t.spark)}/{uuid.uuid4().hex}"
+    write_batch(old, path, "before")
+    for _ in range(2):
+        write_batch(change.rows, path, "1998")
+    return read_batches(t.spark, path, old.schema)
+
+
+BATCH_APPENDED_TWICE = INSERT_IF_ABSENT
+
 QUERIES = {
-    "c01_insert_if_absent": Query(insert_if_absent, INSERT_IF_ABSENT),
+    "c01_insert_if_absent": Query(lambda t: _insert_if_absent(t).table, INSERT_IF_ABSENT),
+    "c01_insert_sifted": Query(lambda t: _insert_if_absent(t, sift=True).table, INSERT_IF_ABSENT),
+    "c01_batch_appended_twice": Query(batch_appended_twice, BATCH_APPENDED_TWICE),
     "c02_insert_ignore": Query(insert_ignore, INSERT_IGNORE),
     "c03_resolve_keys": Query(resolve_keys, RESOLVE_KEYS),
     "c04_assign_ids": Query(assign_ids, ASSIGN_IDS),
     "c05_update_where": Query(lambda t: _update(t).table, _UPDATED),
     "c05_changed_rows": Query(lambda t: _update(t).rows, _UPDATED + "WHERE hit"),
+    "c05_update_sifted": Query(lambda t: _update(t, sift=True).table, _UPDATED),
     "c05_update_column": Query(lambda t: _update_column(t).table, UPDATE_COLUMN),
     "c06_delete_where": Query(lambda t: _delete(t).table, _DELETED.format("NOT IN")),
+    "c06_delete_sifted": Query(lambda t: _delete(t, sift=True).table, _DELETED.format("NOT IN")),
     "c06_removed_rows": Query(lambda t: _delete(t).rows, _DELETED.format("IN")),
     "c07_price_on_ingest": Query(price_on_ingest, PRICE_ON_INGEST),
     "c08_running_stock": Query(running_stock, RUNNING_STOCK),

@@ -364,6 +364,54 @@ HAVING count(DISTINCT y) = 3
 """
 
 
+# More than Spark trims before a shuffle; orders are the members, so there are more of them.
+LARGE_N = 5000
+
+
+def topn_large(t: Tables) -> DataFrame:
+    lines = t.lineitem.select("l_returnflag", "l_orderkey", "l_extendedprice")
+    return ranking.top_n_per_group_with_share(
+        lines, group="l_returnflag", member="l_orderkey", amount="l_extendedprice", n=LARGE_N
+    )
+
+
+TOPN_LARGE = f"""
+WITH sums AS (
+  SELECT l_returnflag, l_orderkey, sum(l_extendedprice::DECIMAL(18,2)) AS total_sales
+  FROM lineitem GROUP BY l_returnflag, l_orderkey
+)
+SELECT l_returnflag, l_orderkey, total_sales::DOUBLE AS total_sales,
+       round(100 * total_sales::DOUBLE / grand_total::DOUBLE, 4) AS sales_percentage
+FROM (SELECT *, rank() OVER (PARTITION BY l_returnflag ORDER BY total_sales DESC) AS r,
+             sum(total_sales) OVER (PARTITION BY l_returnflag) AS grand_total FROM sums)
+WHERE r <= {LARGE_N}
+"""
+
+CONSISTENT_LARGE_N = 1500
+
+
+def consistent_large(t: Tables) -> DataFrame:
+    lines = t.lineitem.select(F.year("l_shipdate").alias("y"), "l_returnflag", "l_partkey", "l_extendedprice")
+    return ranking.consistent_top_n(
+        lines, period="y", group="l_returnflag", member="l_partkey", amount="l_extendedprice",
+        periods=[1996, 1997, 1999], n=CONSISTENT_LARGE_N,
+    )
+
+
+CONSISTENT_LARGE = f"""
+SELECT l_returnflag, l_partkey, sum(total)::DOUBLE AS amount_sold
+FROM (
+  SELECT l_returnflag, l_partkey, year(l_shipdate) AS y, sum(l_extendedprice::DECIMAL(18,2)) AS total,
+         rank() OVER (PARTITION BY year(l_shipdate), l_returnflag ORDER BY sum(l_extendedprice::DECIMAL(18,2)) DESC) AS r
+  FROM lineitem WHERE year(l_shipdate) IN (1996, 1997, 1999)
+  GROUP BY l_returnflag, l_partkey, year(l_shipdate)
+)
+WHERE r <= {CONSISTENT_LARGE_N}
+GROUP BY l_returnflag, l_partkey
+HAVING count(*) = 3
+"""
+
+
 def conditional_sums(t: Tables) -> DataFrame:
     sales = part_sales(
         t,
@@ -436,13 +484,28 @@ GROUP BY n_name, p_type
 """
 
 
-def string_list_agg(t: Tables) -> DataFrame:
-    named = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("p_partkey")).join(
+def _named_lines(t: Tables) -> DataFrame:
+    return t.lineitem.select("l_orderkey", "l_returnflag", F.col("l_partkey").alias("p_partkey")).join(
         t.part.select("p_partkey", F.expr("nullif(p_name, 'small widget')").alias("p_name")), "p_partkey"
     )
-    return catalog.joined_text(named, ["l_orderkey"], "p_name", "part_names")
 
 
+def string_list_agg(t: Tables) -> DataFrame:
+    return catalog.joined_text(_named_lines(t), ["l_orderkey"], "p_name", "part_names")
+
+
+def string_list_parts(t: Tables) -> DataFrame:
+    return catalog.joined_text_parts(_named_lines(t), ["l_returnflag"], "p_name", "part_names", part_rows=500)
+
+
+STRING_LIST_PARTS = """
+SELECT l_returnflag, part, string_agg(name, ', ' ORDER BY name) AS part_names
+FROM (SELECT l_returnflag, name, (row_number() OVER (PARTITION BY l_returnflag ORDER BY name) - 1) // 500 AS part
+      FROM (SELECT l_returnflag, nullif(p_name, 'small widget') AS name FROM lineitem JOIN part ON p_partkey = l_partkey)
+      WHERE name IS NOT NULL)
+GROUP BY l_returnflag, part
+"""
+
 STRING_LIST_AGG = """
 SELECT l_orderkey, string_agg(name, ', ' ORDER BY name) AS part_names
 FROM (SELECT l_orderkey, nullif(p_name, 'small widget') AS name FROM lineitem JOIN part ON p_partkey = l_partkey)
@@ -496,10 +559,13 @@ QUERIES = {
     "r08_inactivity": Query(inactivity, INACTIVITY),
     "r16_topn_per_group_ties": Query(topn_per_group_ties, TOPN_PER_GROUP_TIES),
     "r17_quarter_crosstab": Query(quarter_crosstab, QUARTER_CROSSTAB),
+    "r16_topn_large": Query(topn_large, TOPN_LARGE),
     "r18_consistent_top_n": Query(consistent_top_n, CONSISTENT_TOP_N),
+    "r18_consistent_large": Query(consistent_large, CONSISTENT_LARGE),
     "r19_conditional_sums": Query(conditional_sums, CONDITIONAL_SUMS),
     "r20_latest_quarter_summary": Query(latest_quarter_summary, LATEST_QUARTER_SUMMARY),
     "r21_string_list_agg": Query(string_list_agg, STRING_LIST_AGG),
+    "r21_string_list_parts": Query(string_list_parts, STRING_LIST_PARTS),
     "r22_active_in_both": Query(_active(None), ACTIVE_IN_BOTH),
     "r22_largest_active_key": Query(_active(1), ACTIVE_IN_BOTH + "ORDER BY c_custkey DESC LIMIT 1"),
     "r23_exists_in_both": Query(exists_in_both, EXISTS_IN_BOTH),

@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallywork.functions.keys import absent
+from tallywork.functions.keys import absent, among, sifted
 from tallywork.operators import changes, ledger
 from tallywork.sources import sinks
 
@@ -151,3 +151,42 @@ def test_ids_without_order_are_fixed_once(spark, frame):
     got = changes.assign_ids(frame([(41,)], "k bigint"), batch, "k")
     first = rows(got)
     assert first == rows(got) and len({r[1] for r in first}) == 100 and min(r[1] for r in first) == 42
+
+
+def test_a_batch_is_written_once(spark, frame, tmp_path):
+    path = str(tmp_path / "table")
+    assert sinks.read_batches(spark, path, "a int").collect() == []
+    assert sinks.write_batch(frame([(1,), (2,)], "a int"), path, "one")
+    assert not sinks.write_batch(frame([(1,), (2,)], "a int"), path, "one")
+    assert sinks.write_batch(frame([(3,)], "a int"), path, 2)
+    # What a lost driver left: rows without a commit record. They are not read, and replaced.
+    frame([(7,), (8,)], "a int").write.parquet(f"{path}/batch=lost")
+    (tmp_path / "table" / "batch=lost" / "_SUCCESS").unlink()
+    assert rows(sinks.read_batches(spark, path, "a int")) == [(1,), (2,), (3,)]
+    assert sinks.write_batch(frame([(9,)], "a int"), path, "lost")
+    assert rows(sinks.read_batches(spark, path, "a int")) == [(1,), (2,), (3,), (9,)]
+    with pytest.raises(ValueError, match="named by"):
+        sinks.write_batch(frame([], "a int"), path, "../x")
+
+
+def test_sifted_changes_equal_plain_ones(spark):
+    target = spark.range(5000).selectExpr("if(id % 3 = 0, 7, if(id % 50 = 1, NULL, id)) AS k", "id AS v", "'x' AS s")
+    batch = spark.range(4000, 9000, 7).selectExpr("cast(id as int) AS k", "id AS v", "'y' AS s").unionByName(target.limit(3))
+    plain, sift = (changes.insert_if_absent(target, batch, ["k"], sift=x) for x in (False, True))
+    assert rows(plain.table) == rows(sift.table) and rows(plain.rows) == rows(sift.rows)
+    keys = batch.select("k")
+    plain, sift = (changes.delete_where(target, keys, ["k"], sift=x) for x in (False, True))
+    assert rows(plain.table) == rows(sift.table) and rows(plain.rows) == rows(sift.rows)
+    plain, sift = (changes.update_where(target, {"s": "z"}, predicate=F.col("v") > 100, keys=keys, on=["k"], sift=x) for x in (False, True))
+    assert rows(plain.table) == rows(sift.table) and rows(plain.rows) == rows(sift.rows)
+
+
+def test_only_possible_matches_pass_the_filter(spark):
+    target = spark.range(100_000).selectExpr("id AS k", "id % 7 AS j")
+    wanted = spark.range(0, 100_000, 500).selectExpr("id AS k", "id % 7 AS j")
+    possible, others = sifted(target, wanted.unionByName(wanted), ["k", "j"])
+    found = possible.count()
+    assert 200 <= found < 1000 and found + others.count() == 100_000
+    assert among(others, wanted, ["k", "j"]).count() == 0 and among(possible, wanted, ["k", "j"]).count() == 200
+    nothing = sifted(target, wanted.limit(0), ["k"])
+    assert nothing[0].count() == 0 and nothing[1].count() == 100_000

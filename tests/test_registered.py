@@ -42,10 +42,13 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# Ordered over the whole frame: one row per day.
-ONE_TASK_WINDOWS = {"r12_centered_average", "r13_rolling_rows_average"}
+# Ordered over the whole frame: none.
+ONE_TASK_WINDOWS: set[str] = set()
 # Running totals over the whole frame order one row per slice in one task.
-SLICE_TOTALS = {"r14_range_running_total", "f04_search_history", "c04_assign_ids", "c17_seeded_rows"}
+SLICE_TOTALS = {
+    "r12_centered_average", "r13_rolling_rows_average", "r14_range_running_total", "f04_search_history", "c04_assign_ids",
+    "c17_seeded_rows",
+}
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -89,6 +92,14 @@ def test_top_n_is_trimmed_before_the_shuffle(spark):
         assert plan_of(queries()[name](spark, FOLDER)).count("WindowGroupLimit") >= 2
 
 
+def test_prices_as_of_are_one_carry(spark, large_tables):
+    """No history is exploded and no price is joined to a sale: what is left after the write of
+    the ordered rows is one window and the small join of what slices start with."""
+    plan = plan_of(queries()["c12_record_sales_as_of"](spark, FOLDER))
+    assert "Generate" not in plan and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") <= 25 and plan.count("SortMergeJoin") <= 1
+
+
 def test_rules_of_a_table_share_a_scan(spark):
     plan = plan_of(queries()["q06_required_and_length"](spark, FOLDER))
     assert plan.count("Scan parquet") == 1

@@ -220,15 +220,23 @@ def test_daily_reports_with_times_of_day_and_across_new_year(spark, tmp_path):
     assert widest <= 6
 
 
-def test_top_n_is_bounded(frame):
+def test_top_n_of_any_size(spark, frame):
+    """Beyond what Spark trims, ranks are taken in slices; the rows are the same."""
     import pytest
 
     from tallywork.operators import ranking
 
     df = frame([("a", 1, 2)], "g string, m int, v int")
-    for n in (0, 1001):
-        with pytest.raises(ValueError, match="windowGroupLimitThreshold"):
-            ranking.top_n_per_group_with_share(df, group="g", member="m", amount="v", n=n)
+    with pytest.raises(ValueError, match="at least 1"):
+        ranking.top_n_per_group_with_share(df, group="g", member="m", amount="v", n=0)
+    df = spark.range(8000).selectExpr("id % 2 AS g", "id AS m", "cast(id % 1500 AS decimal(10,2)) AS v", "id % 3 AS y")
+    for n in (900, 1001, 3000):
+        best = ranking.top_n_per_group_with_share(df, group="g", member="m", amount="v", n=n, slices=7)
+        ordered = {g: sorted((r.v for r in df.filter(f"g = {g}").collect()), reverse=True) for g in (0, 1)}
+        want = {g: sum(v >= values[n - 1] for v in values) for g, values in ordered.items()}
+        assert {r.g: r["count"] for r in best.groupBy("g").count().collect()} == want
+    spread = ranking.consistent_top_n(df.withColumn("m", F.col("m") % 400), period="y", group="g", member="m", amount="v", periods=[0, 1, 2], n=1200, slices=5)
+    assert spread.count() == 400
 
 
 def test_joined_text_takes_any_separator(frame):
@@ -236,3 +244,15 @@ def test_joined_text_takes_any_separator(frame):
 
     df = frame([(1, "b"), (1, "a"), (1, None), (2, None)], "k int, t string")
     assert sorted(map(tuple, joined_text(df, ["k"], "t", "o", separator="' \\").collect())) == [(1, "a' \\b"), (2, None)]
+
+
+def test_text_in_parts_is_the_whole_text(spark):
+    """Two thirds of the rows share one key, half of them one text."""
+    df = spark.range(3000).selectExpr("if(id % 3 < 2, 1, id % 20) AS k", "if(id % 11 = 0, NULL, if(id % 2 = 0, 'same', 't' || id % 97)) AS t").repartition(6)
+    parts = catalog.joined_text_parts(df, ["k"], "t", "text", part_rows=100, slices=30)
+    whole = {r.k: r.text for r in catalog.joined_text(df, ["k"], "t", "text").collect() if r.text}
+    found = {}
+    for r in parts.orderBy("k", "part").collect():
+        assert r.part == len(found.setdefault(r.k, [])) and len(r.text.split(", ")) <= 100
+        found[r.k].append(r.text)
+    assert {k: ", ".join(texts) for k, texts in found.items()} == whole and len(found[1]) == 19

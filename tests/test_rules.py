@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywork.operators import policy, quality
 from tallywork.sources import schemas
+from tallywork.sources.sinks import read_batches
 
 D = Decimal
 
@@ -90,3 +91,30 @@ def test_policies_add_up(people, rentals):
     assert rows(policy.policy_union(rentals, [mary, open_rows, mary], key="c"), "r") == [(10,), (12,), (13,), (14,)]
     assert rows(policy.policy_union(rentals, [open_rows], key="c"), "r") == [(13,), (14,)]
     assert rows(policy.policy_union(rentals, [], key="c")) == []
+
+
+def test_summary_takes_one_scan_of_each_table(spark):
+    """Row checks, a foreign key and a unique key of one table come from one pass."""
+    orders = spark.createDataFrame([(1, 5, -1), (1, 5, 2), (2, 6, None), (None, 9, 3), (None, 9, 4), (3, None, 5)], "k int, c int, v int")
+    people = spark.createDataFrame([(5,), (6,), (6,), (None,)], "c int")
+    rules = [
+        quality.Check("v above 0", "orders", quality.above("v")),
+        quality.ForeignKey("c known", "orders", "c", "people", "c"),
+        quality.Unique("k once", "orders", ("k",)),
+        quality.Unique("v once", "orders", ("v",)),
+        quality.Check("c given", "people", quality.required("c")),
+    ]
+    got = quality.summary(rules, {"orders": orders, "people": people})
+    assert rows(got, "rule", "violations") == [("c given", 1), ("c known", 2), ("k once", 1), ("v above 0", 1), ("v once", 0)]
+    none = quality.summary(rules, {"orders": orders.limit(0), "people": people.limit(0)})
+    assert {r.violations for r in none.collect()} == {0} and none.count() == 5
+
+
+def test_rules_are_counted_while_the_table_is_written(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "if(id % 10 = 0, NULL, id % 4) AS v")
+    checks = [quality.Check("v above 0", "t", quality.above("v")), quality.Check("v given", "t", quality.required("v"))]
+    path = str(tmp_path / "t")
+    want = [("v above 0", "t", df.filter("v = 0").count()), ("v given", "t", 100)]
+    for _ in range(2):
+        assert rows(quality.write_checked(df, path, "one", "t", checks)) == want
+    assert read_batches(spark, path, df.schema).count() == 1000
