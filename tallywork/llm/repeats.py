@@ -29,10 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.llm.anchors import BASES, BYTE_VALUES, hashed, mixed, pieces, prefix, spans, word_hashes
-from tallywork.llm.text import small_pieces, text_bytes
+from tallywork.llm.text import small_pieces, tasks_for, text_bytes, total_bytes
 from tallywork.session import written
 
 REMOVED, AS_TEXT, AS_HASHES = 0, 1, 2
+# Text whose spans and windows one task of a shuffle holds. A span has about 30 bytes of numbers
+# and stands for some 40 symbols, so that is less than the text.
+TASK_BYTES = 64 << 20
 MANY = 1 << 8
 HOT = 1 << 9
 
@@ -174,7 +177,9 @@ def _span_rows(rule: Rule, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
             for name, value in values.items():
                 columns[name] = pa.ListArray.from_arrays(pa.array(cuts), pa.array(value[order], _LISTS[name]))
         columns["bucket"] = pa.array(np.arange(buckets, dtype=np.int32))
-        yield pa.RecordBatch.from_arrays([columns[f.name] for f in _SPAN_ARROW], schema=_SPAN_ARROW)
+        rows = pa.RecordBatch.from_arrays([columns[f.name] for f in _SPAN_ARROW], schema=_SPAN_ARROW)
+        # With more buckets than spans most have none.
+        yield rows.filter(pa.array(np.maximum(*(np.asarray(columns[n].value_lengths()) for n in ("key", "other_id"))) > 0))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -379,7 +384,7 @@ def repeated_ranges(texts: DataFrame, rule: Rule) -> DataFrame:
     ``texts`` has the columns id (bigint, unique, no nulls), text and what else a later join by
     id needs: with the same columns Spark deals the texts out once for both.
     """
-    width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = tasks_for(texts.sparkSession, total_bytes(texts), TASK_BYTES)
     dealt = texts.select("id", "text").mapInArrow(_span_rows(rule, width), SPAN_SCHEMA).repartitionById(width, F.col("bucket"))
     found = written(dealt.mapInArrow(_found_rows(rule), FOUND_SCHEMA))
     open_ = (

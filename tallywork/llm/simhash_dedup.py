@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.keys import lookup
 from tallywork.llm.cut import cut
-from tallywork.llm.text import LOWER_BYTES, slices
+from tallywork.llm.text import LOWER_BYTES, dealt, slices, tasks_for
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 BLOCKS, BLOCK_BITS = 4, 16
 TREE_SIZE = 2048
+# Rows (a fingerprint in one of its shards) a task holds.
+TASK_ROWS = 500_000
 
 
 def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
@@ -161,10 +163,11 @@ def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     placed = lookup(rows, large, {"shard": "_shard"}).select(
         "shard", "fp", parts.alias("parts"), F.pmod(F.xxhash64("fp"), parts).alias("own")
     )
-    dealt = placed.select(
+    sent = placed.select(
         "shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "fp", "own"
     ).select("shard", "part", "fp", (F.col("part") != F.col("own")).cast("bigint").alias("guest"))
-    return dealt.repartition("shard", "part").mapInArrow(_links(radius), "a bigint, b bigint")
+    width = tasks_for(distinct.sparkSession, distinct.count() * len(shards), TASK_ROWS)
+    return dealt(sent, width, "shard", "part").mapInArrow(_links(radius), "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:

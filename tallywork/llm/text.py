@@ -85,3 +85,21 @@ def small_pieces(
             upto = min(max(upto, at + 1), at + max_rows, batch.num_rows)
             yield batch.slice(at, upto - at)
             at = upto
+
+
+def tasks_for(spark: SparkSession, amount: int, each: int) -> int:
+    """Tasks for ``amount`` rows or bytes with about ``each`` to a task: the session's number of
+    shuffle partitions, or more where that would give a task too much."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-amount // each))
+
+
+def dealt(df: DataFrame, tasks: int, *by: str) -> DataFrame:
+    """``df`` shuffled by columns over at least ``tasks`` tasks; where the session has as many
+    already, small ones may be merged at run time."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(*by) if tasks <= usual else df.repartition(tasks, *by)
+
+
+def total_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Bytes of all texts; a job that reads them."""
+    return docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0)).alias("n")).first()["n"]

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions.keys import lookup
+from tallywork.llm.text import tasks_for
 from tallywork.session import shared_folder, written
 
 LEAST_BYTES = 100
@@ -238,6 +239,8 @@ class LoserTree:
             self.losers[0] = winner
 
 
+# Entries a task merges; as Python rows some hundred MB.
+RANGE_ENTRIES = 200_000
 HISTORY_SCHEMA = f"range bigint, place bigint, archive string, {ENTRY}"
 
 
@@ -246,10 +249,10 @@ def merged_history(runs: DataFrame, ranges: int | None = None) -> DataFrame:
     key, timestamp and page id.
 
     The range bounds lie on the whole sort key, so the captures of a very frequent URL
-    spread over several ranges, and a task holds the runs' parts in its range only. Inside
-    a task rows come run by run, each in its own order, and the loser tree merges them.
+    spread over several ranges, and a task holds the runs' parts in its range only: about
+    RANGE_ENTRIES, however many there are in all. Inside a task rows come run by run, each in its own order, and the loser tree merges them.
     """
-    width = ranges or int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = ranges or tasks_for(runs.sparkSession, runs.count(), RANGE_ENTRIES)
     key = ["urlkey", "timestamp", "page_id", "archive", "place"]
     dealt = (
         runs.repartitionByRange(width, *key)

@@ -15,6 +15,7 @@ from tallywork.llm.prefix_free_dedup import remove_repeated_bytes
 from tallywork.llm.repeats import suffix_repeats
 from tallywork.llm.seed_extend_dedup import RULE as WORDS
 from tallywork.llm.seed_extend_dedup import remove_repeated_words
+from tallywork.llm.text import tasks_for, total_bytes
 
 SCHEMA = "doc_id bigint, text string, ranges string"
 
@@ -157,3 +158,19 @@ def test_rows_without_an_id_of_their_own(spark):
     got = Counter((r.doc_id, r.kept) for r in remove_repeated_words(df).collect())
     want = [(None, ""), (None, clean[0]), (None, clean[1]), (5, clean[2]), (5, ""), (5, ""), (6, clean[3])]
     assert got == Counter(want)
+
+
+@pytest.mark.parametrize("task_bytes", [1 << 9, 1 << 12])
+def test_more_tasks_than_spans_find_the_same(spark, monkeypatch, task_bytes):
+    """What a task holds is bounded by bytes: ten times the text takes ten times the tasks."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(20, 120))) for _ in range(60)]
+    texts += [texts[i] + " tail " + texts[i + 1] for i in range(0, 30, 3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = [{r.doc_id: r.kept_sha256 for r in remove(df).collect()} for remove in (remove_repeated_bytes, remove_repeated_words)]
+    monkeypatch.setattr(repeats, "TASK_BYTES", task_bytes)
+    width = tasks_for(spark, total_bytes(df), task_bytes)
+    assert width > 4 and tasks_for(spark, 10 * total_bytes(df), task_bytes) >= 10 * width - 10
+    got = [{r.doc_id: r.kept_sha256 for r in remove(df).collect()} for remove in (remove_repeated_bytes, remove_repeated_words)]
+    assert got == want

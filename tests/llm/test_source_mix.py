@@ -75,11 +75,19 @@ def test_documents_are_cut_to_what_is_taken(docs):
 
 def test_empty_and_repeated(frame):
     assert mix_sources(frame([], DOCS)).count() == 0
-    df = frame([(1, "a b c", "en", "s", 0)] * 3 + [(None, "d", "en", None, 0)], DOCS + ", taken int".replace(", taken int", ""))
+    df = frame([(1, "a b c", "en", "s", 0, "x", 7)] * 3 + [(None, "d", "en", None, 0, "y", 8)], DOCS + ", taken string, size int")
     got = sorted((r.doc_id is None, r.size, r.source_size) for r in mix_sources(df).collect())
     assert got == [(False, 3, 9)] * 3 + [(True, 1, 1)]
 
 
+def test_a_very_long_text(frame):
+    """One text of 300,000 words beside short ones: its size counts whole, and no row passes twice its size."""
+    df = frame([(1, "word " * 300_000, "en", "s", 0), (2, "a b", "en", "s", 0), (3, "c", "en", "t", 0)], DOCS)
+    got = {r.doc_id: r for r in mix_sources(df).collect()}
+    assert got[1].size == 300_000 and all(r.taken <= 2 * r.size for r in got.values())
+    assert abs(sum(r.taken for r in got.values()) - 1.5 * 300_003) < 200
+
+
 def test_no_source_is_above_its_cap():
     """Rounding gives the capped first source no block beyond twice its own."""
     size = np.array([54179, 14323, 18935, 9127, 18610, 49851])

@@ -92,3 +92,15 @@ def test_empty(frame, spark):
     assert merged_history(spark.createDataFrame([], warc_index.RUN_SCHEMA), ranges=3).count() == 0
     one = archive_and_index(frame([(1, "u", "h", None, "d")], "page_id bigint, url string, html string, urlkey string, place string"))
     assert rows(one, "page_id", "record_type") == [(1, "response")]
+
+
+def test_ranges_grow_with_the_entries(spark, monkeypatch, tmp_path):
+    """A task merges a bounded number of entries; the order is the same."""
+    pages = spark.range(600).selectExpr("id AS page_id", "'http://a.org/' || id % 7 AS url", "repeat('x', 50) || id AS html")
+    write_archives(records(pages), str(tmp_path / "a"), 600)
+    runs = read_runs(spark, str(tmp_path / "a")).cache()
+    order = lambda df: [r.page_id for r in df.orderBy("range", "place").collect()]
+    want = order(merged_history(runs))
+    monkeypatch.setattr(warc_index, "RANGE_ENTRIES", 20)
+    many = merged_history(runs)
+    assert order(many) == want and many.select("range").distinct().count() > 20
