@@ -1,21 +1,26 @@
-"""Phrase collocations, level by level as Apriori: only phrases whose parts are frequent can be.
-
-For each number of words three passes read the texts:
-
-1. Windows whose shorter windows may all be frequent are counted by a 64-bit hash.
-2. Windows whose hash is frequent are the candidates; their words are collected once each.
-3. The candidates become double-array tries, which are broadcast; every task advances the
-   states of all its positions together and counts accepting states. Only these exact
-   counts, summed over the tasks, decide.
+"""Phrase collocations as in Apriori: only phrases whose parts are frequent can be.
+
+1. Words are counted.
+2. For each number of words from two up a pass counts, by a 64-bit hash, the windows whose
+   shorter windows are all frequent by their hashes.
+3. Windows with a frequent hash are the candidates; one pass collects them. Of all texts with a
+   hash only its owner, the one with the least checksum, sends the words, so a candidate
+   does not leave every task.
+4. The candidates become double-array tries, which are broadcast; every task advances the
+   states of all its positions together, level by level, and counts accepting states. Only
+   these exact counts, summed over the tasks, decide. A hash that counts for more than the
+   candidates found for it stands for several phrases; all texts are asked for those once more.
 
 Between passes Bloom filters of a bounded size tell what may be frequent. They let too much
 through, never too little, so a filter that runs full costs time and loses nothing. A trie
 holds a bounded number of candidates; where there are more, more tries are broadcast one
-after the other.
+after the other. Words are cut, numbered and looked up by Arrow and numpy for a whole batch
+at once; Python sees each different word of a batch once.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -23,26 +28,29 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.keys import aside, lookup
+from tallywork.functions.running import running_total
 from tallywork.llm.double_array import DoubleArray
 from tallywork.llm.text import LOWER, LOWER_BYTES, UPPER, small_pieces
 from tallywork.session import written
 
-# Between pieces; a byte that UTF-8 does not have.
-BREAK = b"\xff"
+# Between pieces and between texts; bytes that UTF-8 does not have.
+BREAK, END = b"\xff", b"\xfe"
 CUTS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes(BREAK[0] if c in CUTS else LOWER_BYTES[c] for c in range(256))
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 
 
 class Settings(NamedTuple):
     """The defaults are those of the registered query.
 
     ``held`` rows at most wait in a task before they are combined, ``trie_phrases`` and
-    ``trie_bytes`` bound one trie, ``filter_bits`` one Bloom filter.
+    ``trie_bytes`` bound one trie, ``filter_bits`` one Bloom filter. ``hash_bits`` of the windows' hashes are
+    used; fewer only mean that more phrases share one.
     """
 
     max_words: int = 3
@@ -53,18 +61,49 @@ class Settings(NamedTuple):
     held: int = 1 << 22
     trie_phrases: int = 1 << 20
     trie_bytes: int = 1 << 25
-    filter_bits: int = 1 << 27
+    filter_bits: int = 1 << 26
+    hash_bits: int = 64
+
+
+class Block(NamedTuple):
+    """Texts of one language: token i is words[codes[i]], BREAK and END included, and belongs to
+    a text with the checksum owners[i]."""
+
+    lang: str
+    words: list[bytes]
+    codes: np.ndarray
+    owners: np.ndarray
+
+    def of_words(self, values: list[int], kind: type) -> np.ndarray:
+        """For every token the value of its word."""
+        return np.array(values, kind)[self.codes]
 
 
-def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
-    """The words of the texts by language, BREAK between pieces and between texts."""
+def _encoded(raw: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The different tokens of folded text, and for each token which it is."""
+    data = np.frombuffer(raw, np.uint8)
+    apart = data >= END[0]
+    kept = (data != 32) & (data != 9)
+    inside = kept & ~apart
+    starts = apart | inside
+    starts[1:] &= apart[1:] | ~inside[:-1]
+    packed = data[kept]
+    offsets = np.append((np.cumsum(kept) - 1)[starts], len(packed)).astype(np.int32)
+    flat = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+    encoded = flat.dictionary_encode()
+    return encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), encoded.indices.to_numpy()
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in small_pieces(batches, 1, BATCH_BYTES, 1 << 14):
-        by_lang: dict[str, list[str]] = {}
+        by_lang: dict[str, list[bytes]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by_lang.setdefault(lang, []).append(text)
+            by_lang.setdefault(lang, []).append(text.encode())
         for lang, texts in by_lang.items():
-            raw = "\n".join(texts).encode().translate(FOLD)
-            yield lang, raw.replace(BREAK, b" " + BREAK + b" ").split()
+            words, codes = _encoded(b"".join(t.translate(FOLD) + END for t in texts))
+            sums = np.array([zlib.crc32(t) for t in texts], np.uint64)
+            text = np.cumsum(codes == words.index(END))
+            yield Block(lang, words, codes, sums[np.minimum(text, len(sums) - 1)])
 
 
 # Counting words ------------------------------------------------------------------------------
@@ -80,13 +119,15 @@ def count_words(docs: DataFrame, settings: Settings) -> DataFrame:
             flat = []
             for lang, counter in found.items():
                 counter.pop(BREAK, None)
+                counter.pop(END, None)
                 flat += [(lang, w.decode(), n) for w, n in counter.items()]
                 flat.append((lang, None, counter.total()))
             found.clear()
             return _batch(flat, ("lang", pa.string()), ("word", pa.string()), ("f", pa.int64()))
 
-        for lang, words in tokens(batches):
-            found.setdefault(lang, Counter()).update(words)
+        for block in blocks(batches):
+            counts = np.bincount(block.codes, minlength=len(block.words)).tolist()
+            found.setdefault(block.lang, Counter()).update(dict(zip(block.words, counts, strict=True)))
             if sum(map(len, found.values())) > settings.held // 8:
                 yield rows()
         yield rows()
@@ -114,44 +155,54 @@ def lang_seed(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode())
 
 
-def windows(hashes: np.ndarray, words: int) -> np.ndarray:
-    """A hash for every window of ``words`` words; 0 where a word's hash is 0."""
-    n = max(len(hashes) - words + 1, 0)
-    out, whole = hashes[:n].copy(), hashes[:n] != 0
-    for i in range(1, words):
-        following = hashes[i : i + n]
+def combined(columns: list[np.ndarray], bits: int = 64) -> np.ndarray:
+    """A hash, never 0, of the hashes in equal places of the columns; 0 where one of them is."""
+    out, whole = columns[0].copy(), columns[0] != 0
+    for following in columns[1:]:
         whole &= following != 0
         out = (out * STEP + following) * SPREAD
         out ^= out >> np.uint64(31)
+    out >>= np.uint64(64 - bits)
     out[out == 0] = 1
     out[~whole] = 0
     return out
 
 
+def windows(hashes: np.ndarray, words: int, bits: int = 64) -> np.ndarray:
+    """A hash for every window of ``words`` words; 0 where a word's hash is 0."""
+    n = max(len(hashes) - words + 1, 0)
+    return combined([hashes[i : i + n] for i in range(words)], bits)
+
+
+def owned(hashes: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """The hash of a window together with the text it lies in."""
+    return hashes ^ (owners << np.uint64(32)) ^ owners
+
+
 class Filter:
     """A Bloom filter with two positions for a hash."""
 
     def __init__(self, words: np.ndarray, bits: int):
         self.words, self.mask = words, np.uint64(bits - 1)
 
-    def __contains__(self, value: int) -> bool:
-        mask = int(self.mask)
-        return all(int(self.words[at >> 6]) >> (at & 63) & 1 for at in (value & mask, value >> 32 & mask))
-
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        """Whether each hash may be in; never for 0."""
-        found = hashes != 0
+        """Whether each hash may be in."""
+        found = np.ones(len(hashes), bool)
         for shift in (0, 32):
             at = (hashes >> np.uint64(shift)) & self.mask
             found &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
         return found
 
 
+CHUNK_BITS = 1 << 17
+
+
 def make_filter(hashes: DataFrame, settings: Settings) -> Filter:
     """The filter of a written column ``h``: about 16 bits for each, ``filter_bits`` at most.
 
-    Bits are set in 64-bit words by Spark; the driver receives at most filter_bits / 64 rows.
+    Tasks set the bits of a chunk each; the driver receives the filter, at most filter_bits / 8 bytes.
     """
+    hashes = hashes.select("h")
     bits, count = 1 << 16, hashes.count()
     while bits < min(16 * count, settings.filter_bits):
         bits *= 2
@@ -159,129 +210,166 @@ def make_filter(hashes: DataFrame, settings: Settings) -> Filter:
     def position(shift: int) -> Column:
         return F.shiftrightunsigned("h", shift).bitwiseAND(F.lit(bits - 1))
 
-    packed = (
-        hashes.select(F.explode(F.array(position(0), position(32))).alias("p"))
-        .select(F.shiftright("p", 6).alias("word"), F.col("p").bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    ).toArrow()
+    chunk = min(bits, CHUNK_BITS)
+
+    def pack(key: tuple, table: pa.Table) -> pa.Table:
+        flags = np.zeros(chunk, np.uint8)
+        flags[table["p"].to_numpy() % chunk] = 1
+        raw = np.packbits(flags, bitorder="little").tobytes()
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([raw], pa.binary())], names=["chunk", "raw"])
+
+    positions = hashes.select(F.explode(F.array(position(0), position(32))).alias("p"))
+    split = positions.withColumn("chunk", F.floor(F.col("p") / F.lit(chunk)).cast("bigint"))
     words = np.zeros(bits // 64, np.uint64)
-    words[packed["word"].to_numpy()] = packed["bits"].to_numpy().view(np.uint64)
+    for row in split.groupBy("chunk").applyInArrow(pack, "chunk bigint, raw binary").collect():
+        at = row["chunk"] * chunk // 64
+        words[at : at + chunk // 64] = np.frombuffer(row["raw"], np.uint64)
     return Filter(words, bits)
 
 
-def phrase_hashes(phrases: DataFrame) -> DataFrame:
-    """``h`` for rows (lang, phrase), as :func:`windows` makes them; written."""
+def phrase_hashes(phrases: DataFrame, bits: int = 64) -> DataFrame:
+    """Rows (lang, phrase, ...) with ``h``, the hash :func:`windows` gives the phrase; written.
+    All phrases have the same number of words."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds: dict[str, int] = {}
         for batch in batches:
-            found = np.zeros(batch.num_rows, np.uint64)
-            for i, (lang, phrase) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                seed, words = lang_seed(lang), phrase.encode().split(b" ")
-                found[i] = windows(np.array([word_hash(seed, w) for w in words], np.uint64), len(words))[0]
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h"])
+            rows = []
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seed = seeds.get(lang)
+                if seed is None:
+                    seed = seeds[lang] = lang_seed(lang)
+                rows.append([word_hash(seed, w) for w in phrase.encode().split(b" ")])
+            columns = np.array(rows, np.uint64).reshape(batch.num_rows, -1).T
+            found = combined(list(columns), bits) if len(columns) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, "h"])
 
-    return written(phrases.mapInArrow(hashed, "h bigint"))
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in phrases.schema)
+    return written(phrases.mapInArrow(hashed, f"{kept}, h bigint"))
 
 
 # Candidates ----------------------------------------------------------------------------------
 
 
 class Known(dict):
-    """Numbers for the words of one language, with their hashes; 0 is BREAK.
-
-    A word that is not frequent has the hash 0."""
+    """The hashes of the words of one language met so far; 0 for a word that is not frequent."""
 
     def __init__(self, lang: str, frequent: Filter):
-        super().__init__({BREAK: 0})
-        self.seed, self.frequent, self.hashes = lang_seed(lang), frequent, [0]
+        super().__init__({BREAK: 0, END: 0})
+        self.seed, self.frequent = lang_seed(lang), frequent
 
-    def __missing__(self, word: bytes) -> int:
-        value = word_hash(self.seed, word)
-        self.hashes.append(value if value in self.frequent else 0)
-        self[word] = number = len(self.hashes) - 1
-        return number
+    def of(self, words: list[bytes]) -> list[int]:
+        new = [w for w in words if w not in self]
+        if new:
+            hashes = np.array([word_hash(self.seed, w) for w in new], np.uint64)
+            hashes[~self.frequent.has(hashes)] = 0
+            self.update(zip(new, hashes.tolist(), strict=True))
+        return [self[w] for w in words]
 
 
-class Level(NamedTuple):
-    """What tells the windows of ``words`` words that may be frequent: single words and, from
-    three words on, windows of a word less."""
+class Levels(NamedTuple):
+    """What tells the windows that may be frequent: a filter of single words and, for numbers of
+    words from two up, of the hashes of windows."""
 
-    words: int
     frequent: Filter
-    shorter: Filter | None
+    shorter: dict[int, Filter]
+    bits: int
 
-    def walk(self, batches: Iterator[pa.RecordBatch], most_known: int) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
-        """(lang, words, their numbers, hashes of the windows; 0 where it cannot be frequent)."""
+    def walk(self, batches: Iterator[pa.RecordBatch], levels: list[int], most_known: int) -> Iterator[tuple[Block, list[np.ndarray]]]:
+        """Blocks and, for each of ``levels``, the hashes of the windows of so many words that
+        start at each token; 0 where a window cannot be frequent."""
         known: dict[str, Known] = {}
-        for lang, words in tokens(batches):
+        for block in blocks(batches):
             if sum(map(len, known.values())) > most_known:
                 known.clear()
-            mine = known.setdefault(lang, Known(lang, self.frequent))
-            numbers = np.fromiter(map(mine.__getitem__, words), np.int64, len(words))
-            hashes = np.array(mine.hashes, np.uint64)[numbers]
-            found = windows(hashes, self.words)
-            if self.shorter is not None:
-                safe = self.shorter.has(windows(hashes, self.words - 1))
-                found[~(safe[:-1] & safe[1:])[: len(found)]] = 0
-            yield lang, words, numbers, found
-
-
-def frequent_hashes(docs: DataFrame, level: Level, settings: Settings) -> DataFrame:
-    """``h`` of the windows counted often enough together with all that share the hash."""
-    shared = docs.sparkSession.sparkContext.broadcast(level)
+            mine = known.setdefault(block.lang, Known(block.lang, self.frequent))
+            hashes = block.of_words(mine.of(block.words), np.uint64)
+            found = []
+            for k in levels:
+                found.append(windows(hashes, k, self.bits))
+                if k - 1 in self.shorter:
+                    parts = windows(hashes, k - 1, self.bits)
+                    safe = (parts != 0) & self.shorter[k - 1].has(parts)
+                    found[-1][~(safe[:-1] & safe[1:])[: len(found[-1])]] = 0
+            yield block, found
+
+
+def frequent_hashes(docs: DataFrame, levels: Levels, words: int, settings: Settings) -> DataFrame:
+    """(h, n, key): hashes of windows of ``words`` words that count often enough together with all
+    that share the hash, how often, and the key of the hash with its owner; written."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for _, _, _, found in shared.value.walk(batches, settings.held // 8):
-            held.append(found[found != 0])
-            size += len(held[-1])
+        for block, (found,) in shared.value.walk(batches, [words], settings.held // 8):
+            at = np.flatnonzero(found)
+            held.append((found[at], block.owners[at]))
+            size += len(at)
             if size > settings.held:
                 yield _counted(held)
                 held, size = [], 0
         yield _counted(held)
 
-    counted = docs.mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
-    return written(counted.filter(F.col("n") >= settings.min_count).select("h"))
-
-
-def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
-    values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["h", "n"])
-
-
-def _first_of_each(numbers: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
-    """One of the positions ``at`` for every different sequence of ``words`` numbers there; exact."""
-    names = numbers[at]
+    # Tasks have combined what they can; Spark's own partial step comes after the shuffle.
+    dealt = docs.mapInArrow(count, "h bigint, n bigint, owner bigint").repartition("h")
+    counted = dealt.groupBy("h").agg(F.sum("n").alias("n"), F.min("owner").alias("owner"))
+    key = F.col("h").bitwiseXOR(F.shiftleft("owner", 32)).bitwiseXOR(F.col("owner"))
+    often = written(counted.filter(F.col("n") >= settings.min_count).select("h", "n", key.alias("key")))
+    shared.destroy()
+    return often
+
+
+def _counted(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    hashes = np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in held)])
+    owners = np.concatenate([np.zeros(0, np.uint64), *(o for _, o in held)])
+    order = np.argsort(hashes)
+    hashes, owners = hashes[order], owners[order]
+    starts = np.flatnonzero(np.concatenate([[len(hashes) > 0], hashes[1:] != hashes[:-1]])[: len(hashes)])
+    counts = np.diff(np.append(starts, len(hashes)))
+    least = np.minimum.reduceat(owners, starts) if len(starts) else owners
+    columns = (hashes[starts].view(np.int64), counts, least.astype(np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "n", "owner"])
+
+
+def _first_of_each(codes: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
+    """One of the positions ``at`` for every different sequence of ``words`` codes there; exact."""
+    names = codes[at].astype(np.int64)
     for i in range(1, words):
-        following = numbers[at + i]
+        following = codes[at + i]
         pairs = names * (int(following.max(initial=0)) + 1) + following
         _, first, names = np.unique(pairs, return_index=True, return_inverse=True)
     return at[first]
 
 
-def candidates(docs: DataFrame, level: Level, likely: Filter, settings: Settings) -> DataFrame:
-    """(lang, phrase, id): every window that may be frequent, once; written, so that ids stay."""
-    shared = docs.sparkSession.sparkContext.broadcast((level, likely))
+def candidates(docs: DataFrame, levels: Levels, likely: dict[int, Filter], settings: Settings, *, by_owner: bool = True) -> DataFrame:
+    """(words, lang, phrase, id): for each number of words in ``likely`` the windows whose hash,
+    together with its owner or alone, passes the filter, once; written, so that ids stay."""
+    shared, numbers = docs.sparkSession.sparkContext.broadcast((levels, likely)), sorted(likely)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, likely = shared.value
+        levels, likely = shared.value
         seen: dict[str, set[bytes]] = {}
-        for lang, words, numbers, found in level.walk(batches, settings.held // 8):
-            at = np.flatnonzero(likely.has(found))
-            if not len(at):
-                continue
+        for block, windows_ in levels.walk(batches, numbers, settings.held // 8):
             if sum(map(len, seen.values())) > settings.held // 8:
                 seen.clear()
-            phrases = {b" ".join(words[p : p + level.words]) for p in _first_of_each(numbers, at, level.words).tolist()}
-            fresh = phrases.difference(seen.setdefault(lang, set()))
-            seen[lang] |= fresh
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(fresh), pa.string()), pa.array([p.decode() for p in fresh], pa.string())], names=["lang", "phrase"]
-            )
-
-    found = docs.mapInArrow(collect, "lang string, phrase string").distinct()
-    return written(found.withColumn("id", F.monotonically_increasing_id()))
+            words, codes, old = block.words, block.codes, seen.setdefault(block.lang, set())
+            for k, found in zip(numbers, windows_, strict=True):
+                at = np.flatnonzero(found)
+                at = at[likely[k].has(owned(found[at], block.owners[at]) if by_owner else found[at])]
+                if not len(at):
+                    continue
+                first = _first_of_each(codes, at, k)
+                rows = zip(*(codes[first + i].tolist() for i in range(k)), strict=True)
+                fresh = {b" ".join([words[c] for c in row]) for row in rows} - old
+                old |= fresh
+                columns = [[k] * len(fresh), [block.lang] * len(fresh), [p.decode() for p in fresh]]
+                types = [pa.int32(), pa.string(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["words", "lang", "phrase"])
+
+    found = docs.mapInArrow(collect, "words int, lang string, phrase string").distinct()
+    collected = written(found.withColumn("id", F.monotonically_increasing_id()))
+    shared.destroy()
+    return collected
 
 
 # Counting candidates -------------------------------------------------------------------------
@@ -309,94 +397,128 @@ class Trie(NamedTuple):
         return int(states[0])
 
 
-_TRIE = "base binary, check binary, accepting binary, ids binary, width int, symbols binary"
+_TRIE = "words int, base binary, check binary, accepting binary, ids binary, width int, symbols binary"
 
 
-def _built(table: pa.Table) -> pa.Table:
-    """A group of candidates as one row: the arrays of its trie."""
-    langs, phrases = table["lang"].to_pylist(), table["phrase"].to_pylist()
-    trie = Trie.of(langs, phrases, table["id"].to_numpy())
+def _built(key: tuple, table: pa.Table) -> pa.Table:
+    """A group of candidates of one length as one row: the arrays of its trie, compressed."""
+    trie = Trie.of(table["lang"].to_pylist(), table["phrase"].to_pylist(), table["id"].to_numpy())
     a = trie.array
-    # Numbers count from 1 in order, so the names alone will do; a space is in none of them.
-    row = [a.base.tobytes(), a.check.tobytes(), a.accepting.tobytes(), a.ids.tobytes(), a.width, b" ".join(trie.symbols)]
+    # Symbols count from 1 in order, so the names alone will do; a space is in none of them.
+    pack = zstandard.ZstdCompressor(level=3).compress
+    row = [key[0].as_py(), trie.words, *(pack(x.tobytes()) for x in (a.base, a.check, a.accepting, a.ids)), a.width, pack(b" ".join(trie.symbols))]
     types = [pa.int32() if isinstance(v, int) else pa.binary() for v in row]
-    return pa.table([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=[p.split()[0] for p in _TRIE.split(", ")])
+    names = ["g", *(p.split()[0] for p in _TRIE.split(", "))]
+    return pa.table([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=names)
 
 
-class Unknown(dict):
-    """0 for any other word."""
+def _read(row: dict) -> Trie:
+    unpack = zstandard.ZstdDecompressor().decompress
+    arrays = [np.frombuffer(unpack(row[c]), np.int64 if c == "ids" else np.int32) for c in ("base", "check", "accepting", "ids")]
+    symbols = {w: i for i, w in enumerate(unpack(row["symbols"]).split(b" "), 1)}
+    return Trie(row["words"], DoubleArray(*arrays, row["width"]), symbols)
 
-    def __missing__(self, word: bytes) -> int:
-        return 0
 
+class Tally:
+    """The accepting states of one trie, counted."""
 
-def count_candidates(docs: DataFrame, found: DataFrame, words: int, settings: Settings) -> DataFrame:
-    """(lang, phrase, f): the exact number of occurrences of each candidate; written."""
-    size = found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("phrase")).alias("b")).first()
-    groups = max(1, -(-size["n"] // settings.trie_phrases), -(-(size["b"] or 0) // settings.trie_bytes))
-    group = F.pmod(F.xxhash64("lang", "phrase"), F.lit(groups)).cast("int")
-    tries = written(found.withColumn("g", group).groupBy("g").applyInArrow(_built_group, f"g int, {_TRIE}"))
-    spark, counts = docs.sparkSession, None
-    for g in range(groups):
-        # One row of bounded size.
-        row = tries.filter(F.col("g") == g).first()
-        if row is None:
-            continue
-        shared = spark.sparkContext.broadcast(row.asDict())
-        part = written(docs.mapInArrow(_counter(shared, words, settings), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("f")))
-        shared.unpersist()
-        counts = part if counts is None else counts.unionByName(part)
-    if counts is None:
-        return found.select("lang", "phrase", F.lit(0).cast("bigint").alias("f"))
-    often = counts.filter(F.col("f") >= settings.min_count)
-    return written(found.join(often, "id").select("lang", "phrase", "f"))
+    def __init__(self, trie: Trie, most_held: int):
+        self.trie, self.most = trie, most_held
+        self.total, self.held, self.size = np.zeros(len(trie.array.base), np.int64), [], 0
+        self.starts: dict[str, int | None] = {}
+
+    def add(self, block: Block) -> None:
+        if block.lang not in self.starts:
+            self.starts[block.lang] = self.trie.start(block.lang)
+        start, known = self.starts[block.lang], self.trie.symbols
+        if start is None:
+            return
+        numbers = block.of_words([known.get(w, 0) for w in block.words], np.int64)
+        self.held.append(self.trie.array.matches(start, numbers, self.trie.words))
+        self.size += len(self.held[-1])
+        if self.size > self.most:
+            self.settle()
+
+    def settle(self) -> None:
+        self.total += np.bincount(np.concatenate([np.zeros(0, np.int32), *self.held]), minlength=len(self.total))
+        self.held, self.size = [], 0
 
+    def rows(self) -> pa.RecordBatch:
+        self.settle()
+        states = np.flatnonzero(self.total)
+        return pa.RecordBatch.from_arrays([pa.array(self.trie.array.ids_of(states)), pa.array(self.total[states])], names=["id", "n"])
 
-def _built_group(key: tuple, table: pa.Table) -> pa.Table:
-    return _built(table).add_column(0, "g", pa.array([key[0].as_py()], pa.int32()))
 
+def count_candidates(docs: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
+    """(words, lang, phrase, f): the exact number of occurrences of each candidate that has any; written.
 
-def _counter(shared, words: int, settings: Settings):
+    Each number of words has as many tries as its candidates need; a pass over the texts
+    takes one trie of each.
+    """
+    size = found.groupBy("words").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("phrase")).alias("b")).collect()
+    groups = {r["words"]: max(-(-r["n"] // settings.trie_phrases), -(-r["b"] // settings.trie_bytes)) for r in size}
+    if not groups:
+        return found.select("words", "lang", "phrase", F.lit(0).cast("bigint").alias("f"))
+    parts = F.create_map(*[F.lit(x).cast("bigint") for pair in groups.items() for x in pair])[F.col("words").cast("bigint")]
+    group = F.pmod(F.xxhash64("lang", "phrase"), parts).cast("int")
+    tries = written(found.withColumn("g", group).groupBy("g", "words").applyInArrow(_built, f"g int, {_TRIE}"))
+    spark, counts = docs.sparkSession, None
+    for g in range(max(groups.values())):
+        # One trie of bounded size for each number of words.
+        shared = spark.sparkContext.broadcast([r.asDict() for r in tries.filter(F.col("g") == g).collect()])
+        part = written(docs.mapInArrow(_counter(shared, settings), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("f")))
+        shared.destroy()
+        counts = part if counts is None else counts.unionByName(part)
+    return written(found.join(counts, "id").select("words", "lang", "phrase", "f"))
+
+
+def _counter(shared, settings: Settings):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = shared.value
-        arrays = [np.frombuffer(row[c], np.int64 if c == "ids" else np.int32) for c in ("base", "check", "accepting", "ids")]
-        symbols = Unknown({w: i for i, w in enumerate(bytes(row["symbols"]).split(b" "), 1)})
-        trie = Trie(words, DoubleArray(*arrays, row["width"]), symbols)
-        total, held, size = np.zeros(len(trie.array.base), np.int64), [], 0
-        starts: dict[str, int | None] = {}
-        for lang, read in tokens(batches):
-            if lang not in starts:
-                starts[lang] = trie.start(lang)
-            if starts[lang] is None:
-                continue
-            numbers = np.fromiter(map(symbols.__getitem__, read), np.int64, len(read))
-            held.append(trie.array.matches(starts[lang], numbers, words))
-            size += len(held[-1])
-            if size > settings.held:
-                total += np.bincount(np.concatenate(held), minlength=len(total))
-                held, size = [], 0
-        total += np.bincount(np.concatenate([np.zeros(0, np.int32), *held]), minlength=len(total))
-        states = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(trie.array.ids_of(states)), pa.array(total[states])], names=["id", "n"])
+        tallies = [Tally(_read(row), settings.held) for row in shared.value]
+        for block in blocks(batches):
+            for tally in tallies:
+                tally.add(block)
+        for tally in tallies:
+            yield tally.rows()
 
     return count
 
 
-def frequent_phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text", settings: Settings = Settings()) -> tuple[DataFrame, list[DataFrame]]:
-    """The frequent words with the totals (:func:`count_words`), and for each number of words
-    from two up the frequent phrases (lang, phrase, f)."""
+def missed(counted: DataFrame, likely: DataFrame, words: int, bits: int) -> DataFrame:
+    """(h): frequent hashes whose count the candidates with that hash do not make up, because
+    a phrase that shares it lies in none of its owner's texts; written."""
+    mine = counted.filter(F.col("words") == words).select("lang", "phrase", "f")
+    made = phrase_hashes(mine, bits).groupBy("h").agg(F.sum("f").alias("f"))
+    return written(lookup(likely.select("h", "n"), *aside(made, ["h"])).filter(~F.col("f").eqNullSafe(F.col("n"))).select("h"))
+
+
+def frequent_windows(docs: DataFrame, frequent: Filter, settings: Settings) -> DataFrame:
+    """(words, lang, phrase, f): the phrases of two and more words that occur ``min_count`` times."""
+    levels, likely = Levels(frequent, {}, settings.hash_bits), {}
+    for k in range(2, settings.max_words + 1):
+        likely[k] = frequent_hashes(docs, levels, k, settings)
+        levels.shorter[k] = make_filter(likely[k], settings)
+    owners = {k: make_filter(df.select(F.col("key").alias("h")), settings) for k, df in likely.items()}
+    found = candidates(docs, levels, owners, settings)
+    counted = count_candidates(docs, found, settings)
+    rest = {k: missed(counted, df, k, settings.hash_bits) for k, df in likely.items()}
+    again = {k: make_filter(df, settings) for k, df in rest.items() if not df.isEmpty()}
+    if again:
+        more = candidates(docs, levels, again, settings, by_owner=False)
+        new = written(lookup(more, *aside(found.select("lang", "phrase"), ["lang", "phrase"]), "left_anti"))
+        counted = counted.unionByName(count_candidates(docs, new, settings))
+    return counted.filter(F.col("f") >= settings.min_count)
+
+
+def frequent_phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text", settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
+    """The frequent words with the totals (:func:`count_words`), and the frequent phrases of two and
+    more words (words, lang, phrase, f)."""
     folded = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )
     words = count_words(folded, settings)
     names = words.dropna().select("lang", F.col("word").alias("phrase"))
-    frequent, shorter, levels = make_filter(phrase_hashes(names), settings), None, []
-    for k in range(2, settings.max_words + 1):
-        level = Level(k, frequent, shorter)
-        likely = make_filter(frequent_hashes(folded, level, settings), settings)
-        levels.append(count_candidates(folded, candidates(folded, level, likely, settings), k, settings))
-        shorter = make_filter(phrase_hashes(levels[-1].select("lang", "phrase")), settings)
-    return words, levels
+    return words, frequent_windows(folded, make_filter(phrase_hashes(names), settings), settings)
 
 
 # Scores --------------------------------------------------------------------------------------
@@ -406,14 +528,11 @@ def _words(phrase: Column) -> Column:
     return F.split(phrase, " ")
 
 
-def _scored(words: DataFrame, levels: list[DataFrame], settings: Settings) -> DataFrame:
+def _scored(words: DataFrame, phrases: DataFrame, settings: Settings) -> DataFrame:
     """(lang, phrase, a, l, r, score) of the lowest cut of every phrase."""
     parts = words.dropna().select("lang", F.col("word").alias("part"), "f")
-    for level in levels[:-1]:
-        parts = parts.unionByName(level.select("lang", F.col("phrase").alias("part"), "f"))
-    phrases = levels[0]
-    for level in levels[1:]:
-        phrases = phrases.unionByName(level)
+    shorter = phrases.filter(F.col("words") < settings.max_words)
+    parts = parts.unionByName(shorter.select("lang", F.col("phrase").alias("part"), "f"))
     cut = (
         phrases.select("lang", "phrase", F.col("f").alias("a"), _words(F.col("phrase")).alias("w"))
         .select("*", F.explode(F.expr("sequence(1, size(w) - 1)")).alias("k"))
@@ -435,32 +554,21 @@ def _scored(words: DataFrame, levels: list[DataFrame], settings: Settings) -> Da
     return lowest.withColumn("score", F.expr(f"(key - 1) div {settings.max_words}")).drop("key")
 
 
-def _uncovered(scored: DataFrame, levels: list[DataFrame], settings: Settings) -> DataFrame:
+def _uncovered(scored: DataFrame, phrases: DataFrame, settings: Settings) -> DataFrame:
     """Without phrases that a longer one holds often enough."""
-    longest = None
-    for k, level in enumerate(levels[1:], 3):
-        for inner in range(2, k):
-            for at in range(1, k - inner + 2):
-                sub = F.array_join(F.slice(_words(F.col("phrase")), at, inner), " ")
-                part = level.select("lang", sub.alias("phrase"), "f")
-                longest = part if longest is None else longest.unionByName(part)
-    if longest is None:
-        return scored
-    most = longest.groupBy("lang", "phrase").agg(F.max("f").alias("most"))
+    longer = phrases.filter(F.col("words") > 2).withColumn("w", _words(F.col("phrase")))
+    inner = longer.select("*", F.explode(F.expr("sequence(2, words - 1)")).alias("k"))
+    placed = inner.select("*", F.explode(F.expr("sequence(1, words - k + 1)")).alias("at"))
+    subs = placed.select("lang", F.expr("array_join(slice(w, at, k), ' ')").alias("phrase"), "f")
+    most = subs.groupBy("lang", "phrase").agg(F.max("f").alias("most"))
     covered = 100 * F.coalesce(F.col("most"), F.lit(0)) >= settings.covered_percent * F.col("a")
     return lookup(scored, *aside(most, ["lang", "phrase"])).filter(~covered).drop("most")
 
 
 def _ranked(scored: DataFrame, top: int) -> DataFrame:
-    """The first ``top`` of each language, numbered. Ranks are taken in parts of a language
-    first, so no task orders all phrases of one."""
+    """The first ``top`` of each language, numbered in slices, so no task orders all phrases of one."""
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    parts = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
-    inside = Window.partitionBy("lang", "part").orderBy(*order)
-    best = scored.withColumn("part", part).withColumn("rank", F.row_number().over(inside)).filter(F.col("rank") <= top)
-    whole = Window.partitionBy("lang").orderBy(*order)
-    ranked = best.drop("part").withColumn("rank", F.row_number().over(whole).cast("bigint"))
+    ranked = running_total(scored, F.lit(1).cast("bigint"), "rank", order_by=order, partition_by=["lang"])
     return ranked.filter(F.col("rank") <= top)
 
 
@@ -476,8 +584,8 @@ def mine_phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text", set
     then by phrase. Null and empty texts count nothing; repeated rows count each time; an
     empty table gives no rows; other columns are not read. Starts jobs when the plan is built.
     """
-    words, levels = frequent_phrases(docs, lang=lang, text=text, settings=settings)
-    scored = _uncovered(_scored(words, levels, settings), levels, settings)
+    words, phrases = frequent_phrases(docs, lang=lang, text=text, settings=settings)
+    scored = _uncovered(_scored(words, phrases, settings), phrases, settings)
     totals = words.filter(F.col("word").isNull()).select("lang", F.col("f").alias("n"))
     ranked = lookup(_ranked(scored, settings.top), *aside(totals, ["lang"]), "inner")
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tallywork.llm.double_array import DoubleArray
-from tallywork.llm.phrase_mining import Filter, Settings, Trie, frequent_phrases, make_filter, mine_phrases, windows
+from tallywork.llm.phrase_mining import BREAK, END, FOLD, Filter, Settings, Trie, _encoded, frequent_phrases, make_filter, mine_phrases, windows
 from tallywork.session import written
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -71,12 +71,25 @@ def test_equals_plain(spark, settings):
 
 def test_only_frequent_phrases_come_out_of_the_levels(spark):
     df = spark.createDataFrame([("p q r " * 12 + "z",), ("p q",), ("solo duo",)], "text string").selectExpr("text", "'en' AS lang")
-    words, levels = frequent_phrases(df)
+    words, phrases = frequent_phrases(df)
     assert {(r.word, r.f) for r in words.collect()} == {("p", 13), ("q", 13), ("r", 12), (None, 41)}
-    assert [{(r.phrase, r.f) for r in level.collect()} for level in levels] == [
-        {("p q", 13), ("q r", 12), ("r p", 11)},
-        {("p q r", 12), ("q r p", 11), ("r p q", 11)},
-    ]
+    assert {(r.words, r.phrase, r.f) for r in phrases.collect()} == {
+        (2, "p q", 13), (2, "q r", 12), (2, "r p", 11), (3, "p q r", 12), (3, "q r p", 11), (3, "r p q", 11)
+    }
+
+
+def test_tokens():
+    words, codes = _encoded("The  a\t\xe9a. b,,\x1c\nTHE".encode().translate(FOLD) + END + END)
+    assert [words[c] for c in codes] == [b"the", b"a", "\xe9a".encode(), BREAK, b"b", BREAK, BREAK, b"\x1c", BREAK, b"the", END, END]
+
+
+@pytest.mark.parametrize("settings", SETS[1:])
+def test_phrases_that_share_a_hash_are_all_found(spark, settings):
+    """With hashes of a few bits nearly every hash stands for several phrases."""
+    data = texts(9, 80)
+    df = spark.createDataFrame([(i, t, l, "x", 1, 2) for i, (t, l) in enumerate(data)], SCHEMA).repartition(5)
+    got = sorted(tuple(r) for r in mine_phrases(df, settings=settings._replace(hash_bits=6)).collect())
+    assert got == plain(data, settings) and got
 
 
 def test_large_counts_are_exact(spark):
@@ -84,8 +97,8 @@ def test_large_counts_are_exact(spark):
     from tallywork.llm import phrase_mining as pm
 
     words = spark.createDataFrame([("en", None, 10**13), ("en", "a", 3 * 10**12), ("en", "b", 2 * 10**12 + 1)], "lang string, word string, f bigint")
-    pairs = spark.createDataFrame([("en", "a b", 10**12 + 7)], "lang string, phrase string, f bigint")
-    r = pm._scored(words, [pairs], Settings()).first()
+    pairs = spark.createDataFrame([(2, "en", "a b", 10**12 + 7)], "words int, lang string, phrase string, f bigint")
+    r = pm._scored(words, pairs, Settings()).first()
     assert r.score == 10**6 * (10**12 + 7) ** 2 // (3 * 10**12 * (2 * 10**12 + 1)) and (r.l, r.r) == (3 * 10**12, 2 * 10**12 + 1)
 
 
@@ -118,10 +131,9 @@ def test_trie_knows_its_languages():
 def test_filter(spark):
     hashes = np.unique(np.random.default_rng(1).integers(1, 1 << 63, 3000).astype(np.uint64) * np.uint64(2) + np.uint64(1))
     made = make_filter(written(spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "h bigint")), Settings())
-    assert isinstance(made, Filter) and made.has(hashes).all() and all(int(h) in made for h in hashes[:50])
+    assert isinstance(made, Filter) and made.has(hashes).all()
     others = np.random.default_rng(2).integers(1, 1 << 63, 3000).astype(np.uint64) * np.uint64(2)
-    assert made.has(others).mean() < 0.05 and not made.has(np.zeros(3, np.uint64)).any()
-    assert [int(x) in made for x in others[:200]] == made.has(others[:200]).tolist()
+    assert made.has(others).mean() < 0.05
 
 
 def test_windows():
