@@ -8,14 +8,14 @@ compact rows, and one of the texts:
    spans repeat whole, which settles nearly everything inside copies and long passages.
 2. Spans with the same anchor but different symbols may still share some of their windows
    (at the edges of a passage, or by chance). Only these go on: a text that has some is
-   read again, and their windows are compared one by one, as text sorted by suffix or as
-   a pair of hashes.
+   read again, and the spans of an anchor are compared: bytes as text sorted by suffix, words
+   by extending the anchor both ways (:mod:`seed_matches`).
 3. The ranges found are joined to the texts.
 
 No key can pile up. Copies inside a chunk of a task are merged before the shuffle. An
 anchor that has many different spans in one chunk is hot: all its spans are settled window
-by window, each window going its own way by its hash, and only one row a chunk tells the
-other chunks so.
+by window, each window going its own way by a pair of hashes, and only one row a chunk tells
+the other chunks so. So is one of words with more than ``SEED_PLACES`` different spans in all.
 """
 
 from __future__ import annotations
@@ -29,20 +29,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.llm.anchors import BASES, BYTE_VALUES, hashed, mixed, pieces, prefix, spans, word_hashes
+from tallywork.llm.seed_matches import extended
 from tallywork.llm.text import small_pieces, tasks_for, text_bytes, total_bytes
 from tallywork.session import written
 
-REMOVED, AS_TEXT, AS_HASHES = 0, 1, 2
+REMOVED, AS_TEXT, AS_HASHES, AS_SEEDS = 0, 1, 2, 3
 # Text whose spans and windows one task of a shuffle holds. A span has about 30 bytes of numbers
 # and stands for some 40 symbols, so that is less than the text.
 TASK_BYTES = 64 << 20
+# Different spans of words around one anchor that are extended in one task.
+SEED_PLACES = 1 << 12
+# Spans whose words are sent as one batch: some 25 MB.
+_SENT = 50_000
 MANY = 1 << 8
 HOT = 1 << 9
 
 
 class Rule(NamedTuple):
     """``keep_first``: the earliest occurrence of a window (by id, then position) is no
-    repeat; otherwise every window that occurs twice is one. A task sends its spans in
+    repeat; otherwise every window that occurs twice is one. ``suffix_sort``: differing spans are
+    sorted by suffix, otherwise their anchor is extended. A task sends its spans in
     chunks of ``chunk_spans``; an anchor with more than ``hot_spans`` different spans in one
     is hot. These two only decide how the work is spread."""
 
@@ -250,8 +256,13 @@ def _found_rows(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         heads_key = key[cold][heads]
         turn = np.flatnonzero(np.concatenate([[True], heads_key[1:] != heads_key[:-1]])) if len(heads) else heads
         size = np.diff(np.concatenate([turn, [len(heads)]]))
-        several = np.repeat(size > 1, size)
-        yield out(cold[heads[several]], AS_TEXT if rule.suffix_sort else AS_HASHES, np.minimum(total, 2)[several])
+        size, total = np.repeat(size, size), np.minimum(total, 2)
+        if rule.suffix_sort:
+            yield out(cold[heads[size > 1]], AS_TEXT, total[size > 1])
+            return
+        few = (size > 1) & (size <= SEED_PLACES)
+        yield out(cold[heads[few]], AS_SEEDS, total[few])
+        yield out(cold[heads[size > SEED_PLACES]], AS_HASHES, total[size > SEED_PLACES])
 
     return rows
 
@@ -300,20 +311,53 @@ def _window_rows(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             _WINDOW_ARROW,
         )
 
+    def as_seeds(batch: pa.RecordBatch, field: dict[str, np.ndarray], row: np.ndarray) -> Iterator[pa.RecordBatch]:
+        symbols, ends = _symbols(batch.column(1), rule.words)
+        n = len(symbols)
+        sums = prefix(symbols, BASES[0])
+        grams = mixed(hashed(sums, slice(0, n - rule.k + 1), slice(rule.k, n + 1), BASES[0])).view(np.int64)
+        base = np.concatenate([[0], ends])[:-1]
+        for low in range(0, len(row), _SENT):
+            part = {name: v[low : low + _SENT] for name, v in field.items()}
+            some = row[low : low + _SENT]
+            size = part["b"].astype(np.int64) - part["a"]
+            start = base[some] + part["a"]
+            # The anchor is the first of its hash in a span.
+            count = size - rule.k + 1
+            is_anchor = grams[_ranges(start, count)] == np.repeat(part["key"], count)
+            owner = np.repeat(np.arange(len(some)), count)[is_anchor]
+            offset = _ranges(np.zeros(len(some), np.int64), count)[is_anchor][np.unique(owner, return_index=True)[1]]
+            cuts = np.concatenate([[0], 8 * np.cumsum(size)]).astype(np.int32)
+            words = symbols[_ranges(start, size)]
+            yield _batch(
+                {"key": part["key"], "check": offset, "id": batch.column(0).to_numpy()[some], "at": part["a"],
+                 "kind": np.full(len(some), AS_SEEDS), "weight": part["weight"],
+                 "text": pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(cuts), pa.py_buffer(words)])},
+                _WINDOW_ARROW,
+            )
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_pieces(batches, 1):
             lists = batch.column("found")
             row = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
             items = lists.flatten()
             field = {n: items.field(n).to_numpy(zero_copy_only=False) for n in ("a", "b", "kind", "weight", "key")}
-            for kind, make in ((AS_TEXT, as_text), (AS_HASHES, as_hashes)):
+            for kind, make in ((AS_TEXT, as_text), (AS_HASHES, as_hashes), (AS_SEEDS, as_seeds)):
                 picked = field["kind"] == kind
                 if picked.any():
-                    yield make(batch, {n: v[picked] for n, v in field.items()}, row[picked])
+                    made = make(batch, {n: v[picked] for n, v in field.items()}, row[picked])
+                    yield from [made] if isinstance(made, pa.RecordBatch) else made
 
     return rows
 
 
+def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit numbers of a column of bytes, end to end, and the byte offsets of its rows."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.uint64), offsets
+
+
 _RANGE_ARROW = pa.schema([("id", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
 
@@ -342,7 +386,7 @@ def suffix_repeats(texts: list[bytes], ids: np.ndarray, at: np.ndarray, length:
 
 def _range_rows(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, phrases, found = [], [], []
+        hashes, phrases, seeds, found = [], [], [], []
         for batch in batches:
             kind = batch.column("kind").to_numpy()
             numbers = [batch.column(n).to_numpy() for n in ("key", "check", "id", "at", "weight")]
@@ -352,6 +396,9 @@ def _range_rows(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             if (kind == AS_TEXT).any():
                 text = batch.column("text").filter(pa.array(kind == AS_TEXT)).to_pylist()
                 phrases.append((text, numbers[0][kind == AS_TEXT], numbers[2][kind == AS_TEXT], numbers[3][kind == AS_TEXT]))
+            if (kind == AS_SEEDS).any():
+                data, offsets = _binary(batch.column("text").filter(pa.array(kind == AS_SEEDS)))
+                seeds.append((data, np.diff(offsets) // 8, *(x[kind == AS_SEEDS] for x in numbers)))
         if hashes:
             key, check, ids, at, weight = (np.concatenate(x) for x in zip(*hashes, strict=True))
             order, group = _groups(key, check, ids, at)
@@ -373,6 +420,15 @@ def _range_rows(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             ids, at = (np.concatenate(x) for x in zip(*found, strict=True))
             ids, a, b = _joined(ids, at.astype(np.int64), at.astype(np.int64) + rule.length)
             yield _batch({"id": ids, "a": a, "b": b}, _RANGE_ARROW)
+        if seeds:
+            words, size, key, offset, ids, at, weight = (np.concatenate(x) for x in zip(*seeds, strict=True))
+            seeds.clear()
+            place, left, right = extended(key, words, np.cumsum(size) - size, size, offset, rule.k, rule.length)
+            # Of a place that stands for several equal ones the repeats are known.
+            place, left, right = (x[weight[place] == 1] for x in (place, left, right))
+            anchor = at[place].astype(np.int64) + offset[place]
+            ids, a, b = _joined(ids[place], anchor - left, anchor + right)
+            yield _batch({"id": ids, "a": a, "b": b}, _RANGE_ARROW)
 
     return rows
 

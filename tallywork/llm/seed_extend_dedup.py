@@ -1,11 +1,16 @@
-"""Substring deduplication of words: seeds, then all windows around them.
+"""Substring deduplication of words by seed and extend.
 
 Seeds are winnowed anchors: the smallest hash of 12 consecutive words in every window of 35.
-Documents join on their seeds. No match is extended word by word: of all runs of 35 words
-around a seed the whole span is compared first, by its hash, and only where spans differ
-each of its windows, by hash as well. Any run of 35 words has a seed, so none is missed.
-Windows found twice or more add up to the maximal repeats of 35 words and longer, and
-every word in one goes, in all its places.
+Documents join on their seeds. A seed match is extended to the left and to the right, as far
+as the words agree, up to the edges of the windows that have this seed: first at once, by
+the hash of all these words, and where that differs word by word (:mod:`seed_matches`).
+Extensions of 35 words and more stay. Any run of 35 words has a seed, so none is missed, and an
+extension that reaches an edge meets the one of the next seed there: together they are the
+maximal repeats of 35 words and longer, and every word in one goes, in all its places.
+
+The exception is a frequent seed (more than ``repeats.Rule.hot_spans`` different surroundings in one
+chunk of a task or ``repeats.SEED_PLACES`` in all): its places would pile up in one task, so its
+seeds are made as long as the window, 35 words, and these meet by hash with nothing left to extend.
 """
 
 from __future__ import annotations
@@ -42,7 +47,8 @@ def remove_repeated_words(
     space), ``repeats`` (the maximal repeats as first and last word) and, if asked for,
     ``kept``. A null text has no words. Rows that repeat an id or have none are places of
     their own, so equal rows lose what they share, and each row loses only its own
-    repeats. Other columns are not read. Equality is judged by two 64-bit hashes. Building the plan runs the join on seeds.
+    repeats. Other columns are not read. Equality of whole windows is judged by two 64-bit hashes, of
+    words in an extension by one each. Building the plan runs the join on seeds.
     """
     texts = with_row_keys(
         docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
