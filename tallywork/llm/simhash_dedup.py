@@ -8,19 +8,25 @@ Two fingerprints within 2 bits agree on at least two of their four 16-bit blocks
 each fingerprint is dealt to the six shards named by a pair of its blocks and meets all
 its neighbours there. A shard's fingerprints form a BK-tree: a child hangs at the integer
 Hamming distance to its parent, and a search follows only the edges whose distance lies
-within the radius of its own. A shard too large for one task is split; each part's tree
-is searched by the members of the other parts as well.
+within the radius of its own. Trees are built and searched where their shard is, not broadcast:
+all of them together grow with the corpus.
+
+A shard with more members than a tree may have is dealt again in the same way, by pairs of the
+four 8-bit blocks of the 32 bits its members need not share, and then by 4-bit blocks of the
+16 bits left. After that the members share 56 bits, so there are 256 at most. A fingerprint
+has at most 6, 36 or 216 rows, however many lie in its shard.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.keys import lookup
@@ -28,7 +34,10 @@ from tallywork.llm.cut import cut
 from tallywork.llm.text import LOWER_BYTES, dealt, slices, tasks_for
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
-BLOCKS, BLOCK_BITS = 4, 16
+BLOCKS = 4
+# Bits of a block of all 64 bits, and of the 32 and 16 that members of a shard need not share.
+BLOCK_BITS = (16, 8, 4)
+PAIRS = tuple(combinations(range(BLOCKS), 2))
 TREE_SIZE = 2048
 # Rows (a fingerprint in one of its shards) a task holds.
 TASK_ROWS = 500_000
@@ -95,9 +104,9 @@ class BKTree:
         return found
 
 
-def shard_links(members: list[int], guests: list[int], radius: int) -> list[tuple[int, int]]:
-    """Links found by searching the tree of ``members`` for members and guests, reduced to
-    one row per fingerprint: itself and the smallest one it is connected with here."""
+def shard_links(members: list[int], radius: int) -> list[tuple[int, int]]:
+    """Links found by searching the tree of ``members`` for each of them, reduced to one row
+    per fingerprint: itself and the smallest one it is connected with here."""
     tree, parent = BKTree(), {}
     for value in members:
         tree.add(value)
@@ -108,7 +117,7 @@ def shard_links(members: list[int], guests: list[int], radius: int) -> list[tupl
             x = parent[x]
         return x
 
-    for value in [*members, *guests]:
+    for value in members:
         for node in tree.within(value, radius):
             a, b = root(value), root(tree.values[node])
             if a != b:
@@ -118,56 +127,77 @@ def shard_links(members: list[int], guests: list[int], radius: int) -> list[tupl
 
 def _links(radius: int):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Shuffled rows (shard, part, fp, guest) of a whole partition to links (a, b)."""
+        """Shuffled rows (choice, bits, fp) of a whole partition to links (a, b)."""
         held = [np.stack([c.to_numpy() for c in b.columns]) for b in batches if b.num_rows]
         if not held:
             return
-        shard, part, fp, guest = np.concatenate(held, axis=1)
-        order = np.lexsort((fp, guest, part, shard))
-        shard, part, fp, guest = shard[order], part[order], fp[order], guest[order]
-        change = np.flatnonzero((np.diff(shard) != 0) | (np.diff(part) != 0)) + 1
+        choice, bits, fp = np.concatenate(held, axis=1)
+        order = np.lexsort((fp, bits, choice))
+        choice, bits, fp = choice[order], bits[order], fp[order]
+        change = np.flatnonzero((np.diff(choice) != 0) | (np.diff(bits) != 0)) + 1
         starts = np.concatenate([[0], change])
-        ends = np.concatenate([change, [len(shard)]])
+        ends = np.concatenate([change, [len(fp)]])
         out: list[tuple[int, int]] = []
         for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
-            values = fp[a:b].view(np.uint64)
-            local = values[guest[a:b] == 0].tolist()
-            out += shard_links(local, values[guest[a:b] == 1].tolist(), radius)
+            out += shard_links(fp[a:b].view(np.uint64).tolist(), radius)
         pairs = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     return links
 
 
+def _dealt_by_pairs(rows: DataFrame, width: int) -> DataFrame:
+    """Six rows for each of ``rows`` (fp, choice, bits, rest): a shard is which blocks were
+    chosen so far and what they hold; ``rest`` is the bits of no chosen block."""
+
+    def block(i: int) -> Column:
+        return F.shiftrightunsigned("rest", width * i).bitwiseAND(F.lit((1 << width) - 1))
+
+    def joined(*parts: Column) -> Column:
+        return reduce(lambda high, low: F.shiftleft(high, width).bitwiseOR(low), parts)
+
+    shards = []
+    for n, (i, j) in enumerate(PAIRS):
+        p, q = (x for x in range(BLOCKS) if x not in (i, j))
+        choice = F.col("choice") * len(PAIRS) + (len(PAIRS) + n)
+        bits = joined(F.col("bits"), block(i), block(j))
+        shards.append(F.struct(choice.alias("choice"), bits.alias("bits"), joined(block(p), block(q)).alias("rest")))
+    return rows.select("fp", F.explode(F.array(*shards)).alias("_shard")).select("fp", "_shard.*")
+
+
+def shards(distinct: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (choice, bits, fp): each fingerprint in each of its shards; and how many rows.
+
+    Fingerprints at most two bits apart have a shard in common. Runs a job that looks for
+    shards larger than ``TREE_SIZE``, and more where it finds some.
+    """
+    none = F.lit(-1).cast("bigint").alias("choice"), F.lit(0).cast("bigint").alias("bits")
+    rows = distinct.select("fp", *none, F.col("fp").alias("rest"))
+    count, settled = distinct.count() * len(PAIRS), []
+    for width in BLOCK_BITS:
+        rows = _dealt_by_pairs(rows, width)
+        if width == BLOCK_BITS[-1]:
+            break
+        sizes = rows.groupBy(F.col("choice").alias("_choice"), F.col("bits").alias("_bits")).agg(F.count(F.lit(1)).alias("_n"))
+        large = cut(sizes.filter(F.col("_n") > TREE_SIZE))
+        crowded = large.agg(F.sum("_n")).first()[0]
+        if not crowded:
+            break
+        count += crowded * (len(PAIRS) - 1)
+        sized = lookup(rows, large, {"choice": "_choice", "bits": "_bits"})
+        settled.append(sized.filter("_n is null").drop("_n"))
+        rows = cut(sized.filter("_n is not null").drop("_n"))
+    return reduce(DataFrame.unionByName, [*settled, rows]).select("choice", "bits", "fp"), count
+
+
 def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) that connect exactly the
     fingerprints at most ``radius`` (0 to 2) apart; not every pair gets a row."""
     if not 0 <= radius <= BLOCKS - 2:
         raise ValueError(f"two of {BLOCKS} blocks agree only up to a radius of {BLOCKS - 2}")
-
-    def block(i: int):
-        return F.shiftrightunsigned("fp", BLOCK_BITS * i).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-
-    shards = [
-        F.lit(n << 2 * BLOCK_BITS) + F.shiftleft(block(i), BLOCK_BITS) + block(j)
-        for n, (i, j) in enumerate(combinations(range(BLOCKS), 2))
-    ]
-    rows = distinct.select("fp", F.explode(F.array(*shards)).alias("shard"))
-    large = (
-        rows.groupBy(F.col("shard").alias("_shard"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > TREE_SIZE)
-        .select("_shard", F.ceil(F.col("_n") / F.lit(TREE_SIZE)).cast("bigint").alias("_parts"))
-    )
-    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
-    placed = lookup(rows, large, {"shard": "_shard"}).select(
-        "shard", "fp", parts.alias("parts"), F.pmod(F.xxhash64("fp"), parts).alias("own")
-    )
-    sent = placed.select(
-        "shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "fp", "own"
-    ).select("shard", "part", "fp", (F.col("part") != F.col("own")).cast("bigint").alias("guest"))
-    width = tasks_for(distinct.sparkSession, distinct.count() * len(shards), TASK_ROWS)
-    return dealt(sent, width, "shard", "part").mapInArrow(_links(radius), "a bigint, b bigint")
+    rows, count = shards(distinct)
+    width = tasks_for(distinct.sparkSession, count, TASK_ROWS)
+    return dealt(rows, width, "choice", "bits").mapInArrow(_links(radius), "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -223,7 +253,7 @@ def near_duplicates(
     fingerprints and the component steps.
     """
     prints = cut(fingerprints(docs, id=id, text=text, shingle=shingle))
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("first"))
+    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("first")))
     roots = components(near_links(distinct.select("fp"), radius))
     rooted = lookup(distinct, roots, {"fp": "node"}).withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("component_id"))

@@ -54,7 +54,7 @@ def test_tree_finds_all_within(values, radius, query):
     assert found == {v for v in values if (v ^ query).bit_count() <= radius}
 
 
-@pytest.mark.parametrize("tree_size", [2048, 16])
+@pytest.mark.parametrize("tree_size", [2048, 16, 1])
 def test_links_connect_all_neighbours(spark, tree_size, monkeypatch):
     """Chains, a dense cluster and noise; with small trees the cluster's shards are split."""
     monkeypatch.setattr(simhash_dedup, "TREE_SIZE", tree_size)
@@ -75,6 +75,30 @@ def test_links_connect_all_neighbours(spark, tree_size, monkeypatch):
     assert got == want
 
 
+def test_a_crowded_shard_is_dealt_in_proportion(spark, monkeypatch):
+    """All fingerprints share 32 bits, some of them 48: rows grow with their number, trees stay
+    small, and all neighbours still meet."""
+    monkeypatch.setattr(simhash_dedup, "TREE_SIZE", 100)
+    rng = random.Random(8)
+
+    def rows_of(n):
+        values = [rng.getrandbits(32) for _ in range(n)] + [rng.getrandbits(16) for _ in range(n // 4)]
+        values += [v ^ 1 << rng.randrange(32) ^ 1 << rng.randrange(32) for v in values[: n // 10]]
+        values = sorted(set(values))
+        df = spark.createDataFrame([(v,) for v in values], "fp bigint").repartition(4)
+        dealt_rows, count = simhash_dedup.shards(df)
+        sizes = dealt_rows.groupBy("choice", "bits").count()
+        assert dealt_rows.count() == count and sizes.agg({"count": "max"}).first()[0] <= 256
+        return values, df, count
+
+    values, df, count = rows_of(1000)
+    more, _, count_of_more = rows_of(4000)
+    assert count <= 60 * len(values) and count_of_more <= 60 * len(more)
+    got = {r.node: r.root for r in components(near_links(df)).collect()}
+    want = plain_components([(v, v) for v in values])
+    assert [got.get(v, v) for v in values] == want and len(set(want)) < len(values) - 100
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(5000, 5000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
