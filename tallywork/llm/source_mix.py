@@ -119,7 +119,7 @@ def _chosen(mix: Mix):
     """Per shard: the words taken of each document, and the word ranges of each pass."""
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["id", "size"], na_position="first", kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["id", "size", "print"], na_position="first", kind="stable").reset_index(drop=True)
         sizes = pdf["size"].to_numpy(np.int64)
         ends = np.cumsum(sizes)
         starts = ends - sizes
@@ -162,6 +162,24 @@ def _chosen(mix: Mix):
     return choose
 
 
+def in_shards(docs: DataFrame, *, id: str, text: str, source: str, mix: Mix) -> DataFrame:
+    """(id, source, size, print, shard): shards of about ``mix.docs_per_shard`` rows of a source, by
+    id and text. Written once."""
+    narrow = cut(
+        docs.select(
+            F.col(id).cast("bigint").alias("id"),
+            F.col(source).cast("string").alias("source"),
+            F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("bigint").alias("size"),
+            F.xxhash64(F.col(text)).alias("print"),
+        )
+    )
+    counts = narrow.groupBy(F.col("source").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    shards = F.ceil(F.col("_n") / F.lit(mix.docs_per_shard))
+    return lookup(narrow, counts, {"source": "_s"}, "inner").select(
+        "id", "source", "size", "print", F.pmod(F.xxhash64("id", "print"), shards).cast("bigint").alias("shard")
+    )
+
+
 def mix_sources(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", mix: Mix = Mix()
 ) -> DataFrame:
@@ -171,26 +189,16 @@ def mix_sources(
     second, ... time a document is taken the word ranges [start, end, start, end, ...];
     ``taken`` is their length. No document is taken more than ``mix.most`` times its size,
     because neither a source's nor a shard's quota exceeds that many times its blocks. A source without
-    words has target 0. Ids should be unique; rows with equal ids lie in one shard and
-    are ordered by size. Other columns are not read. Runs with the same rows and
-    parameters agree, however the rows are partitioned.
+    words has target 0. Rows are dealt to shards by id and text, so rows that repeat an id or have
+    none spread as well; rows equal in both lie in one shard and may stand for each other. Other
+    columns are not read. Runs with the same rows and parameters agree, however the rows are
+    partitioned.
 
     The sizes are cut off once (a narrow checkpoint); of the text nothing is shuffled. One
     row per source meets in one task, one row per shard of a source (a 4096th of its
     documents) in another, and the documents of a shard in a third.
     """
-    narrow = cut(
-        docs.select(
-            F.col(id).cast("bigint").alias("id"),
-            F.col(source).cast("string").alias("source"),
-            F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("bigint").alias("size"),
-        )
-    )
-    counts = narrow.groupBy(F.col("source").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
-    shards = F.ceil(F.col("_n") / F.lit(mix.docs_per_shard))
-    dealt = lookup(narrow, counts, {"source": "_s"}, "inner").select(
-        "id", "source", "size", F.pmod(F.xxhash64("id"), shards).cast("bigint").alias("shard")
-    )
+    dealt = in_shards(docs, id=id, text=text, source=source, mix=mix)
     blocks = F.when(F.col("words") == 0, F.lit(0)).otherwise(
         F.greatest(F.lit(1), F.round(F.col("words") / F.lit(mix.block_words)))
     )

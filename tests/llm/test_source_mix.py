@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallywork.llm import source_mix
 from tallywork.llm.source_mix import Mix, mix_sources, mixed_documents, sainte_lague, targets
@@ -80,6 +81,23 @@ def test_empty_and_repeated(frame):
     assert got == [(False, 3, 9)] * 3 + [(True, 1, 1)]
 
 
+def test_rows_without_ids_spread_and_reruns_agree(spark):
+    """100,000 rows without an id: no shard has many more than its share; and texts of one
+    length keep what is taken of them when the rows come in another order."""
+    many = spark.range(100_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
+    mix = Mix(docs_per_shard=1000)
+    shards = source_mix.in_shards(many, id="doc_id", text="text", source="source", mix=mix).groupBy("shard").count().collect()
+    assert len(shards) == 100 and sum(r["count"] for r in shards) == 100_000 and max(r["count"] for r in shards) < 1300
+    assert mix_sources(many, mix=mix).count() == 100_000
+    few = spark.createDataFrame([(None, " ".join(f"{c}{i}" for i in range(90)), "s") for c in "abcdefgh"], "doc_id bigint, text string, source string")
+    runs = [
+        mix_sources(few.repartition(n, F.xxhash64("text", F.lit(n))).select("doc_id", "text", "source"), mix=Mix(block_words=30, docs_per_shard=3))
+        for n in (1, 5)
+    ]
+    first, second = (sorted((r.size, r.taken, r.passes) for r in run.collect()) for run in runs)
+    assert first == second
+
+
 def test_a_very_long_text(frame):
     """One text of 300,000 words beside short ones: its size counts whole, and no row passes twice its size."""
     df = frame([(1, "word " * 300_000, "en", "s", 0), (2, "a b", "en", "s", 0), (3, "c", "en", "t", 0)], DOCS)
