@@ -66,6 +66,8 @@ def record_sales(batch: DataFrame, tables: SaleTables, *, sold_at: str | None =
     The other lookups are mandatory; the first missing one, in the order payment
     method, employee, station, fuel, price, is the reason. With ``sold_at`` the
     price in force on that day is used, else the newest.
+
+    Customers are looked up last: they are the most, and by then ids stand for the other names.
     """
     people = (
         tables.customers.filter(F.col("email").isNotNull())
@@ -78,11 +80,11 @@ def record_sales(batch: DataFrame, tables: SaleTables, *, sold_at: str | None =
     staff = _first_id(tables.employees, "last_name", "employee_id", "_last_name", "employee_id")
     stations = _first_id(tables.stations, "station_name", "station_id", "_station", "station_id")
     fuels = _first_id(tables.fuel_types, "fuel_description", "fuel_type_id", "_fuel", "fuel_type_id")
-    found = lookup(batch, people, {"customer_full_name": "_full_name", "customer_email": "_email"})
-    found = lookup(found, methods, {"payment_method": "_method"})
+    found = lookup(batch, methods, {"payment_method": "_method"})
     found = lookup(found, staff, {"employee_last_name": "_last_name"})
     found = lookup(found, stations, {"station_name": "_station"})
     found = lookup(found, fuels, {"fuel_type": "_fuel"})
+    found = lookup(found, people, {"customer_full_name": "_full_name", "customer_email": "_email"})
     place = ["station_id", "fuel_type_id"]
     price = {"effective": "effective_date", "columns": ["pricing_id", "price_per_unit"]}
     if sold_at is None:

@@ -12,7 +12,7 @@ from tallywork.functions.columns import instant
 from tallywork.operators import changes, intake, ledger
 from tallywork.operators.intake import SaleTables
 from tallywork.plans.query import Query
-from tallywork.session import written_folder
+from tallywork.session import written, written_folder
 from tallywork.sources.sinks import read_batches, with_month_bucket, write_batch, write_partitioned
 from tallywork.sources.tables import Tables
 
@@ -290,11 +290,10 @@ def _sale_batch(t: Tables) -> DataFrame:
         .when(F.col("c_mktsegment") != "AUTOMOBILE", F.concat(F.lower("c_name"), F.lit("@mail.test")))
         .alias("customer_email"),
     )
-    sellers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("l_suppkey"),
-        F.col("s_name").alias("employee_last_name"),
-        F.col("n_name").alias("station_name"),
+    sellers = t.supplier.select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("employee_last_name"), "s_nationkey"
     )
+    places = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("station_name"))
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("o_orderkey"),
         "l_linenumber",
@@ -306,12 +305,20 @@ def _sale_batch(t: Tables) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", F.col("o_orderpriority").alias("payment_method")
     )
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("fuel_type"))
+    # Lines are many: they meet the parts while they are narrow, the buyers as few orders, not
+    # line by line, and the sellers, who may be broadcast, only when no other table follows.
     return (
-        lines.join(orders, "o_orderkey").join(people, "o_custkey").join(sellers, "l_suppkey").join(parts, "l_partkey")
+        lines.join(parts, "l_partkey")
+        .join(orders.join(people, "o_custkey"), "o_orderkey")
+        .join(sellers, "l_suppkey")
+        .join(places, "s_nationkey")
+        .drop("s_nationkey")
     )
 
 
 def _sale_tables(t: Tables) -> SaleTables:
+    """The dimensions. Those made from large tables are small themselves and are written once:
+    then their size is known before a join with all sales is planned."""
     priced = (
         t.lineitem.join(t.orders.filter("o_orderstatus = 'F'"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -332,22 +339,28 @@ def _sale_tables(t: Tables) -> SaleTables:
             F.col("c_name").alias("full_name"),
             F.concat(F.lower("c_name"), F.lit("@mail.test")).alias("email"),
         ),
-        payment_methods=t.orders.filter("o_orderpriority <> '5-LOW'")
-        .select(
-            F.col("o_orderpriority").alias("payment_method_description"),
-            F.substring("o_orderpriority", 1, 1).cast("bigint").alias("payment_method_id"),
-        )
-        .distinct(),
+        payment_methods=written(
+            t.orders.filter("o_orderpriority <> '5-LOW'")
+            .select(
+                F.col("o_orderpriority").alias("payment_method_description"),
+                F.substring("o_orderpriority", 1, 1).cast("bigint").alias("payment_method_id"),
+            )
+            .distinct()
+        ),
         employees=t.supplier.filter("s_acctbal >= 0").select(
             F.col("s_suppkey").alias("employee_id"), F.col("s_name").alias("last_name")
         ),
         stations=t.nation.filter("n_regionkey <> 0").select(
             F.col("n_nationkey").alias("station_id"), F.col("n_name").alias("station_name")
         ),
-        fuel_types=t.part.filter("p_type <> 'ECONOMY'")
-        .select(F.ascii(F.substring("p_type", 2, 1)).alias("fuel_type_id"), F.col("p_type").alias("fuel_description"))
-        .distinct(),
-        pricing=pricing.withColumn("pricing_id", pricing_id),
+        fuel_types=written(
+            t.part.filter("p_type <> 'ECONOMY'")
+            .select(
+                F.ascii(F.substring("p_type", 2, 1)).alias("fuel_type_id"), F.col("p_type").alias("fuel_description")
+            )
+            .distinct()
+        ),
+        pricing=written(pricing.withColumn("pricing_id", pricing_id)),
     )
 
 

@@ -100,6 +100,26 @@ def test_prices_as_of_are_one_carry(spark, large_tables):
     assert plan.count("Exchange hashpartitioning") <= 25 and plan.count("SortMergeJoin") <= 1
 
 
+def shuffled(df):
+    """(columns, partitioning) of every hash exchange of a plan."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\((.*)\)", text)
+
+
+@pytest.mark.parametrize("name", ["c12_record_sales", "c12_rejected_sales"])
+def test_sales_are_shuffled_narrow(spark, large_tables, name):
+    """Buyers meet orders, not their lines, and names are ids by the time customers are looked up."""
+    found = shuffled(queries()[name](spark, FOLDER))
+    lines = [(columns, keys) for columns, keys in found if "l_linenumber" in columns]
+    assert lines and not [keys for _, keys in lines if "o_custkey" in keys]
+    (wide,) = [columns for columns, keys in lines if "customer_email" in keys]
+    for name_of_id in ("payment_method#", "station_name#", "fuel_type#", "employee_last_name#"):
+        assert name_of_id not in wide
+    # Parts, orders, sellers and places; then five names and, for every sale, its price.
+    assert len(lines) <= 10
+
+
 def test_rules_of_a_table_share_a_scan(spark):
     plan = plan_of(queries()["q06_required_and_length"](spark, FOLDER))
     assert plan.count("Scan parquet") == 1
