@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.columns import as_column
+from tallywork.functions.keys import aside, lookup
 from tallywork.functions.running import running_last, running_total
+from tallywork.session import written
 
 
 def price_on_ingest(
@@ -102,22 +104,22 @@ def price_as_of(
 ) -> DataFrame:
     """Each sale with the price row in force on its day (NULL before the first price).
 
-    An as-of join as one ordered carry: prices and sales of a key are put in one order by day,
-    a day's prices (the largest ``columns`` last) before its sales, and every sale takes the
-    last price before it. A key with a third of the sales, or one day of it, spreads over tasks
-    (:func:`tallywork.functions.running.running_last`). A sale without a key or a day has no price.
+    An as-of join as one ordered carry: prices and the days that sales ask for, each once per key,
+    are put in one order by day, a day's prices (the largest ``columns`` last) before the asked day,
+    which takes the last price before it (:func:`tallywork.functions.running.running_last`). A key
+    with a third of the sales, or one day of it, is reduced to its days inside the tasks that read
+    it. Sales are written once, and so are the answers: every sale looks its answer up, by a
+    broadcast where they are few. A sale without a key or a day has no price.
     """
-    keys, rows = list(keys), [f"`{c}`" for c in sales.columns]
-    columns = list(columns)
+    keys, columns = list(keys), list(columns)
+    dated = written(sales).withColumn("_day", F.to_date(sold_at))
+    asked = dated.select(*keys, "_day").dropna().distinct().withColumn("_asked", F.lit(True))
     price = pricing.dropna(subset=[*keys, effective]).select(
         *keys, F.to_date(effective).alias("_day"), F.struct(*columns).alias("_price")
     )
-    sale = sales.select(*keys, F.to_date(sold_at).alias("_day"), F.struct(*rows).alias("_sale"))
-    # The hash parts the sales of one day, so that slices can cut between them.
-    order = [
-        F.col("_day").asc_nulls_first(), F.col("_sale").isNotNull(), F.col("_price").asc_nulls_last(), F.xxhash64(*[f"_sale.{c}" for c in rows])
-    ]
-    together = price.unionByName(sale, allowMissingColumns=True)
+    together = price.unionByName(asked, allowMissingColumns=True)
+    order = [F.col("_day"), F.col("_price").asc_nulls_last()]
     carried = running_last(together, "_price", "_in_force", order_by=order, partition_by=keys)
-    sold = carried.filter(F.col("_sale").isNotNull())
-    return sold.select("_sale.*", *[F.col(f"_in_force.{c}").alias(c) for c in columns])
+    in_force = [F.col(f"_in_force.{c}").alias(c) for c in columns]
+    answers = written(carried.filter("_asked").select(*keys, "_day", *in_force))
+    return lookup(dated, *aside(answers, [*keys, "_day"])).drop("_day")

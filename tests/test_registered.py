@@ -120,6 +120,12 @@ def test_sales_are_shuffled_narrow(spark, large_tables, name):
     assert len(lines) <= 10
 
 
+def test_names_are_not_written_with_sales(spark, large_tables):
+    plan = plan_of(queries()["c12_record_sales_as_of"](spark, FOLDER))
+    (sales,) = [s for s in re.findall(r"ReadSchema: struct<(.*?)>", plan) if "l_linenumber" in s]
+    assert "quantity_sold" in sales and not re.search("_name|_email|fuel_type:|payment_method:", sales)
+
+
 def test_rules_of_a_table_share_a_scan(spark):
     plan = plan_of(queries()["q06_required_and_length"](spark, FOLDER))
     assert plan.count("Scan parquet") == 1
