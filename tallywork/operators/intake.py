@@ -89,8 +89,8 @@ def record_sales(
     found = lookup(found, stations, {"station_name": "_station"})
     found = lookup(found, fuels, {"fuel_type": "_fuel"})
     found = lookup(found, people, {"customer_full_name": "_full_name", "customer_email": "_email"})
-    if keep is not None:
-        found = found.drop(*(set(batch.columns) - {*keep, "quantity_sold", sold_at}))
+    kept = [F.col(f"`{c}`") for c in batch.columns if keep is None or c in {*keep, "quantity_sold", sold_at}]
+    found = found.select(*kept, "customer_id", "payment_method_id", "employee_id", "station_id", "fuel_type_id")
     place = ["station_id", "fuel_type_id"]
     price = {"effective": "effective_date", "columns": ["pricing_id", "price_per_unit"]}
     if sold_at is None:
