@@ -83,9 +83,9 @@ class DoubleArray:
         """``paths`` (n, length), different rows of numbers from 1 to ``symbols``."""
         width = digits_needed(symbols)
         order = np.lexsort(paths.T[::-1])
-        paths, ids = paths[order].astype(np.int64), ids[order]
+        paths, ids = paths[order], ids[order]
         shifts = RADIX_BITS * np.arange(width - 1, -1, -1)
-        digits = ((paths[:, :, None] >> shifts) & (RADIX - 1)).reshape(len(paths), -1)
+        digits = np.column_stack([((column >> shift) & (RADIX - 1)).astype(np.uint8) for column in paths.T for shift in shifts])
         # Nodes level by level: a new one wherever a row's beginning differs from the row before.
         node, count = np.zeros(len(paths), np.int64), 1
         parents, letters = [], []
@@ -97,7 +97,7 @@ class DoubleArray:
             letters.append(digits[new, level])
             node = count + np.cumsum(new) - 1
             count += int(new.sum())
-        parents, letters = np.concatenate(parents), np.concatenate(letters)
+        parents, letters = np.concatenate(parents), np.concatenate(letters).astype(np.int64)
         bases, size = _placed(parents, letters, count, seed)
         state = np.concatenate([[0], bases[parents] + letters])
         base, check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
@@ -126,5 +126,14 @@ class DoubleArray:
             states, positions = self.step(states, positions, padded[level:])
         return states
 
+    def reached(self, start: int, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The accepting states reached below ``start``, and the rows of ``paths`` (n, length) that
+        reach them; level by level, all rows at once. Numbers as in :meth:`matches`."""
+        rows = np.flatnonzero(paths.all(axis=1))
+        states = np.full(len(rows), start, np.int32)
+        for level in range(paths.shape[1]):
+            states, rows = self.step(states, rows, paths[:, level])
+        return states, rows
+
     def ids_of(self, states: np.ndarray) -> np.ndarray:
         return self.ids[np.searchsorted(self.accepting, states)]

@@ -1,32 +1,35 @@
 """Phrase collocations as in Apriori: only phrases whose parts are frequent can be.
 
-1. Words are counted.
-2. For each number of words from two up a pass counts, by a 64-bit hash, the windows whose
+1. Texts are cut once into blocks of numbered words, which are written; all passes read those.
+2. Words are counted.
+3. For each number of words from two up a pass counts, by a 64-bit hash, the windows whose
    shorter windows are all frequent by their hashes.
-3. Windows with a frequent hash are the candidates; one pass collects them. Of all texts with a
+4. Windows with a frequent hash are the candidates; one pass collects them. Of all blocks with a
    hash only its owner, the one with the least checksum, sends the words, so a candidate
    does not leave every task.
-4. The candidates become double-array tries, which are broadcast; every task advances the
-   states of all its positions together, level by level, and counts accepting states. Only
-   these exact counts, summed over the tasks, decide. A hash that counts for more than the
-   candidates found for it stands for several phrases; all texts are asked for those once more.
+5. The candidates become double-array tries in as many groups as their number needs. One pass
+   deals the windows with a frequent hash to the groups, each different one of a block once with
+   its number. Then one group after the other has its tries broadcast, and its own windows alone
+   advance their states together, level by level; accepting states are counted. So all groups
+   together read every window once. Only these exact counts, summed over the tasks, decide. A
+   hash that counts for more than the candidates found for it stands for several phrases; all
+   blocks are asked for those once more.
 
 Between passes Bloom filters of a bounded size tell what may be frequent. They let too much
 through, never too little, so a filter that runs full costs time and loses nothing. A trie
-holds a bounded number of candidates; where there are more, more tries are broadcast one
-after the other. Words are cut, numbered and looked up by Arrow and numpy for a whole batch
-at once; Python sees each different word of a batch once.
+holds a bounded number of candidates. Words are cut, numbered and looked up by Arrow and numpy
+for a whole block at once; Python sees each different word of a block once. What is counted is
+shuffled as arrays, a row for each block and part of the hashes, and merged by numpy.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from tallywork.functions.keys import aside, lookup
 from tallywork.functions.running import running_total
 from tallywork.llm.double_array import DoubleArray
-from tallywork.llm.text import LOWER, LOWER_BYTES, UPPER, small_pieces
+from tallywork.llm.text import LOWER, LOWER_BYTES, UPPER, small_pieces, tasks_for
 from tallywork.session import written
 
 # Between pieces and between texts; bytes that UTF-8 does not have.
@@ -43,13 +46,15 @@ BREAK, END = b"\xff", b"\xfe"
 CUTS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes(BREAK[0] if c in CUTS else LOWER_BYTES[c] for c in range(256))
 BATCH_BYTES = 8 << 20
+# Words of text for each part in which counts are merged.
+PART_TOKENS = 1 << 22
 
 
 class Settings(NamedTuple):
     """The defaults are those of the registered query.
 
-    ``held`` rows at most wait in a task before they are combined, ``trie_phrases`` and
-    ``trie_bytes`` bound one trie, ``filter_bits`` one Bloom filter. ``hash_bits`` of the windows' hashes are
+    ``held`` rows at most wait in a task before they are combined (a block has twice as many bytes
+    of text, or BATCH_BYTES if that is less), ``trie_phrases`` and ``trie_bytes`` bound one trie, ``filter_bits`` one Bloom filter. ``hash_bits`` of the windows' hashes are
     used; fewer only mean that more phrases share one.
     """
 
@@ -66,79 +71,166 @@ class Settings(NamedTuple):
 
 
 class Block(NamedTuple):
-    """Texts of one language: token i is words[codes[i]], BREAK and END included, and belongs to
-    a text with the checksum owners[i]."""
+    """Texts of one language: token i is word codes[i], BREAK and END included; ``hashes`` has the
+    words' hashes, 0 for those two. ``owner`` is a checksum of the texts."""
 
     lang: str
-    words: list[bytes]
+    owner: int
+    hashes: np.ndarray
     codes: np.ndarray
-    owners: np.ndarray
-
-    def of_words(self, values: list[int], kind: type) -> np.ndarray:
-        """For every token the value of its word."""
-        return np.array(values, kind)[self.codes]
+    words: list[bytes]
 
 
-def _encoded(raw: bytes) -> tuple[list[bytes], np.ndarray]:
+def _dictionary(raw: bytes) -> tuple[pa.Array, np.ndarray]:
     """The different tokens of folded text, and for each token which it is."""
     data = np.frombuffer(raw, np.uint8)
     apart = data >= END[0]
     kept = (data != 32) & (data != 9)
-    inside = kept & ~apart
-    starts = apart | inside
-    starts[1:] &= apart[1:] | ~inside[:-1]
+    starts = kept.copy()
+    starts[1:] &= apart[1:] | apart[:-1] | ~kept[:-1]
     packed = data[kept]
-    offsets = np.append((np.cumsum(kept) - 1)[starts], len(packed)).astype(np.int32)
+    offsets = np.append(np.flatnonzero(starts[kept]), len(packed)).astype(np.int32)
     flat = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
     encoded = flat.dictionary_encode()
-    return encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), encoded.indices.to_numpy()
+    return encoded.dictionary, encoded.indices.to_numpy()
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
-    for batch in small_pieces(batches, 1, BATCH_BYTES, 1 << 14):
-        by_lang: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by_lang.setdefault(lang, []).append(text.encode())
-        for lang, texts in by_lang.items():
-            words, codes = _encoded(b"".join(t.translate(FOLD) + END for t in texts))
-            sums = np.array([zlib.crc32(t) for t in texts], np.uint64)
-            text = np.cumsum(codes == words.index(END))
-            yield Block(lang, words, codes, sums[np.minimum(text, len(sums) - 1)])
+def _encoded(raw: bytes) -> tuple[list[bytes], np.ndarray]:
+    words, codes = _dictionary(raw)
+    return _listed(words), codes
 
 
-# Counting words ------------------------------------------------------------------------------
+def _listed(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
-def count_words(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(lang, word, f): frequent words; a null word has the number of all words of its language."""
+def _pack(values: bytes | np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, Counter] = {}
-
-        def rows() -> pa.RecordBatch:
-            flat = []
-            for lang, counter in found.items():
-                counter.pop(BREAK, None)
-                counter.pop(END, None)
-                flat += [(lang, w.decode(), n) for w, n in counter.items()]
-                flat.append((lang, None, counter.total()))
-            found.clear()
-            return _batch(flat, ("lang", pa.string()), ("word", pa.string()), ("f", pa.int64()))
 
-        for block in blocks(batches):
-            counts = np.bincount(block.codes, minlength=len(block.words)).tolist()
-            found.setdefault(block.lang, Counter()).update(dict(zip(block.words, counts, strict=True)))
-            if sum(map(len, found.values())) > settings.held // 8:
-                yield rows()
-        yield rows()
+def _unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+def _joined(words: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """The words between each two bounds in one binary, a space between them."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words), b" ")
+
+
+def _arrays(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The numbers between each two bounds as one binary."""
+    offsets = pa.py_buffer((bounds * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _rows(**columns: object) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(columns)
 
-    counted = docs.mapInArrow(count, "lang string, word string, f bigint").groupBy("lang", "word").agg(F.sum("f").alias("f"))
-    return written(counted.filter(F.col("word").isNull() | (F.col("f") >= settings.min_count)))
 
+_BLOCKS = "lang string, owner bigint, tokens bigint, words binary, hashes binary, counts binary, codes binary"
+# Rows are large: without these, a hundred of them would be gathered before a look at their size.
+_LARGE_ROWS = {"parquet.block.size": str(32 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
+
+
+def encoded(docs: DataFrame, settings: Settings) -> DataFrame:
+    """The texts in blocks of one language: different words, their hashes and counts, and the
+    tokens by number; ``tokens`` is the number of words in the block. Written."""
+    most = min(BATCH_BYTES, 2 * settings.held)
+
+    def block(lang: str, texts: list[bytes]) -> pa.RecordBatch:
+        raw = b"".join(t.translate(FOLD) + END for t in texts)
+        words, codes = _dictionary(raw)
+        seed, names = lang_seed(lang), _listed(words)
+        hashes = np.fromiter((word_hash(seed, w) for w in names), np.uint64, len(names))
+        counts = np.bincount(codes, minlength=len(names))
+        for mark in (BREAK, END):
+            if mark in names:
+                hashes[names.index(mark)] = counts[names.index(mark)] = 0
+        return _rows(
+            lang=pa.array([lang], pa.string()),
+            owner=[xxhash.xxh32_intdigest(raw)],
+            tokens=[int(counts.sum())],
+            words=[_pack(b" ".join(names))],
+            hashes=[hashes.tobytes()],
+            counts=[_pack(counts.astype(np.int64))],
+            codes=[_pack(codes.astype(np.uint32))],
+        )
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
+        for batch in small_pieces(batches, 1, most, 1 << 14):
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                held.setdefault(lang, []).append(text)
+                sizes[lang] = sizes.get(lang, 0) + len(text) + 1
+                if sizes[lang] >= most:
+                    sizes.pop(lang)
+                    yield block(lang, held.pop(lang))
+            while sum(sizes.values()) > 2 * most:
+                largest = max(sizes, key=sizes.get)
+                sizes.pop(largest)
+                yield block(largest, held.pop(largest))
+        while held:
+            yield block(*held.popitem())
+
+    return written(docs.mapInArrow(encode, _BLOCKS), **_LARGE_ROWS)
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """The blocks of :func:`encoded`; words only where that column is read."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            words = _unpack(row["words"]).split(b" ") if "words" in row else []
+            yield Block(row["lang"], row["owner"], np.frombuffer(row["hashes"], np.uint64), np.frombuffer(_unpack(row["codes"]), np.uint32), words)
+
+
+def parts_for(texts: DataFrame) -> int:
+    """In how many parts the counts of :func:`encoded` texts are merged, by the number of words."""
+    tokens = texts.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"]
+    return tasks_for(texts.sparkSession, tokens, PART_TOKENS)
+
+
+# Counting words ------------------------------------------------------------------------------
+
+
+def count_words(texts: DataFrame, parts: int, settings: Settings) -> DataFrame:
+    """(lang, word, f): frequent words; a null word has the number of all words of its language."""
 
-def _batch(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.RecordBatch:
-    values = zip(*rows, strict=True) if rows else [()] * len(columns)
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(values, columns, strict=True)], names=[n for n, _ in columns])
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                counts, hashes = np.frombuffer(_unpack(row["counts"]), np.int64), np.frombuffer(row["hashes"], np.uint64)
+                part = ((hashes >> np.uint64(1)) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                order = order[counts[order] > 0]
+                bounds = np.searchsorted(part[order], np.arange(parts + 1))
+                words = pa.array(_unpack(row["words"]).split(b" "), pa.binary()).take(pa.array(order))
+                full = np.flatnonzero(np.diff(bounds))
+                yield _rows(
+                    part=pa.array(full, pa.int32()),
+                    lang=pa.array([row["lang"]] * len(full), pa.string()),
+                    words=_joined(words, bounds).take(pa.array(full)),
+                    counts=_arrays(counts[order], bounds).take(pa.array(full)),
+                )
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        out = []
+        for lang in table["lang"].unique().to_pylist():
+            mine = table.filter(pc.equal(table["lang"], lang))
+            words = pa.array([w for joined in mine["words"].to_pylist() for w in joined.split(b" ")], pa.binary())
+            n = np.concatenate([np.frombuffer(c, np.int64) for c in mine["counts"].to_pylist()])
+            found = pa.table({"word": words, "n": n}).group_by("word").aggregate([("n", "sum")])
+            found = found.filter(pc.greater_equal(found["n_sum"], settings.min_count))
+            names = found["word"].cast(pa.string())
+            out.append(pa.table({"lang": pa.array([lang] * len(names), pa.string()), "word": names, "f": found["n_sum"]}))
+        return pa.concat_tables(out)
+
+    dealt = texts.select("lang", "words", "hashes", "counts").mapInArrow(deal, "part int, lang string, words binary, counts binary")
+    counted = dealt.groupBy("part").applyInArrow(add, "lang string, word string, f bigint")
+    totals = texts.groupBy("lang").agg(F.sum("tokens").alias("f")).select("lang", F.lit(None).cast("string").alias("word"), "f")
+    return written(counted.unionByName(totals))
 
 
 # Hashes and filters --------------------------------------------------------------------------
@@ -194,6 +286,26 @@ class Filter:
         return found
 
 
+class Both(NamedTuple):
+    """Two filters of the same hashes, the second by other bits of them. What one that is half full
+    lets through by chance in a fourth of all cases, both do in a sixteenth."""
+
+    first: Filter
+    second: Filter
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        found = self.first.has(hashes)
+        at = np.flatnonzero(found)
+        found[at] = self.second.has((hashes[at] >> np.uint64(16)) | (hashes[at] << np.uint64(48)))
+        return found
+
+
+def make_both(hashes: DataFrame, settings: Settings) -> Both:
+    """Both filters of a written column ``h``."""
+    turned = F.shiftrightunsigned("h", 16).bitwiseOR(F.shiftleft("h", 48))
+    return Both(make_filter(hashes, settings), make_filter(hashes.select(turned.alias("h")), settings))
+
+
 CHUNK_BITS = 1 << 17
 
 
@@ -251,22 +363,6 @@ def phrase_hashes(phrases: DataFrame, bits: int = 64) -> DataFrame:
 # Candidates ----------------------------------------------------------------------------------
 
 
-class Known(dict):
-    """The hashes of the words of one language met so far; 0 for a word that is not frequent."""
-
-    def __init__(self, lang: str, frequent: Filter):
-        super().__init__({BREAK: 0, END: 0})
-        self.seed, self.frequent = lang_seed(lang), frequent
-
-    def of(self, words: list[bytes]) -> list[int]:
-        new = [w for w in words if w not in self]
-        if new:
-            hashes = np.array([word_hash(self.seed, w) for w in new], np.uint64)
-            hashes[~self.frequent.has(hashes)] = 0
-            self.update(zip(new, hashes.tolist(), strict=True))
-        return [self[w] for w in words]
-
-
 class Levels(NamedTuple):
     """What tells the windows that may be frequent: a filter of single words and, for numbers of
     words from two up, of the hashes of windows."""
@@ -275,98 +371,115 @@ class Levels(NamedTuple):
     shorter: dict[int, Filter]
     bits: int
 
-    def walk(self, batches: Iterator[pa.RecordBatch], levels: list[int], most_known: int) -> Iterator[tuple[Block, list[np.ndarray]]]:
+    def walk(self, batches: Iterator[pa.RecordBatch], levels: list[int]) -> Iterator[tuple[Block, list[np.ndarray]]]:
         """Blocks and, for each of ``levels``, the hashes of the windows of so many words that
         start at each token; 0 where a window cannot be frequent."""
-        known: dict[str, Known] = {}
         for block in blocks(batches):
-            if sum(map(len, known.values())) > most_known:
-                known.clear()
-            mine = known.setdefault(block.lang, Known(block.lang, self.frequent))
-            hashes = block.of_words(mine.of(block.words), np.uint64)
+            hashes = np.where(self.frequent.has(block.hashes), block.hashes, np.uint64(0))[block.codes]
             found = []
             for k in levels:
                 found.append(windows(hashes, k, self.bits))
                 if k - 1 in self.shorter:
                     parts = windows(hashes, k - 1, self.bits)
-                    safe = (parts != 0) & self.shorter[k - 1].has(parts)
+                    safe = np.zeros(len(parts), bool)
+                    at = np.flatnonzero(parts)
+                    safe[at] = self.shorter[k - 1].has(parts[at])
                     found[-1][~(safe[:-1] & safe[1:])[: len(found[-1])]] = 0
             yield block, found
 
 
-def frequent_hashes(docs: DataFrame, levels: Levels, words: int, settings: Settings) -> DataFrame:
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of equal values begin, and how long they are."""
+    starts = np.flatnonzero(np.concatenate([[len(values) > 0], values[1:] != values[:-1]])[: len(values)])
+    return starts, np.diff(np.append(starts, len(values)))
+
+
+def frequent_hashes(texts: DataFrame, levels: Levels, words: int, parts: int, settings: Settings) -> DataFrame:
     """(h, n, key): hashes of windows of ``words`` words that count often enough together with all
     that share the hash, how often, and the key of the hash with its owner; written."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
+    shared = texts.sparkSession.sparkContext.broadcast(levels)
+    # A part is a range of hashes, so sorted ones are cut without another order.
+    edges = np.array([(part << settings.hash_bits) // parts for part in range(1, parts)], np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for block, (found,) in shared.value.walk(batches, [words], settings.held // 8):
-            at = np.flatnonzero(found)
-            held.append((found[at], block.owners[at]))
-            size += len(at)
-            if size > settings.held:
-                yield _counted(held)
-                held, size = [], 0
-        yield _counted(held)
-
-    # Tasks have combined what they can; Spark's own partial step comes after the shuffle.
-    dealt = docs.mapInArrow(count, "h bigint, n bigint, owner bigint").repartition("h")
-    counted = dealt.groupBy("h").agg(F.sum("n").alias("n"), F.min("owner").alias("owner"))
+        for block, (found,) in shared.value.walk(batches, [words]):
+            hashes = np.sort(found[found != 0])
+            starts, counts = _runs(hashes)
+            hashes = hashes[starts]
+            bounds = np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
+            full = np.flatnonzero(np.diff(bounds))
+            yield _rows(
+                part=pa.array(full, pa.int32()),
+                owner=pa.array(np.full(len(full), block.owner)),
+                hashes=_arrays(hashes, bounds).take(pa.array(full)),
+                counts=_arrays(counts.astype(np.uint32), bounds).take(pa.array(full)),
+            )
+
+    dealt = texts.select("lang", "owner", "hashes", "codes").mapInArrow(count, "part int, owner bigint, hashes binary, counts binary")
+    counted = dealt.groupBy("part").applyInArrow(_merger(settings.min_count), "h bigint, n bigint, owner bigint")
     key = F.col("h").bitwiseXOR(F.shiftleft("owner", 32)).bitwiseXOR(F.col("owner"))
-    often = written(counted.filter(F.col("n") >= settings.min_count).select("h", "n", key.alias("key")))
+    often = written(counted.select("h", "n", key.alias("key")))
     shared.destroy()
     return often
 
 
-def _counted(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    hashes = np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in held)])
-    owners = np.concatenate([np.zeros(0, np.uint64), *(o for _, o in held)])
-    order = np.argsort(hashes)
-    hashes, owners = hashes[order], owners[order]
-    starts = np.flatnonzero(np.concatenate([[len(hashes) > 0], hashes[1:] != hashes[:-1]])[: len(hashes)])
-    counts = np.diff(np.append(starts, len(hashes)))
-    least = np.minimum.reduceat(owners, starts) if len(starts) else owners
-    columns = (hashes[starts].view(np.int64), counts, least.astype(np.int64))
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "n", "owner"])
+def _merger(min_count: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    """The hashes of a part that count ``min_count`` times, and the least of their owners."""
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        arrays = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
+        hashes = np.concatenate(arrays)
+        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]).astype(np.int64)
+        owners = np.repeat(table["owner"].to_numpy(), [len(x) for x in arrays])
+        order = np.argsort(hashes)
+        hashes, counts, owners = hashes[order], counts[order], owners[order]
+        starts, _ = _runs(hashes)
+        n = np.add.reduceat(counts, starts)
+        often = n >= min_count
+        least = np.minimum.reduceat(owners, starts)
+        return pa.table({"h": hashes[starts][often].view(np.int64), "n": n[often], "owner": least[often]})
 
+    return merge
 
-def _first_of_each(codes: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
-    """One of the positions ``at`` for every different sequence of ``words`` codes there; exact."""
-    names = codes[at].astype(np.int64)
+
+def _different(codes: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """One of the positions ``at`` for every different sequence of ``words`` codes there, and how
+    many there are of it; exact."""
+    radix = int(codes.max(initial=0)) + 1
+    names, high = codes[at].astype(np.int64), radix
     for i in range(1, words):
-        following = codes[at + i]
-        pairs = names * (int(following.max(initial=0)) + 1) + following
-        _, first, names = np.unique(pairs, return_index=True, return_inverse=True)
-    return at[first]
+        if high * radix >= 1 << 63:
+            different, names = np.unique(names, return_inverse=True)
+            high = len(different)
+        names, high = names * radix + codes[at + i], high * radix
+    order = np.argsort(names)
+    starts, counts = _runs(names[order])
+    return at[order[starts]], counts
 
 
-def candidates(docs: DataFrame, levels: Levels, likely: dict[int, Filter], settings: Settings, *, by_owner: bool = True) -> DataFrame:
-    """(words, lang, phrase, id): for each number of words in ``likely`` the windows whose hash,
+def candidates(texts: DataFrame, levels: Levels, likely: dict[int, Filter | Both], settings: Settings, *, by_owner: bool = True) -> DataFrame:
+    """(words, lang, phrase, h, id): for each number of words in ``likely`` the windows whose hash,
     together with its owner or alone, passes the filter, once; written, so that ids stay."""
-    shared, numbers = docs.sparkSession.sparkContext.broadcast((levels, likely)), sorted(likely)
+    shared, numbers = texts.sparkSession.sparkContext.broadcast((levels, likely)), sorted(likely)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, likely = shared.value
-        seen: dict[str, set[bytes]] = {}
-        for block, windows_ in levels.walk(batches, numbers, settings.held // 8):
-            if sum(map(len, seen.values())) > settings.held // 8:
-                seen.clear()
-            words, codes, old = block.words, block.codes, seen.setdefault(block.lang, set())
+        for block, windows_ in levels.walk(batches, numbers):
             for k, found in zip(numbers, windows_, strict=True):
                 at = np.flatnonzero(found)
-                at = at[likely[k].has(owned(found[at], block.owners[at]) if by_owner else found[at])]
+                at = at[likely[k].has(owned(found[at], np.uint64(block.owner)) if by_owner else found[at])]
                 if not len(at):
                     continue
-                first = _first_of_each(codes, at, k)
-                rows = zip(*(codes[first + i].tolist() for i in range(k)), strict=True)
-                fresh = {b" ".join([words[c] for c in row]) for row in rows} - old
-                old |= fresh
-                columns = [[k] * len(fresh), [block.lang] * len(fresh), [p.decode() for p in fresh]]
-                types = [pa.int32(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["words", "lang", "phrase"])
-
-    found = docs.mapInArrow(collect, "words int, lang string, phrase string").distinct()
+                first, _ = _different(block.codes, at, k)
+                rows = zip(*(block.codes[first + i].tolist() for i in range(k)), strict=True)
+                yield _rows(
+                    words=pa.array(np.full(len(first), k, np.int32)),
+                    lang=pa.array([block.lang] * len(first), pa.string()),
+                    phrase=pa.array([b" ".join([block.words[c] for c in row]).decode() for row in rows], pa.string()),
+                    h=pa.array(found[first].view(np.int64)),
+                )
+
+    found = texts.select("lang", "owner", "hashes", "codes", "words").mapInArrow(collect, "words int, lang string, phrase string, h bigint").distinct()
     collected = written(found.withColumn("id", F.monotonically_increasing_id()))
     shared.destroy()
     return collected
@@ -383,11 +496,14 @@ class Trie(NamedTuple):
     symbols: dict[bytes, int]
 
     @classmethod
-    def of(cls, langs: list[str], phrases: list[str], ids: np.ndarray) -> Trie:
-        paths = [[b"\n" + lang.encode(), *phrase.encode().split(b" ")] for lang, phrase in zip(langs, phrases, strict=True)]
-        symbols: dict[bytes, int] = {}
-        rows = np.array([[symbols.setdefault(w, len(symbols) + 1) for w in path] for path in paths], np.int64)
-        return cls(rows.shape[1] - 1, DoubleArray.of(rows, ids, len(symbols)), symbols)
+    def of(cls, langs: pa.Array | list[str], phrases: pa.Array | list[str], ids: np.ndarray) -> Trie:
+        of_lang, phrases = (pa.array(x, pa.string()).cast(pa.binary()) for x in (langs, phrases))
+        of_lang = of_lang.dictionary_encode()
+        words = pc.list_flatten(pc.split_pattern(phrases, b" ")).dictionary_encode()
+        names = [*(b"\n" + lang for lang in of_lang.dictionary.to_pylist()), *_listed(words.dictionary)]
+        numbers = words.indices.to_numpy().reshape(len(phrases), -1) + (len(of_lang.dictionary) + 1)
+        rows = np.column_stack([of_lang.indices.to_numpy() + 1, numbers])
+        return cls(rows.shape[1] - 1, DoubleArray.of(rows, ids, len(names)), {w: i for i, w in enumerate(names, 1)})
 
     def start(self, lang: str) -> int | None:
         symbol = self.symbols.get(b"\n" + lang.encode())
@@ -402,20 +518,18 @@ _TRIE = "words int, base binary, check binary, accepting binary, ids binary, wid
 
 def _built(key: tuple, table: pa.Table) -> pa.Table:
     """A group of candidates of one length as one row: the arrays of its trie, compressed."""
-    trie = Trie.of(table["lang"].to_pylist(), table["phrase"].to_pylist(), table["id"].to_numpy())
+    trie = Trie.of(table["lang"].combine_chunks(), table["phrase"].combine_chunks(), table["id"].to_numpy())
     a = trie.array
     # Symbols count from 1 in order, so the names alone will do; a space is in none of them.
-    pack = zstandard.ZstdCompressor(level=3).compress
-    row = [key[0].as_py(), trie.words, *(pack(x.tobytes()) for x in (a.base, a.check, a.accepting, a.ids)), a.width, pack(b" ".join(trie.symbols))]
+    row = [key[0].as_py(), trie.words, *(_pack(x.tobytes()) for x in (a.base, a.check, a.accepting, a.ids)), a.width, _pack(b" ".join(trie.symbols))]
     types = [pa.int32() if isinstance(v, int) else pa.binary() for v in row]
     names = ["g", *(p.split()[0] for p in _TRIE.split(", "))]
     return pa.table([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=names)
 
 
 def _read(row: dict) -> Trie:
-    unpack = zstandard.ZstdDecompressor().decompress
-    arrays = [np.frombuffer(unpack(row[c]), np.int64 if c == "ids" else np.int32) for c in ("base", "check", "accepting", "ids")]
-    symbols = {w: i for i, w in enumerate(unpack(row["symbols"]).split(b" "), 1)}
+    arrays = [np.frombuffer(_unpack(row[c]), np.int64 if c == "ids" else np.int32) for c in ("base", "check", "accepting", "ids")]
+    symbols = {w: i for i, w in enumerate(_unpack(row["symbols"]).split(b" "), 1)}
     return Trie(row["words"], DoubleArray(*arrays, row["width"]), symbols)
 
 
@@ -424,90 +538,160 @@ class Tally:
 
     def __init__(self, trie: Trie, most_held: int):
         self.trie, self.most = trie, most_held
-        self.total, self.held, self.size = np.zeros(len(trie.array.base), np.int64), [], 0
+        self.total, self.held, self.size = np.zeros(len(trie.array.ids), np.int64), [], 0
         self.starts: dict[str, int | None] = {}
 
-    def add(self, block: Block) -> None:
-        if block.lang not in self.starts:
-            self.starts[block.lang] = self.trie.start(block.lang)
-        start, known = self.starts[block.lang], self.trie.symbols
+    def add(self, lang: str, words: list[bytes], windows: np.ndarray, counts: np.ndarray) -> None:
+        """``windows`` are rows of places in ``words``; there are ``counts`` of each."""
+        if lang not in self.starts:
+            self.starts[lang] = self.trie.start(lang)
+        start, known = self.starts[lang], self.trie.symbols
         if start is None:
             return
-        numbers = block.of_words([known.get(w, 0) for w in block.words], np.int64)
-        self.held.append(self.trie.array.matches(start, numbers, self.trie.words))
-        self.size += len(self.held[-1])
+        numbers = np.array([known.get(w, 0) for w in words], np.int64)
+        states, rows = self.trie.array.reached(start, numbers[windows])
+        self.held.append((states, counts[rows]))
+        self.size += len(states)
         if self.size > self.most:
             self.settle()
 
     def settle(self) -> None:
-        self.total += np.bincount(np.concatenate([np.zeros(0, np.int32), *self.held]), minlength=len(self.total))
+        states = np.concatenate([np.zeros(0, np.int32), *(s for s, _ in self.held)])
+        counts = np.concatenate([np.zeros(0, np.int64), *(n for _, n in self.held)])
+        np.add.at(self.total, np.searchsorted(self.trie.array.accepting, states), counts)
         self.held, self.size = [], 0
 
     def rows(self) -> pa.RecordBatch:
         self.settle()
-        states = np.flatnonzero(self.total)
-        return pa.RecordBatch.from_arrays([pa.array(self.trie.array.ids_of(states)), pa.array(self.total[states])], names=["id", "n"])
+        met = np.flatnonzero(self.total)
+        return _rows(id=pa.array(self.trie.array.ids[met]), n=pa.array(self.total[met]))
+
+
+_WINDOWS = "slot int, words int, lang string, names binary, windows binary, counts binary, g int"
+
+
+def deal_windows(texts: DataFrame, levels: Levels, likely: dict[int, Filter], groups: dict[int, int], parts: int) -> DataFrame:
+    """The windows whose hash passes the filter, dealt by hash to the ``groups`` of their number of
+    words, and within one to slots. A row has those of a block: the words they are made of, the
+    windows as places among those, and how often each occurs. Written, a folder for each group."""
+    shared, numbers = texts.sparkSession.sparkContext.broadcast((levels, likely)), sorted(groups)
+    slots = -(-parts // max(groups.values()))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, likely = shared.value
+        for block, windows_ in levels.walk(batches, numbers):
+            words, number = pa.array(block.words, pa.binary()), np.zeros(len(block.words), np.uint32)
+            for k, found in zip(numbers, windows_, strict=True):
+                at = np.flatnonzero(found)
+                at = at[likely[k].has(found[at])]
+                if not len(at):
+                    continue
+                first, counts = _different(block.codes, at, k)
+                group, rest = _group(found[first], groups[k])
+                part = (group * slots + rest % slots).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                codes = block.codes[first[order][:, None] + np.arange(k)]
+                starts, lengths = _runs(part[order])
+                names, used = [], np.zeros(len(number), bool)
+                for start, length in zip(starts.tolist(), lengths.tolist(), strict=True):
+                    some = codes[start : start + length]
+                    used[some] = True
+                    mine = np.flatnonzero(used)
+                    used[mine] = False
+                    number[mine] = np.arange(len(mine))
+                    codes[start : start + length] = number[some]
+                    names.append(mine)
+                bounds = np.append(starts, len(order))
+                here = part[order][starts]
+                yield _rows(
+                    slot=pa.array(here % slots, pa.int32()),
+                    words=pa.array(np.full(len(here), k, np.int32)),
+                    lang=pa.array([block.lang] * len(here), pa.string()),
+                    names=_joined(words.take(pa.array(np.concatenate(names))), np.cumsum([0, *map(len, names)])),
+                    windows=_arrays(codes.reshape(-1), bounds * k),
+                    counts=_arrays(counts[order].astype(np.uint32), bounds),
+                    g=pa.array(here // slots, pa.int32()),
+                )
+
+    dealt = texts.select("lang", "owner", "hashes", "codes", "words").mapInArrow(deal, _WINDOWS).repartition(parts, "g", "slot")
+    kept = written(dealt, by="g", **_LARGE_ROWS)
+    shared.destroy()
+    return kept
 
 
-def count_candidates(docs: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
-    """(words, lang, phrase, f): the exact number of occurrences of each candidate that has any; written.
+def _group(hashes: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each hash, as :func:`count_candidates` has it, and what is left of the hash."""
+    rest, group = np.divmod(hashes >> np.uint64(1), np.uint64(groups))
+    return group, rest
 
-    Each number of words has as many tries as its candidates need; a pass over the texts
-    takes one trie of each.
+
+def count_candidates(texts: DataFrame, found: DataFrame, levels: Levels, likely: dict[int, Filter], parts: int, settings: Settings) -> DataFrame:
+    """(words, lang, phrase, h, f): the exact number of occurrences of each candidate that has any
+    and whose hash passes the filter; written.
+
+    Each number of words has as many tries as its candidates need. The windows are dealt to them
+    by hash; a trie of each number of words is broadcast to the windows of its group only.
     """
     size = found.groupBy("words").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("phrase")).alias("b")).collect()
     groups = {r["words"]: max(-(-r["n"] // settings.trie_phrases), -(-r["b"] // settings.trie_bytes)) for r in size}
     if not groups:
-        return found.select("words", "lang", "phrase", F.lit(0).cast("bigint").alias("f"))
-    parts = F.create_map(*[F.lit(x).cast("bigint") for pair in groups.items() for x in pair])[F.col("words").cast("bigint")]
-    group = F.pmod(F.xxhash64("lang", "phrase"), parts).cast("int")
+        return found.select("words", "lang", "phrase", "h", F.lit(0).cast("bigint").alias("f"))
+    of_words = F.create_map(*[F.lit(x).cast("bigint") for pair in groups.items() for x in pair])[F.col("words").cast("bigint")]
+    group = (F.shiftrightunsigned("h", 1) % of_words).cast("int")
     tries = written(found.withColumn("g", group).groupBy("g", "words").applyInArrow(_built, f"g int, {_TRIE}"))
-    spark, counts = docs.sparkSession, None
+    dealt = deal_windows(texts, levels, likely, groups, parts)
+    spark, counts = texts.sparkSession, None
     for g in range(max(groups.values())):
         # One trie of bounded size for each number of words.
         shared = spark.sparkContext.broadcast([r.asDict() for r in tries.filter(F.col("g") == g).collect()])
-        part = written(docs.mapInArrow(_counter(shared, settings), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("f")))
+        mine = dealt.filter(F.col("g") == g).select("words", "lang", "names", "windows", "counts")
+        part = written(mine.mapInArrow(_counter(shared, settings), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("f")))
         shared.destroy()
         counts = part if counts is None else counts.unionByName(part)
-    return written(found.join(counts, "id").select("words", "lang", "phrase", "f"))
+    return written(found.join(counts, "id").select("words", "lang", "phrase", "h", "f"))
 
 
 def _counter(shared, settings: Settings):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = [Tally(_read(row), settings.held) for row in shared.value]
-        for block in blocks(batches):
-            for tally in tallies:
-                tally.add(block)
-        for tally in tallies:
+        tallies: dict[int, Tally] | None = None
+        for batch in batches:
+            if tallies is None:
+                tallies = {trie.words: Tally(trie, settings.held) for trie in map(_read, shared.value)}
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["words"] in tallies:
+                    windows = np.frombuffer(row["windows"], np.uint32).reshape(-1, row["words"])
+                    counts = np.frombuffer(row["counts"], np.uint32).astype(np.int64)
+                    tallies[row["words"]].add(row["lang"], row["names"].split(b" "), windows, counts)
+        for tally in (tallies or {}).values():
             yield tally.rows()
 
     return count
 
 
-def missed(counted: DataFrame, likely: DataFrame, words: int, bits: int) -> DataFrame:
+def missed(counted: DataFrame, likely: DataFrame, words: int) -> DataFrame:
     """(h): frequent hashes whose count the candidates with that hash do not make up, because
     a phrase that shares it lies in none of its owner's texts; written."""
-    mine = counted.filter(F.col("words") == words).select("lang", "phrase", "f")
-    made = phrase_hashes(mine, bits).groupBy("h").agg(F.sum("f").alias("f"))
+    made = counted.filter(F.col("words") == words).groupBy("h").agg(F.sum("f").alias("f"))
     return written(lookup(likely.select("h", "n"), *aside(made, ["h"])).filter(~F.col("f").eqNullSafe(F.col("n"))).select("h"))
 
 
-def frequent_windows(docs: DataFrame, frequent: Filter, settings: Settings) -> DataFrame:
+def frequent_windows(texts: DataFrame, frequent: Filter, parts: int, settings: Settings) -> DataFrame:
     """(words, lang, phrase, f): the phrases of two and more words that occur ``min_count`` times."""
     levels, likely = Levels(frequent, {}, settings.hash_bits), {}
     for k in range(2, settings.max_words + 1):
-        likely[k] = frequent_hashes(docs, levels, k, settings)
+        likely[k] = frequent_hashes(texts, levels, k, parts, settings)
         levels.shorter[k] = make_filter(likely[k], settings)
-    owners = {k: make_filter(df.select(F.col("key").alias("h")), settings) for k, df in likely.items()}
-    found = candidates(docs, levels, owners, settings)
-    counted = count_candidates(docs, found, settings)
-    rest = {k: missed(counted, df, k, settings.hash_bits) for k, df in likely.items()}
+    owners = {k: make_both(df.select(F.col("key").alias("h")), settings) for k, df in likely.items()}
+    found = candidates(texts, levels, owners, settings)
+    counted = count_candidates(texts, found, levels, levels.shorter, parts, settings)
+    rest = {k: missed(counted, df, k) for k, df in likely.items()}
     again = {k: make_filter(df, settings) for k, df in rest.items() if not df.isEmpty()}
     if again:
-        more = candidates(docs, levels, again, settings, by_owner=False)
+        more = candidates(texts, levels, again, settings, by_owner=False)
         new = written(lookup(more, *aside(found.select("lang", "phrase"), ["lang", "phrase"]), "left_anti"))
-        counted = counted.unionByName(count_candidates(docs, new, settings))
-    return counted.filter(F.col("f") >= settings.min_count)
+        counted = counted.unionByName(count_candidates(texts, new, levels, again, parts, settings))
+    return counted.filter(F.col("f") >= settings.min_count).select("words", "lang", "phrase", "f")
 
 
 def frequent_phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text", settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
@@ -516,9 +700,11 @@ def frequent_phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text",
     folded = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )
-    words = count_words(folded, settings)
+    texts = encoded(folded, settings)
+    parts = parts_for(texts)
+    words = count_words(texts, parts, settings)
     names = words.dropna().select("lang", F.col("word").alias("phrase"))
-    return words, frequent_windows(folded, make_filter(phrase_hashes(names), settings), settings)
+    return words, frequent_windows(texts, make_filter(phrase_hashes(names), settings), parts, settings)
 
 
 # Scores --------------------------------------------------------------------------------------

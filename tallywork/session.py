@@ -61,15 +61,17 @@ def written_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/tallywork-{spark.sparkContext.applicationId}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, by: str | None = None, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Used where a plan reads the same rows twice and both reads must agree (for example on
     the partition a row fell into), and between the stages of a job. Parquet keeps the
-    second read column-pruned, and the files outlive any executor.
+    second read column-pruned, and the files outlive any executor. ``by`` names a column whose
+    values get folders of their own, so that a read of one value opens no other files;
+    ``options`` are the writer's.
     """
     path = f"{written_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,13 +1,32 @@
 """Mined phrases against plain counting; the trie against a dictionary."""
 
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
 import pytest
 
 from tallywork.llm.double_array import DoubleArray
-from tallywork.llm.phrase_mining import BREAK, END, FOLD, Filter, Settings, Trie, _encoded, frequent_phrases, make_filter, mine_phrases, windows
+from tallywork.llm.phrase_mining import (
+    BREAK,
+    END,
+    FOLD,
+    Filter,
+    Levels,
+    Settings,
+    Trie,
+    _different,
+    _encoded,
+    deal_windows,
+    encoded,
+    frequent_phrases,
+    make_both,
+    make_filter,
+    mine_phrases,
+    phrase_hashes,
+    windows,
+)
 from tallywork.session import written
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -140,3 +159,53 @@ def test_windows():
     h = np.array([5, 0, 7, 8, 9], np.uint64)
     assert (windows(h, 2) != 0).tolist() == [False, False, True, True] and (windows(h, 3) != 0).tolist() == [False, False, True]
     assert windows(h, 6).tolist() == [] and windows(h, 1).tolist() == h.tolist()
+
+
+def test_texts_are_read_once_however_many_tries_there_are(spark, tmp_path):
+    """Every trie once read all texts again, so passes over them grew with the number of phrases."""
+    settings = Settings(min_count=4, top=100, max_words=2, trie_phrases=100)
+    data = texts(11, 60)
+
+    def noted(batches):
+        (tmp_path / uuid.uuid4().hex).touch()
+        yield from batches
+
+    df = spark.createDataFrame([(i, t, l, "x", 1, 2) for i, (t, l) in enumerate(data)], SCHEMA).repartition(3)
+    df = df.select("lang", "text").mapInArrow(noted, "lang string, text string")
+    got = sorted(tuple(r) for r in mine_phrases(df, settings=settings).collect())
+    assert got == plain(data, settings) and got
+    assert len(list(tmp_path.iterdir())) == 3
+
+
+def test_each_group_is_dealt_its_own_windows_once(spark):
+    settings, data = Settings(min_count=2, max_words=2), [("a b c a b", "en"), ("a b c", "en"), ("a b c", "de"), ("x. y", None)]
+    blocks = encoded(spark.createDataFrame([(l or "und", t) for t, l in data], "lang string, text string").repartition(2), settings)
+    hashes = written(spark.createDataFrame([("en", w) for w in "abc"] + [("de", w) for w in "abc"], "lang string, phrase string"))
+    levels = Levels(make_filter(phrase_hashes(hashes), settings), {}, 64)
+    pairs = written(spark.createDataFrame([(l, p) for l in ("en", "de") for p in ("a b", "b c")], "lang string, phrase string"))
+    found = phrase_hashes(pairs)
+    dealt = deal_windows(blocks, levels, {2: make_filter(found, settings)}, {2: 3}, 6)
+    count, home = Counter(), {(r.lang, r.phrase): (r.h & (1 << 64) - 1) // 2 % 3 for r in found.collect()}
+    for r in dealt.collect():
+        names = r.names.split(b" ")
+        for row, n in zip(np.frombuffer(r.windows, np.uint32).reshape(-1, 2), np.frombuffer(r.counts, np.uint32).tolist(), strict=True):
+            phrase = (r.lang, b" ".join(names[i] for i in row).decode())
+            assert r.g == home[phrase]
+            count[phrase] += n
+    assert count == {("en", "a b"): 3, ("en", "b c"): 2, ("de", "a b"): 1, ("de", "b c"): 1}
+
+
+def test_different_sequences_are_counted_beyond_64_bits():
+    rng = np.random.default_rng(5)
+    codes = np.where(rng.random(400) < 0.1, 1 << 22, rng.integers(0, 3, 400)).astype(np.uint32)
+    at = np.arange(0, 396)
+    first, counts = _different(codes, at, 4)
+    assert dict(zip((tuple(codes[i : i + 4]) for i in first), counts.tolist(), strict=True)) == Counter(tuple(codes[i : i + 4]) for i in at)
+
+
+def test_two_filters_let_less_through(spark):
+    hashes, others = (np.random.default_rng(i).integers(0, 1 << 63, 40_000).astype(np.uint64) * np.uint64(2) + np.uint64(i) for i in (0, 1))
+    given = written(spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "h bigint"))
+    settings = Settings(filter_bits=1 << 16)
+    one, both = make_filter(given, settings), make_both(given, settings)
+    assert both.has(hashes).all() and both.has(others).mean() < 0.6 * one.has(others).mean()
