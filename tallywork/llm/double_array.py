@@ -28,9 +28,9 @@ def _placed(parents: np.ndarray, digits: np.ndarray, nodes: int, seed: int) -> t
     claims have theirs. What stays unplaced goes to fresh slots behind.
     """
     rng = np.random.default_rng(seed)
-    counts = np.bincount(parents, minlength=nodes)
-    begin = np.cumsum(counts) - counts
-    base = np.zeros(nodes, np.int64)
+    counts = np.bincount(parents, minlength=nodes).astype(np.int32)
+    begin = np.cumsum(counts, dtype=np.int32) - counts
+    base = np.zeros(nodes, np.int32)
     dense = np.flatnonzero(counts >= DENSE)
     # The first block stays free: slot 0 is the root, and a single child may sit up to a block
     # above its parent's base.
@@ -57,8 +57,8 @@ def _placed(parents: np.ndarray, digits: np.ndarray, nodes: int, seed: int) -> t
             proposed = rng.integers(low, len(used) - RADIX, len(waiting))
             which, child = slots_of(waiting)
             slots = proposed[which] + digits[child]
-            claims = np.full(len(used), len(waiting), np.int64)
-            np.minimum.at(claims, slots, which)
+            claims = np.full(len(used), len(waiting), np.int32)
+            np.minimum.at(claims, slots, which.astype(np.int32))
             lost = np.bincount(which[used[slots] | (claims[slots] != which)], minlength=len(waiting)) > 0
             base[waiting[~lost]] = proposed[~lost]
             used[slots[~lost[which]]] = True
@@ -87,7 +87,7 @@ class DoubleArray:
         shifts = RADIX_BITS * np.arange(width - 1, -1, -1)
         digits = np.column_stack([((column >> shift) & (RADIX - 1)).astype(np.uint8) for column in paths.T for shift in shifts])
         # Nodes level by level: a new one wherever a row's beginning differs from the row before.
-        node, count = np.zeros(len(paths), np.int64), 1
+        node, count = np.zeros(len(paths), np.int32), 1
         parents, letters = [], []
         new = np.zeros(len(paths), bool)
         new[:1] = True
@@ -95,11 +95,11 @@ class DoubleArray:
             new[1:] |= digits[1:, level] != digits[:-1, level]
             parents.append(node[new])
             letters.append(digits[new, level])
-            node = count + np.cumsum(new) - 1
+            node = np.cumsum(new, dtype=np.int32) + np.int32(count - 1)
             count += int(new.sum())
-        parents, letters = np.concatenate(parents), np.concatenate(letters).astype(np.int64)
+        parents, letters = np.concatenate(parents), np.concatenate(letters).astype(np.int32)
         bases, size = _placed(parents, letters, count, seed)
-        state = np.concatenate([[0], bases[parents] + letters])
+        state = np.concatenate([np.zeros(1, np.int32), bases[parents] + letters])
         base, check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
         base[state] = bases
         check[state[1:]] = state[parents]

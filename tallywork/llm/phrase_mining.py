@@ -183,6 +183,8 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             row = batch.slice(i, 1).to_pylist()[0]
             words = _unpack(row["words"]).split(b" ") if "words" in row else []
             yield Block(row["lang"], row["owner"], np.frombuffer(row["hashes"], np.uint64), np.frombuffer(_unpack(row["codes"]), np.uint32), words)
+            # Workers are kept for other tasks; so would be what Arrow has freed.
+            pa.default_memory_pool().release_unused()
 
 
 def parts_for(texts: DataFrame) -> int:
@@ -503,6 +505,9 @@ class Trie(NamedTuple):
         names = [*(b"\n" + lang for lang in of_lang.dictionary.to_pylist()), *_listed(words.dictionary)]
         numbers = words.indices.to_numpy().reshape(len(phrases), -1) + (len(of_lang.dictionary) + 1)
         rows = np.column_stack([of_lang.indices.to_numpy() + 1, numbers])
+        del words, numbers, of_lang, phrases
+        # What Arrow keeps of freed memory would stand beside the arrays of the trie.
+        pa.default_memory_pool().release_unused()
         return cls(rows.shape[1] - 1, DoubleArray.of(rows, ids, len(names)), {w: i for i, w in enumerate(names, 1)})
 
     def start(self, lang: str) -> int | None:
@@ -638,7 +643,7 @@ def count_candidates(texts: DataFrame, found: DataFrame, levels: Levels, likely:
         return found.select("words", "lang", "phrase", "h", F.lit(0).cast("bigint").alias("f"))
     of_words = F.create_map(*[F.lit(x).cast("bigint") for pair in groups.items() for x in pair])[F.col("words").cast("bigint")]
     group = (F.shiftrightunsigned("h", 1) % of_words).cast("int")
-    tries = written(found.withColumn("g", group).groupBy("g", "words").applyInArrow(_built, f"g int, {_TRIE}"))
+    tries = written(found.select(group.alias("g"), "words", "lang", "phrase", "id").groupBy("g", "words").applyInArrow(_built, f"g int, {_TRIE}"))
     dealt = deal_windows(texts, levels, likely, groups, parts)
     spark, counts = texts.sparkSession, None
     for g in range(max(groups.values())):
